@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, token_store, url_filter
+from . import decontaminate, packing, quality, simhash, token_store, url_filter
 from .common import table
 
 
@@ -18,18 +18,26 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_files(spark, table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_url_filter, op3_packing, op7_token_store, op10_quality)
+    named = (op1_url_filter, op3_packing, op6_decontaminate, op7_token_store, op9_simhash, op10_quality)
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_filter.oracle()}
+    return {"op1_url_filter": url_filter.oracle(), "op6_decontaminate": decontaminate.oracle()}
