@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, simhash, token_store, url_filter
+from . import decontaminate, packing, pii, quality, simhash, token_store, url_filter
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
@@ -35,9 +39,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_url_filter, op3_packing, op6_decontaminate, op7_token_store, op9_simhash, op10_quality)
+    named = (op1_url_filter, op3_packing, op5_pii, op6_decontaminate, op7_token_store, op9_simhash, op10_quality)
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_filter.oracle(), "op6_decontaminate": decontaminate.oracle()}
+    return {"op1_url_filter": url_filter.oracle(), "op5_pii": pii.oracle(), "op6_decontaminate": decontaminate.oracle()}
