@@ -30,7 +30,7 @@ def _smaller(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for each node of an edge between two different nodes.
 
-    ``edges`` has two long columns; the component is its smallest node. Edges with a null end,
+    ``edges`` has two columns of one type; the component is its smallest node. Edges with a null end,
     loops and repeats are left out; no edges give an empty table.
     """
     a, b = (F.col(c) for c in edges.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, pii, quality, simhash, token_store, url_filter
+from . import decontaminate, packing, pii, quality, simhash, substring_dedup, token_store, url_filter
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_paragraphs(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -39,7 +43,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_url_filter, op3_packing, op5_pii, op6_decontaminate, op7_token_store, op9_simhash, op10_quality)
+    named = (op1_url_filter, op2_substring_dedup, op3_packing, op5_pii, op6_decontaminate, op7_token_store, op9_simhash, op10_quality)
     return {f.__name__: f for f in named}
 
 
