@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, quality, simhash, substring_dedup, token_store, url_filter
+from . import decontaminate, packing, pii, quality, sharding, simhash, substring_dedup, token_store, url_filter, warc
 from .common import table
 
 
@@ -22,6 +23,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(spark, table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -34,6 +39,11 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_files(spark, table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.compacted(spark, table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "lang", "source", "n_chars", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -43,9 +53,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_url_filter, op2_substring_dedup, op3_packing, op5_pii, op6_decontaminate, op7_token_store, op9_simhash, op10_quality)
+    named = (op1_url_filter, op2_substring_dedup, op3_packing, op4_warc, op5_pii, op6_decontaminate, op7_token_store, op8_sharding, op9_simhash, op10_quality)
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_filter.oracle(), "op5_pii": pii.oracle(), "op6_decontaminate": decontaminate.oracle()}
+    return {"op1_url_filter": url_filter.oracle(), "op4_warc": warc.oracle(), "op5_pii": pii.oracle(), "op6_decontaminate": decontaminate.oracle(), "op8_sharding": sharding.oracle()}
