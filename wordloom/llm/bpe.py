@@ -5,14 +5,21 @@ stands between two other characters, so a text is the concatenation of its space
 words and each word can be encoded by itself. A bounded memo keeps the ids of words that
 were seen. A text with any other white space (runs, tabs, leading or trailing blanks, ...)
 is encoded by the library in one call. Ids are kept as little-endian 32-bit bytes.
+
+Of a word that is not in the memo, a Latin stem goes straight to the library's BPE model and a
+tail of ASCII punctuation has a memo of its own: the pre-tokenizer would part them in the same
+way. Any other word takes the library's whole path.
 """
 
 from __future__ import annotations
 
 import os
+import string
 import struct
 
 MEMO_WORDS = 500_000
+TAIL = string.punctuation.replace("'", "")
+LAST_LATIN = "\u024f"
 _encoders: dict[tuple[str, int], "WordEncoder"] = {}
 
 
@@ -54,7 +61,12 @@ class WordEncoder:
         self.memo = memo
         self.first: dict[str, bytes] = {}  # words at the start of a line
         self.inner: dict[str, bytes] = {}  # words after a space
+        self.tails: dict[str, bytes] = {}
         self.newline = self.whole("\n")
+        self.model = self.tokenizer.model.tokenize
+        # Byte-level models write bytes without a printable Latin-1 character from U+0100 on.
+        printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        self.letters = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in printable)}
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -63,11 +75,29 @@ class WordEncoder:
     def _miss(self, word: str, known: dict[str, bytes], before: str) -> bytes:
         if word.split() != [word]:
             raise _Irregular
-        ids = self.whole(before + word)
+        stem = word.rstrip(TAIL)
+        if stem.isalpha() and max(stem) <= LAST_LATIN:
+            ids = known.get(stem) or self._stem(before + stem)
+            if tail := word[len(stem) :]:
+                ids += self._tail(tail)
+        else:
+            ids = self.whole(before + word)
         if len(known) < self.memo:
             known[word] = ids
         return ids
 
+    def _stem(self, stem: str) -> bytes:
+        ids = [t.id for t in self.model(stem.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _tail(self, tail: str) -> bytes:
+        ids = self.tails.get(tail)
+        if ids is None:
+            ids = self.whole(tail)
+            if len(self.tails) < self.memo:
+                self.tails[tail] = ids
+        return ids
+
     def encode(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers; none for null or empty."""
         if not text:

@@ -49,19 +49,25 @@ def encode_block(ids: np.ndarray) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     ids = ids.astype(np.uint64, copy=False)
     wide = int(ids.max()) >> 60 != 0
-    best = np.full(n, 0 if wide else LAST, dtype=np.int8)
+    best = np.full(n, LAST, dtype=np.int8)
     if wide:
-        best[ids < np.uint64(1) << np.uint64(60)] = LAST
-    padded = np.concatenate([ids, np.zeros(64, dtype=np.uint64)])
-    reach, joined = 1, padded[:n].copy()
-    low = int(ids.min())
+        best[ids >> np.uint64(60) != 0] = 0
+    # ORs over 1, 2, 4, ... ids; beyond the end stands a value that fits no selector.
+    joined = {1: np.concatenate([ids, np.full(64, np.uint64(1) << np.uint64(62), dtype=np.uint64)])}
+    padded = joined[1]
     for selector in range(LAST - 1, 0, -1):
-        if low >> int(BITS[selector]):
-            break  # not even the smallest id fits; narrower selectors neither
-        for k in range(reach, int(COUNTS[selector])):
-            joined |= padded[k : k + n]
-        reach = int(COUNTS[selector])
-        best[joined < np.uint64(1) << BITS[selector]] = selector
+        count = int(COUNTS[selector])
+        half = 1
+        while 2 * half <= count:
+            if 2 * half not in joined:
+                joined[2 * half] = joined[half].copy()
+                joined[2 * half][:-half] |= joined[half][half:]
+            half *= 2
+        both = joined[half][:n] | joined[half][count - half : count - half + n]
+        fits = both < np.uint64(1) << BITS[selector]
+        if not fits.any():
+            break  # then no selector with more and narrower ids fits either
+        best[fits] = selector
     step = COUNTS[best].tolist()
     starts, at = [], 0
     while at < n:
@@ -244,7 +250,7 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                         start += len(ids)
                     yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], schema=schema)
 
-    files = manifest.select("path", "start").repartition("path")
+    files = manifest.repartitionByRange(max(manifest.count(), 1), "part").select("path", "start")  # a task for each file
     return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
