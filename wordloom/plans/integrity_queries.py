@@ -1 +1,121 @@
-"""Queries."""
+"""Contracts, projections, hashes and unions over the driver's tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.hashing import canonical, sha256, table_digest
+from ..operators import rules as ru
+from .registry import load, query
+
+PROPS = {
+    "type": "object",
+    "required": ["k"],
+    "additionalProperties": False,
+    "properties": {"k": {"type": "integer", "minimum": 1, "maximum": 90}},
+}
+
+
+@query(r"""
+WITH p AS (SELECT event_id, json_keys(props::JSON) AS ks, json_extract_string(props, '$.k') AS k FROM events)
+SELECT event_id, array_to_string(list_sort(list_filter([CASE WHEN NOT list_contains(ks, 'k') THEN '$.k: required' END, CASE WHEN len(list_filter(ks, lambda x: x <> 'k')) > 0 THEN '$: unknown keys' END,
+  CASE WHEN k IS NOT NULL AND NOT regexp_full_match(trim(k), '-?\d+') THEN '$.k: type' END, CASE WHEN TRY_CAST(k AS DOUBLE) < 1 THEN '$.k: minimum' END, CASE WHEN TRY_CAST(k AS DOUBLE) > 90 THEN '$.k: maximum' END], lambda x: x IS NOT NULL)), '; ') AS errors FROM p""")
+def props_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of each event against a declared schema."""
+    return load(spark, sf_dir, "events").select("event_id", F.array_join(ru.errors(F.col("props"), PROPS), "; ").alias("errors"))
+
+
+_AS_JSON = "CASE doc_id % 4 WHEN 0 THEN '{\"id\":' || doc_id || ',\"kind\":\"' || lang || '\",\"note\":null}' WHEN 1 THEN '{\"id\":\"x\",\"kind\":\"' || lang || '\",\"_t\":1}' WHEN 2 THEN '{\"kind\":\"zz\"}' ELSE '[1]' END"
+RECORD = {
+    "required": ["id", "kind"],
+    "properties": {"id": {"type": "integer"}, "kind": {"enum": ["en", "fr", "de", "es"], "minLength": 2}},
+    "allOf": [{"if": {"properties": {"kind": {"const": "de"}}}, "then": {"required": ["note"]}}],
+}
+
+
+@query(f"""
+WITH r AS (SELECT doc_id, {_AS_JSON} AS j FROM documents), p AS (SELECT doc_id, j, CASE WHEN starts_with(j, '{{') THEN json_keys(j::JSON) END AS ks, json_extract_string(j, '$.id') AS id, json_extract_string(j, '$.kind') AS kind FROM r)
+SELECT doc_id, CASE WHEN ks IS NULL THEN '$: not an object' ELSE array_to_string(list_sort(list_filter([CASE WHEN NOT list_contains(ks, 'id') THEN '$.id: required' END, CASE WHEN NOT list_contains(ks, 'kind') THEN '$.kind: required' END,
+  CASE WHEN id IS NOT NULL AND NOT regexp_full_match(id, '-?[0-9]+') THEN '$.id: type' END, CASE WHEN kind NOT IN ('en', 'fr', 'de', 'es') THEN '$.kind: enum' END,
+  CASE WHEN kind = 'de' AND NOT list_contains(ks, 'note') THEN '$.note: required' END], lambda x: x IS NOT NULL)), '; ') END AS errors FROM p""")
+def record_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of several shapes against a schema with a conditional part."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", F.expr(_AS_JSON).alias("j"))
+    return docs.select("doc_id", F.array_join(ru.errors(F.col("j"), RECORD), "; ").alias("errors"))
+
+
+@query(f"""
+WITH r AS (SELECT doc_id, {_AS_JSON} AS j FROM documents WHERE doc_id % 4 <> 3), k AS (SELECT doc_id, json_keys(j::JSON) AS ks FROM r)
+SELECT doc_id, array_to_string(list_sort(list_filter(ks, lambda x: x NOT IN ('id', 'kind'))), ',') AS leaked, array_to_string(list_sort(list_filter(['id', 'kind'], lambda x: NOT list_contains(ks, x))), ',') AS missing FROM k""")
+def leakage_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys beyond an allow-list, and those of it that are not there."""
+    docs = load(spark, sf_dir, "documents").where("doc_id % 4 <> 3").select("doc_id", F.json_object_keys(F.expr(_AS_JSON)).alias("ks"))
+    told = ru.leaked(F.col("ks"), ["id", "kind"])
+    return docs.select("doc_id", told.alias("t")).select("doc_id", F.array_join("t.leaked", ",").alias("leaked"), F.array_join("t.missing", ",").alias("missing"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN CASE WHEN doc_id % 3 = 0 THEN 'id,kind' ELSE 'id,kind,note' END WHEN doc_id % 4 = 1 THEN 'id,kind' END AS kept FROM documents WHERE doc_id % 4 < 2""")
+def stripped_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys left when internal ones (``_``) and optional nulls are dropped."""
+    entries = F.create_map(F.lit("id"), F.col("doc_id").cast("string"), F.lit("kind"), F.col("lang"), F.when(F.col("doc_id") % 4 == 0, "note").otherwise("_t"), F.when((F.col("doc_id") % 4 == 1) | (F.col("doc_id") % 3 > 0), "1"))
+    kept = F.map_filter(entries, lambda k, v: ~k.startswith("_") & v.isNotNull())
+    return load(spark, sf_dir, "documents").where("doc_id % 4 < 2").select("doc_id", F.array_join(F.map_keys(kept), ",").alias("kept"))
+
+
+@query("""SELECT doc_id, 'sha256:' || sha256('{"doc_id":' || doc_id || ',"lang":"' || lang || '","n_chars":' || n_chars || ',"source":"' || source || '"}') AS digest FROM documents""")
+def canonical_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of each row as canonical JSON."""
+    return load(spark, sf_dir, "documents").select("doc_id", canonical("source", "doc_id", "n_chars", "lang").alias("digest"))
+
+
+@query("""
+WITH r AS (SELECT lang, ('0x' || substring(sha256(concat_ws('|', doc_id::VARCHAR, text)), 1, 15))::BIGINT AS n FROM documents)
+SELECT lang, sha256(concat_ws('|', count(*)::VARCHAR, sum(n)::VARCHAR)) AS digest FROM r GROUP BY lang""")
+def table_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A digest of each language's rows that holds in any order."""
+    docs = load(spark, sf_dir, "documents").select("lang", sha256("doc_id", "text").alias("d"))
+    return docs.groupBy("lang").agg(table_digest(F.col("d")).alias("digest"))
+
+
+@query("""
+WITH u AS (SELECT 'documents' AS section, doc_id AS id, text FROM documents UNION ALL SELECT 'benchmark', item_id, text FROM benchmark UNION ALL SELECT 'turns', conv_id * 100 + turn, text FROM conversations),
+d AS (SELECT text FROM u GROUP BY text HAVING count(*) > 1)
+SELECT section, count(*)::BIGINT AS n, count(*) FILTER (text IN (SELECT text FROM d))::BIGINT AS n_shared FROM u GROUP BY section""")
+def union_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sections in one table, with how many texts are not unique across it."""
+    one = lambda name, table, key: load(spark, sf_dir, table).select(F.lit(name).alias("section"), F.expr(key).alias("id"), F.sha2("text", 256).alias("digest"))
+    u = one("documents", "documents", "doc_id").unionByName(one("benchmark", "benchmark", "item_id")).unionByName(one("turns", "conversations", "conv_id * 100 + turn"))
+    per = u.groupBy("digest", "section").agg(F.count("*").alias("n"))
+    times = per.groupBy("digest").agg(F.sum("n").alias("all"))
+    told = per.join(times, "digest")
+    return told.groupBy("section").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("all") > 1, F.col("n")).otherwise(0)).alias("n_shared"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderkey || ':' || o_orderpriority END AS public, CASE WHEN o_orderstatus <> 'F' THEN 'state ' || o_orderstatus END AS audit FROM orders""")
+def public_and_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A public record for accepted items, an audit note for the others."""
+    done = F.col("o_orderstatus") == "F"
+    public = F.when(done, F.concat_ws(":", "o_orderkey", "o_orderpriority"))
+    return load(spark, sf_dir, "orders").select("o_orderkey", public.alias("public"), F.when(~done, F.concat(F.lit("state "), "o_orderstatus")).alias("audit"))
+
+
+@query("""
+WITH n AS (SELECT p_brand, p_partkey, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i FROM part), f AS (SELECT * FROM n WHERE i <= 4)
+SELECT p_brand, max(CASE WHEN i = 1 THEN p_name END) AS "A", max(CASE WHEN i = 2 THEN p_name END) AS "B", max(CASE WHEN i = 3 THEN p_name END) AS "C", max(CASE WHEN i = 4 THEN p_name END) AS "D" FROM f GROUP BY p_brand""")
+def options_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of options as the four columns of an item."""
+    from ..operators.selection import top_by
+
+    four = top_by(load(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_name"), ["p_brand"], [F.col("p_partkey")], 4)
+    return four.groupBy("p_brand").pivot("rank", [1, 2, 3, 4]).agg(F.max("p_name")).toDF("p_brand", "A", "B", "C", "D")
+
+
+@query("""
+SELECT item_id, i AS number, s AS sentence FROM (SELECT item_id, unnest(list_filter(string_split(text, '. '), lambda x: x <> '')) AS s, generate_subscripts(list_filter(string_split(text, '. '), lambda x: x <> ''), 1)::BIGINT AS i FROM benchmark)""")
+def visible_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested parts as rows with their number from 1."""
+    parts = F.filter(F.split("text", r"\. "), lambda x: x != "")
+    return load(spark, sf_dir, "benchmark").select("item_id", F.posexplode(parts).alias("i", "sentence")).select("item_id", (F.col("i") + 1).cast("long").alias("number"), "sentence")
