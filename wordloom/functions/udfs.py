@@ -7,31 +7,35 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Types are objects, as type strings would need a session at import.
+EDIT = T.StructType([T.StructField("tag", T.StringType()), *[T.StructField(n, T.IntegerType()) for n in ("i1", "i2", "j1", "j2")]])
 
-@F.pandas_udf("string")
+
+@F.pandas_udf(T.StringType())
 def casefold(text: pd.Series) -> pd.Series:
     return text.str.casefold()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc_surface(text: pd.Series) -> pd.Series:
     """Compatibility form, single blanks, casefolded."""
     return text.map(lambda t: " ".join(unicodedata.normalize("NFKC", t).split()).casefold(), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff/Obershelp ratio; null if a side is null."""
     return pd.Series([None if pd.isna(a) or pd.isna(b) else SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)], dtype="float64")
 
 
-@F.pandas_udf("array<struct<tag:string,i1:int,i2:int,j1:int,j2:int>>")
+@F.pandas_udf(T.ArrayType(EDIT))
 def token_diff(left: pd.Series, right: pd.Series) -> pd.Series:
     """Edits (other than equal stretches) that turn one token list into another."""
 
@@ -44,7 +48,7 @@ def token_diff(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([one(a, b) for a, b in zip(left, right)])
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def one_block_moved(left: pd.Series, right: pd.Series) -> pd.Series:
     """Whether one contiguous block of tokens was moved and nothing else changed.
 
@@ -65,7 +69,7 @@ def one_block_moved(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([one(a, b) for a, b in zip(left, right)], dtype="object")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def display_lines(text: pd.Series) -> pd.Series:
     """Text wrapped to 72 columns, paragraph by paragraph."""
     import textwrap
