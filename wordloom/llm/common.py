@@ -52,3 +52,11 @@ def ascii_lower(column):
     from pyspark.sql import functions as F
 
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it; Spark doesn't tell upper from lower case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

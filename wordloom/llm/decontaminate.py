@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut
+from .common import ascii_lower, cut, unused
 
 #: Fixed value: what separates words, once A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -133,8 +133,9 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window occurs; rows that share a doc_id go together."""
-    bad = cut(contamination(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("_doc")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_doc"]), "left_anti")
+    doc = unused(docs.columns, "_doc")
+    bad = cut(contamination(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias(doc)).distinct())
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[doc]), "left_anti")
 
 
 def oracle(window: int = WINDOW) -> str:

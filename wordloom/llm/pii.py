@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 BASE = ("email", "ip", "card", "phone")
 EXTRA = ("iban", "ssn")
 THRESHOLD = 0.5
@@ -122,8 +124,8 @@ def _scored(kind: str, text: Column, spans: Column) -> Column:
     return F.transform(spans, one)
 
 
-def find_pii(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column ``pii``: kind, start, end, score of each span, by kind and start.
+def find_pii(docs: DataFrame, name: str = "pii") -> DataFrame:
+    """``docs`` with a column ``name``: kind, start, end, score of each span, by kind and start.
 
     Positions are code points, the end is exclusive. Spans of one kind never overlap; those of
     different kinds may. Null and empty texts have no spans; every row is taken by itself.
@@ -131,17 +133,18 @@ def find_pii(docs: DataFrame) -> DataFrame:
     names = docs.columns
     text = F.coalesce(F.col("text"), F.lit(""))
     kinds = (*BASE, *EXTRA)
+    found_, at_, in_ = ({k: unused(names, f"_{stage}_{k}") for k in kinds} for stage in ("found", "at", "in"))
     none = F.array().cast("array<string>")
 
     def proposed(kind: str) -> Column:
         found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
         return F.when(text.contains(NEEDS[kind]), found).otherwise(none) if kind in NEEDS else found
 
-    step = docs.select(*names, *[proposed(k).alias(f"_found_{k}") for k in kinds])
-    step = step.select(*names, *[located(text, F.col(f"_found_{k}"), PATTERNS[k]).alias(f"_at_{k}") for k in kinds])
-    step = step.select(*names, *[_scored(k, text, F.filter(f"_at_{k}", _test(k))).alias(f"_in_{k}") for k in kinds])
-    parts = [F.col(f"_in_{k}") for k in BASE] + [F.filter(f"_in_{k}", lambda s: s["score"] >= THRESHOLD) for k in EXTRA]
-    return step.select(*names, F.concat(*parts).alias("pii"))
+    step = docs.select(*names, *[proposed(k).alias(found_[k]) for k in kinds])
+    step = step.select(*names, *[located(text, F.col(found_[k]), PATTERNS[k]).alias(at_[k]) for k in kinds])
+    step = step.select(*names, *[_scored(k, text, F.filter(at_[k], _test(k))).alias(in_[k]) for k in kinds])
+    parts = [F.col(in_[k]) for k in BASE] + [F.filter(in_[k], lambda s: s["score"] >= THRESHOLD) for k in EXTRA]
+    return step.select(*names, F.concat(*parts).alias(name))
 
 
 def _listed(spans: Column) -> Column:
@@ -163,8 +166,9 @@ def redact(docs: DataFrame) -> DataFrame:
     without spans, null ones included, stay as they are; n_chars follows the text if present.
     """
     names = docs.columns
-    found = find_pii(docs)
-    ordered = F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    pii = unused(names, "pii")
+    found = find_pii(docs, pii)
+    ordered = F.array_sort(F.transform(pii, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(held, s):
@@ -174,7 +178,7 @@ def redact(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(held["at"], s["end"]).alias("at"), out.alias("out"))
 
     masked = F.aggregate(ordered, zero, step, lambda held: F.concat(held["out"], F.substring(F.col("text"), held["at"] + 1, F.length("text"))))
-    changed = found.withColumn("text", F.when(F.size("pii") > 0, masked).otherwise(F.col("text"))).select(*names)
+    changed = found.withColumn("text", F.when(F.size(pii) > 0, masked).otherwise(F.col("text"))).select(*names)
     if "n_chars" in names:
         kind = dict(docs.dtypes)["n_chars"]
         changed = changed.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(kind))

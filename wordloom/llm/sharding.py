@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import new_dir, open_fs
+from .common import new_dir, open_fs, unused
 
 TARGET_BYTES = 128 << 20
 FAN_IN = 4
@@ -270,10 +270,10 @@ def compacted(spark: SparkSession, rows: DataFrame, arrivals: int = 8, key: str
     empty table comes back empty. A row's arrival is a hash of its key.
     """
     table = ShardTable(spark, new_dir(spark, "shards"))
-    named = rows.withColumn("_arrival", F.pmod(F.xxhash64(key), F.lit(arrivals)))
-    table.append(named, "_arrival")
+    arrival = unused(rows.columns, "_arrival")
+    table.append(rows.withColumn(arrival, F.pmod(F.xxhash64(key), F.lit(arrivals))), arrival)
     table.settle()
-    return table.read().drop("_arrival")
+    return table.read().drop(arrival)
 
 
 def oracle() -> str:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .buckets import in_units, merge, whole_groups
-from .common import cut
+from .common import cut, unused
 from .components import connected_components
 
 SEED = 42
@@ -174,7 +174,8 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFram
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
     roots = class_components(fps, max_bits)
     firsts = fps.groupBy("fp").agg(F.min(order).alias("first")).join(roots, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    chosen = firsts.select(F.col("first.doc_id").alias("_doc"), F.col("first.fp").alias("_fp"))
-    named = with_fingerprint(docs, shingle, "_own_fp")
-    met = named.join(chosen, named["doc_id"].eqNullSafe(chosen["_doc"]) & (named["_own_fp"] == chosen["_fp"]), "left_semi")
-    return met.dropDuplicates(["doc_id", "_own_fp"]).select(*docs.columns)
+    own, doc, fp = (unused(docs.columns, x) for x in ("_own_fp", "_doc", "_fp"))
+    chosen = firsts.select(F.col("first.doc_id").alias(doc), F.col("first.fp").alias(fp))
+    named = with_fingerprint(docs, shingle, own)
+    met = named.join(chosen, named["doc_id"].eqNullSafe(chosen[doc]) & (named[own] == chosen[fp]), "left_semi")
+    return met.dropDuplicates(["doc_id", own]).select(*docs.columns)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buckets import in_units, whole_groups
-from .common import cut
+from .common import cut, unused
 from .components import connected_components
 
 MIN_WORDS = 20
@@ -234,11 +234,12 @@ def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> Data
 
 def remove_repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without the lines that are removed; n_chars follows if present."""
-    gone = repeated_paragraphs(docs, similarity).where("removed").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("paragraph").alias("_gone"))
     names = docs.columns
+    doc, lines_ = unused(names, "_doc"), unused(names, "_gone")
+    gone = repeated_paragraphs(docs, similarity).where("removed").groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("paragraph").alias(lines_))
     lines = F.split("text", "\n", -1)
-    kept = F.filter(F.transform(lines, lambda x, i: F.when(F.array_contains("_gone", i.cast("long")), F.lit(None)).otherwise(x)), lambda x: x.isNotNull())
-    out = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc"]), "left").withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
+    kept = F.filter(F.transform(lines, lambda x, i: F.when(F.array_contains(F.col(lines_), i.cast("long")), F.lit(None)).otherwise(x)), lambda x: x.isNotNull())
+    out = docs.join(gone, docs["doc_id"].eqNullSafe(gone[doc]), "left").withColumn("text", F.when(F.col(lines_).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*names)
