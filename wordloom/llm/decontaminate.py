@@ -86,11 +86,12 @@ def _blocks(rows: DataFrame, limit: int = BLOCK_ROWS) -> list[DataFrame]:
 
 
 def occurrences(docs: DataFrame, prefix: DataFrame) -> DataFrame:
-    """row, doc_id, n_words and each place (start, size, item_id) where a window occurs.
+    """row, the columns of ``docs`` but its text, n_words and each place (start, size, item_id) where a window occurs.
 
     Every document has at least one row; in that one, the place is null.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w"))
+    ids = ["row", *(c for c in docs.columns if c != "text")]
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), *ids[1:], words(F.col("text")).alias("w"))
     myself = docs.sparkSession.range(1).select(F.lit(SELF).cast("long").alias("h"), F.lit(0).alias("at"), F.array().cast("array<string>").alias("window"), F.lit(0).alias("size"), F.lit(None).cast("string").alias("item_id"))
     parts = []
     sizes = sorted((r[0] for r in prefix.select("k").distinct().collect()), reverse=True) or [SHINGLE]
@@ -99,12 +100,12 @@ def occurrences(docs: DataFrame, prefix: DataFrame) -> DataFrame:
             own = shingles("w", k)
             if not parts:
                 own, block = F.concat(own, F.array(F.lit(SELF).cast("long"))), block.unionByName(myself)
-            each = rows.select("row", "doc_id", "w", own.alias("own")).select("row", "doc_id", "w", F.posexplode("own").alias("pos", "h"))
+            each = rows.select(*ids, "w", own.alias("own")).select(*ids, "w", F.posexplode("own").alias("pos", "h"))
             met = each.join(F.broadcast(block), "h").withColumn("start", F.col("pos") - F.col("at"))
             room = (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.size("w"))
             same = F.slice("w", F.greatest(F.col("start") + 1, F.lit(1)), F.col("size")) == F.col("window")
             place = F.when(F.col("size") > 0, F.struct("start", "size"))
-            parts.append(met.where((F.col("size") == 0) | (room & same)).select("row", "doc_id", F.size("w").alias("n_words"), place.alias("place"), "item_id"))
+            parts.append(met.where((F.col("size") == 0) | (room & same)).select(*ids, F.size("w").alias("n_words"), place.alias("place"), "item_id"))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
@@ -119,11 +120,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     both met. Rows that repeat a doc_id are rows of their own. Other columns are not read;
     empty tables give empty or clean results.
     """
-    docs = docs.select("doc_id", "text")
+    return _judged(docs.select("doc_id", "text"), benchmark, window)
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     met = occurrences(docs, prefixes(docs, benchmark.select("item_id", "text"), window))
-    per_row = met.groupBy("row", "doc_id").agg(F.max("n_words").cast("long").alias("n_words"), F.collect_set("place").alias("places"), F.array_sort(F.collect_set("item_id")).alias("items"))
+    ids = [c for c in docs.columns if c != "text"]
+    per_row = met.groupBy("row", *ids).agg(F.max("n_words").cast("long").alias("n_words"), F.collect_set("place").alias("places"), F.array_sort(F.collect_set("item_id")).alias("items"))
     inside = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["start"], p["start"] + p["size"] - 1))))
-    return per_row.select("doc_id", "n_words", F.size(inside).cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items", (F.size("places") > 0).alias("contaminated"))
+    return per_row.select(*ids, "n_words", F.size(inside).cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items", (F.size("places") > 0).alias("contaminated"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -132,10 +137,12 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` in which no window occurs; rows that share a doc_id go together."""
-    doc = unused(docs.columns, "_doc")
-    bad = cut(contamination(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias(doc)).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[doc]), "left_anti")
+    """The rows of ``docs`` in which no window occurs; rows alike in doc_id and text go together."""
+    doc, mark = unused(docs.columns, "_doc"), unused(docs.columns, "_mark")
+    own = F.xxhash64("text")
+    judged = _judged(docs.select("doc_id", own.alias("mark"), "text"), benchmark, window)
+    bad = cut(judged.where("contaminated").select(F.col("doc_id").alias(doc), F.col("mark").alias(mark)).distinct())
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[doc]) & (F.xxhash64(docs["text"]) == bad[mark]), "left_anti")
 
 
 def oracle(window: int = WINDOW) -> str:
