@@ -12,33 +12,19 @@ def test_same_rows(name, same_rows):
 
 def test_pipeline(spark, data):
     import corpus_pipeline
-    from wordloom.llm import quality, simhash
+    from wordloom.llm import quality
 
-    from test_operators import base_spans, clusters_by_force, contaminated_by_force, fingerprint_by_force, ids, pieces_hold  # noqa: F401
+    from test_operators import base_spans, contaminated_by_force, ids, pieces_hold, similar_by_force
 
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
     good = {r["doc_id"] for r in quality.quality_rules(spark.read.parquet(f"{data}/documents.parquet")).where("kept").collect()}
-    fps = {d: fingerprint_by_force(docs[d]) for d in sorted(good)}
-    kept = []
-    root = {}
-
-    def find(x):
-        while root.setdefault(x, x) != x:
-            x = root[x]
-        return x
-
-    for d in fps:
-        for e in fps:
-            if e < d and (fps[d] ^ fps[e]).bit_count() <= 3:
-                a, b = find(d), find(e)
-                root[max(a, b)] = min(a, b)
-    kept = [d for d in fps if find(d) == d]
+    kept = similar_by_force([(d, docs[d]) for d in sorted(good)])
     dirty = {x[0] for x in contaminated_by_force([(d, docs[d]) for d in kept], items) if x[5]}
     want = set(kept) - dirty
     rows = corpus_pipeline.run(spark, data).collect()
     assert {r["doc_id"] for r in rows} == want
     clean = {d: docs[d] for d in want if not base_spans(docs[d])}
     own = {d: ids(t) + [1] for d, t in clean.items()}
-    assert pieces_hold([r for r in rows], own) == 0
+    assert pieces_hold(rows, own) == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "decontamination", "pii", "packing"]

@@ -377,6 +377,46 @@ def test_simhash_edges(edge, empty):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([1, 4, 6, 7, 8, 9, None], key=str)
 
 
+def similar_by_force(rows, similarity=0.8):
+    """The smallest ids of the groups of texts alike by shingles of five words; texts without shared words are found by index."""
+    sets, index, root = {}, collections.defaultdict(list), {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for d, t in rows:
+        w = (t or "").encode().lower().split()
+        mine = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+        for e, n in collections.Counter(e for s in mine for e in index[s]).items():
+            if n >= similarity * (len(mine) + len(sets[e]) - n):
+                a, b = find(d), find(e)
+                root[max(a, b)] = min(a, b)
+        find(d)
+        sets[d] = mine
+        for s in mine:
+            index[s].append(d)
+    return [d for d, _ in rows if find(d) == d]
+
+
+def test_similar_texts_like_brute_force(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [(i, words(r.randint(5, 200), 1000 + i)) for i in range(60)]
+    for g in range(6):  # groups of near copies, some of them chains, and exact copies in other case
+        base = words(r.randint(60, 300), 2000 + g).split()
+        for k in range(12):
+            own = list(base)
+            own[r.randrange(len(own))] = f"new{g}{k}"
+            if g % 2:
+                base = own
+            rows.append((100 + g * 20 + k, " ".join(own)))
+        rows.append((100 + g * 20 + 15, " ".join(base).upper() + "  "))
+    monkeypatch.setattr(substring_dedup, "BUCKET_ROWS", 5)
+    kept = simhash.keep_first(docs_of(spark, rows)).select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(similar_by_force(rows))
+
+
 @pytest.mark.parametrize("blocks,rows", [(4, 4096), (4, 16), (5, 4096), (6, 32)])
 def test_links_like_brute_force(spark, blocks, rows):
     r = random.Random(blocks)

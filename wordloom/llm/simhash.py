@@ -8,15 +8,22 @@ once: by the triangle inequality, a pair whose distances to any pivot differ by
 the scan of each row early; the other pivots discard most pairs that are left, and the rest
 are verified bit by bit. Pairs that are already linked are passed over, and only the links
 that join two groups leave the task, so a bucket yields fewer links than it has rows.
+
+Documents that are alike by word shingles (Jaccard of 0.8 or more) differ in far more bits than
+blocks can cover. For them, the distinct words of a text give a wide fingerprint of 256 bits;
+buckets are samples of its bits, as many as a recall of 0.99 takes; pivots and a limit on the
+distance give tentative groups; and inside those, exact Jaccard similarities decide.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +31,7 @@ from pyspark.sql import types as T
 from .buckets import in_units, merge, whole_groups
 from .common import cut, unused
 from .components import connected_components
+from .substring_dedup import class_of, shingle_hashes, verified_links
 
 SEED = 42
 PIVOTS = 16
@@ -31,6 +39,13 @@ BUCKET_ROWS = 4096
 #: Blocks are added until a bucket has about this many classes on average.
 MEAN_BUCKET = 64
 TASK_ROWS = 200_000
+#: Wide fingerprints: 64-bit words, share of bits in which near copies may differ, recall of the buckets.
+WIDE = 4
+WIDE_SHARE = 0.09
+WIDE_LIMIT = 0.13
+RECALL = 0.99
+SIMILARITY = 0.8
+SIMILAR_SHINGLE = 5
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -98,16 +113,20 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _linker(max_bits: int):
+def _linker(max_bits: int, width: int = 1):
+    """Links between fingerprints of ``width`` 64-bit words, given as (key, unit, near, fp) sorted by the first three."""
+
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        references = pivots()
+        references = pivots(PIVOTS * width).reshape(PIVOTS, width)
         for table in whole_groups(batches, 2, TASK_ROWS):
-            key, unit, near, fp = (c.to_numpy() for c in table.columns)
-            n = len(fp)
+            key, unit, near = (c.to_numpy() for c in table.columns[:3])
+            n = len(key)
             group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (unit[1:] != unit[:-1])]))
-            nodes, at = np.unique(fp, return_inverse=True)
-            bits = fp.view(np.uint64)
-            table_of = np.bitwise_count(bits[:, None] ^ references[None, :]).astype(np.int8)
+            coded = pc.dictionary_encode(table.column(3).combine_chunks())
+            nodes, at = coded.dictionary, coded.indices.to_numpy()
+            raw = nodes.to_numpy(zero_copy_only=False) if width == 1 else np.frombuffer(b"".join(nodes.to_pylist()), dtype="<u8")
+            bits = raw.view(np.uint64).reshape(-1, width)[at]
+            distances = [np.bitwise_count(bits ^ r).sum(axis=1, dtype=np.int16) for r in references]
             label = np.arange(len(nodes))
             a, lag = np.arange(n - 1), 1
             while True:
@@ -116,15 +135,15 @@ def _linker(max_bits: int):
                 if not len(a):
                     break
                 left = a[label[at[a]] != label[at[a + lag]]]
-                for p in range(1, len(references)):
+                for d in distances[1:]:
                     if not len(left):
                         break
-                    left = left[np.abs(table_of[left, p] - table_of[left + lag, p]) <= max_bits]
-                left = left[np.bitwise_count(bits[left] ^ bits[left + lag]) <= max_bits]
+                    left = left[np.abs(d[left] - d[left + lag]) <= max_bits]
+                left = left[np.bitwise_count(bits[left] ^ bits[left + lag]).sum(axis=1, dtype=np.int16) <= max_bits]
                 label = merge(label, at[left], at[left + lag])
                 lag += 1
             moved = np.flatnonzero(label != np.arange(len(nodes)))
-            yield pa.record_batch([pa.array(nodes[moved]), pa.array(nodes[label[moved]])], names=["a", "b"])
+            yield pa.record_batch([nodes.take(pa.array(moved)), nodes.take(pa.array(label[moved]))], names=["a", "b"])
 
     return link
 
@@ -164,18 +183,116 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Dat
     return fps.join(named, "fp").select("doc_id", text, "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """One row of each component of ``docs``, with its columns as they were.
+# Wide fingerprints and shingle similarity
+
+
+def wide_fingerprint(words: list[bytes], width: int = WIDE) -> bytes:
+    """SimHash over the distinct words, ``width`` words of 64 bits; zeros without words."""
+    import xxhash
+
+    if not words:
+        return bytes(8 * width)
+    own = np.array([xxhash.xxh3_128_digest(w + bytes([k])) for w in set(words) for k in range(width // 2)], dtype="S16")
+    bits = np.unpackbits(np.frombuffer(own.tobytes(), dtype=np.uint8).reshape(-1, 8 * width), axis=1)
+    return np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(bits)).tobytes()
+
+
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
-    The row with the smallest doc_id stays; null ids come last, and of rows alike in doc_id and
-    fingerprint one stays.
+
+def _with_class(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` and the 128-bit hash of each text's lower-cased words."""
+    at, schema = docs.columns.index("text"), T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes = [class_of(_words(x.as_py())) for x in batch.column(at)]
+            yield pa.record_batch([*batch.columns, pa.array(classes, pa.binary())], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(add, schema)
+
+
+def _signed_texts(docs: DataFrame) -> DataFrame:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [_words(x.as_py()) for x in batch.column(1)]
+            columns = [batch.column(0), pa.array([class_of(w) for w in words], pa.binary()), pa.array([wide_fingerprint(w) for w in words], pa.binary())]
+            yield pa.record_batch(columns, names=["doc_id", "class", "fp"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, "doc_id long, class binary, fp binary")
+
+
+def samples_for(n: int) -> tuple[int, int]:
+    """(bits, tables): samples long enough that strangers rarely meet, and enough of them for the recall."""
+    bits = min(max(24, n.bit_length() + 6), 48)
+    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - WIDE_SHARE) ** bits))
+
+
+def wide_links(fps: DataFrame, max_bits: int, bits: int, tables: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Links between distinct wide fingerprints (column fp) that share a sample of bits and differ in ``max_bits`` at most."""
+    drawn = [np.random.default_rng([SEED, t]).choice(64 * WIDE, size=bits, replace=False) for t in range(tables)]
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, first = np.uint64(1) << np.arange(bits, dtype=np.uint64), pivots(WIDE)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                fp = batch.column(0).slice(at, 4096)
+                raw = np.frombuffer(b"".join(fp.to_pylist()), dtype=np.uint8).reshape(len(fp), 8 * WIDE)
+                ones = np.unpackbits(raw, axis=1).astype(np.uint64)
+                near = np.bitwise_count(raw.view("<u8") ^ first).sum(axis=1, dtype=np.int32)
+                for t, chosen in enumerate(drawn):
+                    key = ones[:, chosen] @ weights + (np.uint64(t) << np.uint64(bits))
+                    yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(near), fp], names=["key", "near", "fp"])
+
+    rows = fps.select("fp").mapInArrow(keys, "key long, near int, fp binary")
+    units = in_units(rows, "key", "fp", bucket_rows).select("key", "unit", "near", "fp")
+    return units.repartition("key", "unit").sortWithinPartitions("key", "unit", "near").mapInArrow(_linker(max_bits, WIDE), "a binary, b binary")
+
+
+def _shingle_sets(rows: DataFrame) -> DataFrame:
+    """(group, class, distinct shingle hashes) of rows (group, class, text)."""
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(_words(x.as_py()) or [b""], SIMILAR_SHINGLE)).view(np.int64) for x in batch.column(2)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))], names=["key", "class", "shingles"])
+
+    return rows.mapInArrow(shingle, "key binary, class binary, shingles array<long>")
+
+
+def similar_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(class, root, first) for each distinct text: its cluster by shingle similarity, and its first row.
+
+    ``first`` orders rows by doc_id (none comes last) within the class.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
+    classes = cut(_signed_texts(docs).groupBy("class").agg(F.min(order).alias("first"), F.first("fp").alias("fp")))
+    fps = cut(classes.select("fp").distinct())
+    bits, tables = samples_for(fps.count())
+    near = connected_components(wide_links(fps, int(64 * WIDE * WIDE_LIMIT), bits, tables))
+    grouped = classes.join(near.withColumnRenamed("node", "fp"), "fp", "left").select("class", "first", F.coalesce("component", "fp").alias("key"))
+    several = grouped.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    met = cut(grouped.join(several, "key").select("key", "class", "first.doc_id"))
+    source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    wanted = source.join(met.select("doc_id").distinct(), F.col("id").eqNullSafe(F.col("doc_id")), "left_semi")
+    texts = _with_class(wanted.select("text"), "class").dropDuplicates(["class"])
+    sets = _shingle_sets(met.select("key", "class").join(texts, "class").select("key", "class", "text"))
+    linked = connected_components(verified_links(sets, similarity)).withColumnRenamed("node", "class")
+    return classes.join(linked, "class", "left").select("class", F.coalesce("component", "class").alias("root"), "first")
+
+
+def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row of each cluster of near duplicates in ``docs``, with its columns as they were.
+
+    Texts with the same words are duplicates, empty and null ones included; others are linked
+    by the Jaccard similarity of their shingles of five words. The row with the smallest doc_id
+    stays; null ids come last, and of rows alike in doc_id and words one stays.
     """
-    fps = cut(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
-    roots = class_components(fps, max_bits)
-    firsts = fps.groupBy("fp").agg(F.min(order).alias("first")).join(roots, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    own, doc, fp = (unused(docs.columns, x) for x in ("_own_fp", "_doc", "_fp"))
-    chosen = firsts.select(F.col("first.doc_id").alias(doc), F.col("first.fp").alias(fp))
-    named = with_fingerprint(docs, shingle, own)
-    met = named.join(chosen, named["doc_id"].eqNullSafe(chosen[doc]) & (named[own] == chosen[fp]), "left_semi")
-    return met.dropDuplicates(["doc_id", own]).select(*docs.columns)
+    clusters = cut(similar_classes(docs.select("doc_id", "text"), similarity))
+    chosen = clusters.groupBy("root").agg(F.min(F.struct("first", "class")).alias("first"))
+    own, doc, met = (unused(docs.columns, x) for x in ("_own_class", "_doc", "_class"))
+    chosen = chosen.select(F.col("first.first.doc_id").alias(doc), F.col("first.class").alias(met))
+    named = _with_class(docs, own)
+    kept = named.join(chosen, named["doc_id"].cast("long").eqNullSafe(chosen[doc]) & (named[own] == chosen[met]), "left_semi")
+    return kept.dropDuplicates(["doc_id", own]).select(*docs.columns)

@@ -178,7 +178,7 @@ def _groups(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, in
 def _verify(similarity: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 2, TASK_ROWS):
-            key, unit, node = table.column(0).to_numpy(), table.column(1).to_numpy(), table.column(2).to_pylist()
+            key, unit, node = table.column(0).to_numpy(), table.column(1).to_numpy(), table.column(2).to_pylist()  # a binary key is an object array
             shingles = table.column(3).combine_chunks()
             flat, cuts = shingles.values.to_numpy(), shingles.offsets.to_numpy()
             edges = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (unit[1:] != unit[:-1]), [True]]))
@@ -192,6 +192,15 @@ def _verify(similarity: float):
     return verify
 
 
+def verified_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between the classes of each bucket whose shingle sets are similar enough.
+
+    ``rows`` has key (the bucket), class and shingles; links join whatever is in reach.
+    """
+    units = in_units(rows, "key", "class", BUCKET_ROWS).select("key", "unit", "class", "shingles")
+    return units.repartition("key", "unit").sortWithinPartitions("key", "unit", "class").mapInArrow(_verify(similarity), "a binary, b binary")
+
+
 def clusters(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(class, cluster) of the classes that stand more than once or have near copies.
 
@@ -208,9 +217,7 @@ def clusters(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = _shingled(source.join(wanted, source["doc_id"].eqNullSafe(wanted["doc_id"])).select("text", "numbers")).dropDuplicates(["class"])
     full = met.select("key", "class").join(sets, "class")
-    units = in_units(full, "key", "class", BUCKET_ROWS).select("key", "unit", "class", "shingles")
-    found = units.repartition("key", "unit").sortWithinPartitions("key", "unit", "class").mapInArrow(_verify(similarity), "a binary, b binary")
-    joined = connected_components(found).withColumnRenamed("node", "class")
+    joined = connected_components(verified_links(full, similarity)).withColumnRenamed("node", "class")
     named = classes.select("class", "n").join(joined, "class", "left")
     return named.where("n > 1 OR component IS NOT NULL").select("class", F.coalesce("component", "class").alias("cluster"))
 
