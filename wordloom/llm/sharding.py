@@ -169,7 +169,8 @@ class ShardTable:
             return None
         live = self.manifest(after)
         runs = self._planned(live)
-        if runs.isEmpty():
+        n_runs = runs.select("run").distinct().count()
+        if not n_runs:
             return None
         writer = self._writer
 
@@ -203,7 +204,8 @@ class ShardTable:
             if file is not None:
                 yield done()
 
-        ordered = runs.select("path", "run").repartition("run").sortWithinPartitions("run", "path")
+        # A task for each run: its rows are few, but each stands for a shard to be read.
+        ordered = runs.select("path", "run").repartitionByRange(n_runs, "run").sortWithinPartitions("run", "path")
         merged = self._pinned(ordered.mapInArrow(merge, SHARD_DDL))
         kept = live.join(runs.select("path"), "path", "left_anti")
         return self._commit(kept.unionByName(merged), after, self._version(after)[1])
