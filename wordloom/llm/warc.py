@@ -37,7 +37,7 @@ BLOCK_ENTRIES = 512
 MAGIC = b"WLCDXIX1"
 #: Repeated payloads up to this number are broadcast (about 100 bytes each); more are shuffled.
 BROADCAST_ROWS = 100_000
-STRETCH = 64 << 20  # records of one stretch of an archive are read by one task
+STRETCH = 64 << 20  # bytes of archives that one task reads
 READ_AHEAD = 8 << 20
 GAP = 256 << 10
 
@@ -283,8 +283,11 @@ def read_records(captures: DataFrame, payloads: bool = False) -> DataFrame:
                 i = j
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * width, types)], names=names[:width])
 
-    stretch = F.floor(F.col("offset") / STRETCH)
-    ordered = captures.select("file", "offset", "length").repartition("file", stretch).sortWithinPartitions("file", "offset")
+    # A capture is a small row that stands for much reading, so the bytes to be read set the number of tasks.
+    captures = cut(captures.select("file", "offset", "length"))
+    n_bytes = captures.agg(F.sum("length")).first()[0] or 0
+    tasks = max(-(-n_bytes // STRETCH), captures.sparkSession.sparkContext.defaultParallelism)
+    ordered = captures.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(read, RECORD_DDL + (", payload binary" if payloads else ""))
 
 
