@@ -75,3 +75,80 @@ def display_lines(text: pd.Series) -> pd.Series:
     import textwrap
 
     return text.map(lambda t: [x for p in t.split("\n") for x in (textwrap.wrap(p, 72, break_long_words=False, break_on_hyphens=False) or [""])], na_action="ignore")
+
+
+def _walk(value, path: str = "$"):
+    """(path, key, value) of every key at any depth."""
+    if isinstance(value, dict):
+        for key, inner in value.items():
+            yield f"{path}.{key}", key, inner
+            yield from _walk(inner, f"{path}.{key}")
+    elif isinstance(value, list):
+        for i, inner in enumerate(value):
+            yield from _walk(inner, f"{path}[{i}]")
+
+
+def _parsed(text: str | None):
+    import json
+
+    try:
+        return json.loads(text) if text is not None else None
+    except ValueError:
+        return None
+
+
+def keyed_values(*names: str):
+    """Texts that stand under one of the names at any depth of a JSON document; none if it doesn't parse."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def values(documents: pd.Series) -> pd.Series:
+        return documents.map(lambda d: [v for _, key, v in _walk(_parsed(d)) if key in names and isinstance(v, str)])
+
+    return values
+
+
+def paths_of(*names: str):
+    """Paths at which one of the names stands as a key, at any depth of a JSON document."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def paths(documents: pd.Series) -> pd.Series:
+        return documents.map(lambda d: [path for path, key, _ in _walk(_parsed(d)) if key in names])
+
+    return paths
+
+
+@F.pandas_udf(T.StringType())
+def json_in_text(texts: pd.Series) -> pd.Series:
+    """The JSON value in noisy text, in canonical form; null if there is none.
+
+    The whole text is tried first, then fenced blocks; a text under ``result`` is searched in
+    turn, and ``structured_output`` is unwrapped. Failing that, the first object or array with
+    which the text ends counts.
+    """
+    import json
+    import re
+
+    fence = re.compile(r"```(?:json)?\s*(.*?)\s*```", re.IGNORECASE | re.DOTALL)
+
+    def find(text: str):
+        text = text.strip()
+        for part in (text, *fence.findall(text)):
+            try:
+                value = json.loads(part)
+            except ValueError:
+                continue
+            if isinstance(value, dict) and isinstance(value.get("result"), str) and (inner := find(value["result"])):
+                return inner
+            return (value["structured_output"],) if isinstance(value, dict) and "structured_output" in value else (value,)
+        for start in re.finditer(r"[\[{]", text):
+            try:
+                return (json.loads(text[start.start() :]),)
+            except ValueError:
+                continue
+        return None
+
+    def one(text):
+        found = None if text is None else find(text)
+        return None if found is None else json.dumps(found[0], sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+    return texts.map(one)
