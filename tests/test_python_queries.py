@@ -44,3 +44,43 @@ def test_stateful_lifecycle(spark, data):
         want[r["user_id"]] = (r["state"], n + 1, bad + (not r["legal"]))
     got = {r["user_id"]: (r["state"], r["steps"], r["illegal"]) for r in run("stateful_lifecycle", spark, data)}
     assert got == want
+
+
+def test_monotone_alignment(spark, data):
+    import json
+
+    from wordloom.plans.geometry_queries import marked
+
+    got = {r["item_id"]: (json.loads(r["spans"]), r["status"]) for r in run("monotone_alignment", spark, data)}
+    rows = marked(spark, data).collect()
+    assert len(rows) == len(got)
+    for r in rows:
+        words, spans = r["w"], [r["spans"][i] for i in (1, 0, 2, 3)]
+        last, status, want = -1, "aligned", []
+        for s in spans:
+            phrase = words[s["start"] : s["end"]] if s else []
+            at = [i for i in range(len(words) - len(phrase) + 1) if phrase and words[i : i + len(phrase)] == phrase]
+            good = [i for i in at if i >= last]
+            if not at:
+                status = "unmatched_marked_part"
+                want.append(None)
+                continue
+            if not good:
+                status = "aligned_with_repeated_or_nonmonotonic_occurrence"
+            start = (good or at)[0]
+            last = start + len(phrase)
+            want.append({"start": start, "end": last})
+        assert got[r["item_id"]] == (want, status)
+
+
+def test_stratified_sample(spark, data):
+    rows = [r.asDict() for r in spark.read.parquet(f"{data}/orders.parquet").selectExpr("o_orderkey", "o_orderstatus", "o_orderpriority", "year(o_orderdate) AS year").collect()]
+    got = {(r["o_orderstatus"], r["rank"]): r["o_orderkey"] for r in run("stratified_sample", spark, data)}
+    for state in {r["o_orderstatus"] for r in rows}:
+        pool, picked = [r for r in rows if r["o_orderstatus"] == state], []
+        while pool and len(picked) < 12:
+            times = lambda field, r: sum(p[field] == r[field] for p in picked)
+            best = min(pool, key=lambda r: (times("o_orderpriority", r), times("year", r), r["o_orderkey"]))
+            pool.remove(best)
+            picked.append(best)
+            assert got[state, len(picked)] == best["o_orderkey"]
