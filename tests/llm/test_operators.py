@@ -97,18 +97,63 @@ def test_paragraphs_like_brute_force(spark, monkeypatch):
     rows += [(60 + d, words(25, 7)) for d in range(5)]
     want = clusters_by_force(rows)
     monkeypatch.setattr(substring_dedup, "BUCKET_ROWS", 8)  # many chunks of one bucket
-    got = {(x["doc_id"], x["paragraph"]): x["cluster_id"] for x in substring_dedup.repeated_paragraphs(docs_of(spark, rows)).collect()}
+    got = {(x["doc_id"], x["paragraph"]): x["cluster_id"] for x in substring_dedup.repeated_paragraphs(docs_of(spark, rows)).where("kind = 'line'").collect()}
     assert got == want and len(got) > 60
 
 
 def test_paragraph_edges(edge, empty):
-    rows = substring_dedup.repeated_paragraphs(edge).collect()
+    both = substring_dedup.repeated_paragraphs(edge).collect()
+    rows = [r for r in both if r["kind"] == "line"]
+    assert {r["doc_id"] for r in both} == {4, 5}
     assert {r["doc_id"] for r in rows} == {4, 5} and sum(r["removed"] for r in rows) == 1
     assert substring_dedup.repeated_paragraphs(empty).count() == 0
     kept = {r["doc_id"]: r for r in substring_dedup.remove_repeats(edge).where("doc_id IN (4, 5)").collect()}
     assert kept[5]["text"] == "" and kept[5]["n_chars"] == 0 and kept[4]["text"] == words(60, 1)
 
 
+def test_passages_like_brute_force(spark):
+    r, shared, rows = random.Random(8), [words(n, 900 + n) for n in (50, 54, 75)], []
+    for d in range(40):
+        parts = [words(r.randrange(5, 120), 2000 + d)]
+        for _ in range(r.randrange(3)):
+            passage = r.choice(shared).split(" ")
+            passage[r.randrange(1, 49)] += "\n"  # a line may break inside a passage
+            parts += [" ".join(passage).upper(), words(r.randrange(5, 60), 3000 + r.randrange(10**6))]
+        rows.append((d, " ".join(parts)))
+    rows += [(50, "a " * 300), (51, "a " * 300 + "b"), (None, words(80, 4)), (60, None), (61, "")]
+    runs, where = {d: (t or "").lower().split() for d, t in rows}, collections.defaultdict(set)
+    for size in (20, 50):
+        for d, w in runs.items():
+            for k in range(len(w) - size + 1):
+                where[tuple(w[k : k + size])].add(d)
+    got = collections.defaultdict(list)
+    for x in substring_dedup.repeated_passages(docs_of(spark, rows)).collect():
+        got[x["doc_id"]].append(range(x["first_word"], x["first_word"] + x["n_words"]))
+    found = 0
+    for d, w in runs.items():
+        for k in range(len(w) - 49):
+            if len(where[tuple(w[k : k + 50])]) > 1:  # some window of each stretch is reported
+                assert any(set(p) & set(range(k, k + 50)) for p in got[d])
+                found += 1
+        for p in got[d]:
+            assert len(where[tuple(w[p.start : p.start + 20])]) > 1 and len(where[tuple(w[p.stop - 20 : p.stop])]) > 1
+    assert found > 30 and {50, 51} <= set(got) and None not in got
+    texts = {x["doc_id"]: x["text"] for x in substring_dedup.remove_repeats(docs_of(spark, rows)).collect()}
+    assert texts[None] == rows[42][1] and texts[60] is None and texts[50] == rows[40][1]
+    assert all(set(texts[d].split()) <= set(t.split()) for d, t in rows if t) and sum(len(texts[d]) < len(t) for d, t in rows if t) > 5
+
+
+def test_windows_depend_on_their_words_only():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 1 << 60, size=(2, 300)).astype(np.uint64)
+    for n in range(substring_dedup.REACH, 90, 3):
+        b[100 : 100 + n] = a[37 : 37 + n]
+        one, two = (set(substring_dedup.chosen_windows(np.concatenate([b[:at], x]), np.array([at, 300]))[1].tolist()) for x, at in ((a, 7), (b, 60)))
+        assert one & two
+
+
 def test_bands_reach_recall():
     bands, rows = substring_dedup.tune_bands(0.8, 0.99)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.99

@@ -5,17 +5,23 @@ lower-casing and with single blanks) are one class. Classes whose MinHash signat
 a band meet in a bucket; there, exact Jaccard similarities of their word shingles decide, and
 short of a link that joins two groups nothing leaves the task. Connected components of the
 links are the clusters; all but the first paragraph of a cluster are removed.
+
+Passages that repeat across documents without regard to lines are found by windows of as many
+words as the shortest paragraph. Which windows of a text stand for it depends on their own words
+only (the least hash of a stretch), so any run of REACH words that two documents share has one
+of them in common. Their hashes are counted, and what repeats is joined up to passages.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .buckets import in_units, whole_groups
@@ -30,6 +36,10 @@ MAX_BANDS = 8
 BUCKET_ROWS = 1024
 TASK_ROWS = 20_000
 SEED = 42
+#: A run of so many words that two documents share is always found, wherever it stands.
+REACH = 50
+_FACTOR = 0x9E3779B97F4A7C15
+_WORD = re.compile(r"[^\x20\x09-\x0d]+")
 
 
 def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, max_bands: int = MAX_BANDS) -> tuple[int, int]:
@@ -131,6 +141,90 @@ def located(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(locate, "doc_id long, number int, start long, length long, n_words long, class binary")
 
 
+def _sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
+    """The least (or greatest) of each ``width`` values in a row."""
+    pick, out, have = np.minimum if least else np.maximum, values, 1
+    while 2 * have <= width:
+        out, have = pick(out[:-have], out[have:]), 2 * have
+    return pick(out[: len(values) - width + 1], out[width - have :]) if have < width else out
+
+
+def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` word hashes, each from the words alone, by prefix sums modulo 2**64."""
+    inverse = np.uint64(pow(_FACTOR, -1, 1 << 64))
+    powers = np.cumprod(np.full(len(h), np.uint64(_FACTOR), dtype=np.uint64))
+    back = np.cumprod(np.full(len(h) - size + 1, inverse, dtype=np.uint64))
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(h * powers, dtype=np.uint64)])
+    return _mixed((sums[size:] - sums[:-size]) * back)
+
+
+def chosen_windows(h: np.ndarray, lengths: np.ndarray, size: int = MIN_WORDS, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
+    """(start in ``h``, hash) of the windows that stand for texts of ``lengths`` words, whose word hashes are ``h``.
+
+    Of each ``reach`` words in a row the window with the least hash is chosen; of equal ones
+    that follow each other, one in ``size``, so that they touch.
+    """
+    if len(h) < reach:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    hashes, width = window_hashes(h, size), reach - size + 1
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    least = _sliding(hashes, width, True)
+    least[text[: len(least)] != text[reach - 1 :]] = 0  # a stretch over two texts chooses nothing
+    edge = np.zeros(width - 1, dtype=np.uint64)
+    chosen = _sliding(np.concatenate([edge, least, edge]), width, False) == hashes
+    number, fresh = np.arange(len(hashes)), np.ones(len(hashes), dtype=bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (text[1 : len(hashes)] != text[: len(hashes) - 1])
+    chosen &= (number - np.maximum.accumulate(np.where(fresh, number, 0))) % size == 0
+    at = np.flatnonzero(chosen)
+    return at, hashes[at]
+
+
+def windowed(docs: DataFrame) -> DataFrame:
+    """The chosen windows of each text: key, doc_id, first (word, from 0), text (the sum of its words' hashes)."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                ids = part.column(0).to_numpy(zero_copy_only=False) if not part.column(0).null_count else None
+                words = [(x.as_py() or "").encode("utf-8", "surrogatepass").lower().split() for x in part.column(1)]
+                lengths = np.array([len(w) for w in words], dtype=np.int64)
+                h = word_hashes([w for own in words for w in own])
+                places, hashes = chosen_windows(h, lengths)
+                ends = np.cumsum(lengths)
+                row = np.searchsorted(ends, places, side="right")
+                starts = ends - lengths
+                names = part.column(0).take(pa.array(row)) if ids is None else pa.array(ids[row], pa.int64())
+                total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(h, dtype=np.uint64)])
+                texts = total[ends[row]] - total[starts[row]]
+                yield pa.record_batch([_signed(hashes), names, pa.array((places - starts[row]).astype(np.int32)), _signed(texts)], names=["key", "doc_id", "first", "text"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(choose, "key long, doc_id long, first int, text long")
+
+
+def repeated_passages(docs: DataFrame, size: int = MIN_WORDS) -> DataFrame:
+    """doc_id, text, first_word, n_words, cluster_id, cluster_size, removed of each passage that other documents have too.
+
+    A passage joins the repeated windows of a text that touch. It is removed where each of its
+    windows has stood in a document before (in the order of doc_id, null last); cluster_id is the
+    first of those documents, cluster_size the most often that a window stands anywhere. Rows
+    that share a doc_id, or have none, are not told apart as documents.
+    """
+    found = windowed(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "first")
+    document = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
+    seen = found.groupBy("key").agg(F.min(place).alias("at"), F.max(document).alias("last"), F.count("*").alias("n"))
+    several = seen.where("at.none <> last.none OR at.doc_id <> last.doc_id").select("key", "at", "n")
+    met = found.join(several, "key").withColumn("removed", place != F.col("at"))
+    own = Window.partitionBy("doc_id", "text", "removed").orderBy("first")
+    before = F.lag("first").over(own)
+    apart = met.withColumn("new", F.when(before.isNull() | (F.col("first") - before > size), 1).otherwise(0))
+    joined = apart.withColumn("passage", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    n_words = (F.max("first") - F.min("first") + size).cast("long").alias("n_words")
+    told = joined.groupBy("doc_id", "text", "removed", "passage").agg(F.min("first").cast("long").alias("first_word"), n_words, F.min("at.doc_id").alias("cluster_id"), F.max("n").alias("cluster_size"))
+    return told.drop("passage")
+
+
 def _shingled(docs: DataFrame) -> DataFrame:
     """The paragraphs named in ``numbers`` of each row (text, numbers): class and its distinct shingles."""
 
@@ -223,30 +317,71 @@ def clusters(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 
 def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The paragraphs of ``docs`` (doc_id, text) that belong to a cluster of two or more.
-
-    doc_id, paragraph (its line), start and length (code points), n_words, cluster_id (the
-    smallest doc_id in it), cluster_size, removed (all but the first by doc_id and line). Null
-    and empty texts have no paragraphs; rows that repeat a doc_id are compared like others and,
-    being alike in doc_id and line, are kept once. Null ids come last. Other columns are not
-    read; a table without repeats, or an empty one, gives an empty result.
+    """The paragraphs and passages of ``docs`` (doc_id, text) that repeat.
+
+    Rows of the kind ``line`` are the paragraphs that belong to a cluster of two or more: doc_id,
+    paragraph (its line), start and length (code points), n_words, cluster_id (the smallest
+    doc_id in it), cluster_size, removed (all but the first by doc_id and line). Rows of the
+    kind ``passage`` are runs of words that other documents have as well, from ``first_word``
+    on; see ``repeated_passages``. Null and empty texts have neither; rows that repeat a doc_id
+    are compared like others and, being alike in doc_id and line, are kept once. Null ids come
+    last. Other columns are not read; a table without repeats, or an empty one, gives an empty
+    result.
     """
     docs = docs.select("doc_id", "text")
     members = located(docs).join(clusters(docs, similarity), "class")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("number"), "class")
     firsts = members.groupBy("cluster").agg(F.min(order).alias("first"), F.count("*").alias("cluster_size"))
     told = members.join(firsts, "cluster")
-    return told.select("doc_id", F.col("number").cast("long").alias("paragraph"), "start", "length", "n_words", F.col("first.doc_id").alias("cluster_id"), "cluster_size", (order != F.col("first")).alias("removed"))
+    lines = told.select(F.lit("line").alias("kind"), "doc_id", F.col("number").cast("long").alias("paragraph"), "start", "length", "n_words", F.col("first.doc_id").alias("cluster_id"), "cluster_size", (order != F.col("first")).alias("removed"))
+    passages = repeated_passages(docs).drop("text").withColumn("kind", F.lit("passage"))
+    return lines.unionByName(passages, allowMissingColumns=True)
+
+
+def _without(text: str, lines: set[int], runs: list[tuple[int, int]]) -> str:
+    """``text`` without the lines of these numbers and the words of these runs (first, count); a line left empty goes too."""
+    kept, word = [], 0
+    for number, line in enumerate(text.split("\n")):
+        spans = [m.span() for m in _WORD.finditer(line)]
+        gone = [any(a <= word + i < a + n for a, n in runs) for i in range(len(spans))]
+        word += len(spans)
+        if number in lines or (gone and all(gone)):
+            continue
+        for (start, end), out in zip(reversed(spans), reversed(gone)):
+            if out:
+                line = line[:start].rstrip(" ") + line[end:] if start else line[end:].lstrip(" ")
+        kept.append(line)
+    return "\n".join(kept)
 
 
 def remove_repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the lines that are removed; n_chars follows if present."""
-    names = docs.columns
-    doc, lines_ = unused(names, "_doc"), unused(names, "_gone")
-    gone = repeated_paragraphs(docs, similarity).where("removed").groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("paragraph").alias(lines_))
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(F.transform(lines, lambda x, i: F.when(F.array_contains(F.col(lines_), i.cast("long")), F.lit(None)).otherwise(x)), lambda x: x.isNotNull())
-    out = docs.join(gone, docs["doc_id"].eqNullSafe(gone[doc]), "left").withColumn("text", F.when(F.col(lines_).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
+    """``docs`` without the lines and passages that are removed; n_chars follows if present.
+
+    Texts from which nothing is removed stay as they are, null ones included; rows without a
+    doc_id keep their passages.
+    """
+    names, at = docs.columns, docs.columns.index("text")
+    doc, lines_, runs_ = (unused(names, x) for x in ("_doc", "_lines", "_runs"))
+    told = repeated_paragraphs(docs, similarity).where("removed")
+    gone = told.where("kind = 'line'").groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("paragraph").alias(lines_))
+    cut_out = repeated_passages(docs).where("removed AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.collect_list(F.struct("text", "first_word", "n_words")).alias(runs_))
+    both = gone.join(cut_out, gone[doc].eqNullSafe(cut_out["doc_id"]), "full").select(F.coalesce(F.col(doc), F.col("doc_id")).alias(doc), lines_, runs_)
+    joined = docs.join(both, docs["doc_id"].cast("long").eqNullSafe(both[doc]), "left").select(*names, lines_, runs_)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, lines, runs in zip(batch.column(at).to_pylist(), *(batch.column(len(names) + i).to_pylist() for i in (0, 1))):
+                if text is not None and (lines or runs):
+                    h = word_hashes(text.encode("utf-8", "surrogatepass").lower().split())
+                    own = int(np.sum(h, dtype=np.uint64).view(np.int64)) if len(h) else 0
+                    text = _without(text, set(lines or ()), [(r["first_word"], r["n_words"]) for r in runs or () if r["text"] == own])
+                texts.append(text)
+            columns = [batch.column(i) for i in range(len(names))]
+            columns[at] = pa.array(texts, batch.column(at).type)
+            yield pa.record_batch(columns, names=names)
+
+    out = joined.mapInArrow(clean, docs.schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*names)
