@@ -205,23 +205,22 @@ def windowed(docs: DataFrame) -> DataFrame:
 def repeated_passages(docs: DataFrame, size: int = MIN_WORDS) -> DataFrame:
     """doc_id, text, first_word, n_words, cluster_id, cluster_size, removed of each passage that other documents have too.
 
-    A passage joins the repeated windows of a text that touch. It is removed where each of its
-    windows has stood in a document before (in the order of doc_id, null last); cluster_id is the
-    first of those documents, cluster_size the most often that a window stands anywhere. Rows
+    A passage joins the repeated windows of a text that touch. It is removed where a
+    document before has each of its windows (in the order of doc_id, null last); cluster_id is
+    the first of those documents, cluster_size the most often that a window stands anywhere. Rows
     that share a doc_id, or have none, are not told apart as documents.
     """
     found = windowed(docs)
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "first")
-    document = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
-    seen = found.groupBy("key").agg(F.min(place).alias("at"), F.max(document).alias("last"), F.count("*").alias("n"))
-    several = seen.where("at.none <> last.none OR at.doc_id <> last.doc_id").select("key", "at", "n")
-    met = found.join(several, "key").withColumn("removed", place != F.col("at"))
+    seen = found.groupBy("key").agg(F.min("doc_id").alias("at"), F.max("doc_id").alias("last"), F.count("*").alias("n"), F.count("doc_id").alias("named"))
+    # Written before it is joined, so that Spark can split the rows of a window that very many documents have.
+    several = cut(seen.where("at <> last OR named BETWEEN 1 AND n - 1").select("key", "at", "n"))
+    met = found.join(several, "key").withColumn("removed", ~F.col("doc_id").eqNullSafe(F.col("at")))
     own = Window.partitionBy("doc_id", "text", "removed").orderBy("first")
     before = F.lag("first").over(own)
     apart = met.withColumn("new", F.when(before.isNull() | (F.col("first") - before > size), 1).otherwise(0))
     joined = apart.withColumn("passage", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     n_words = (F.max("first") - F.min("first") + size).cast("long").alias("n_words")
-    told = joined.groupBy("doc_id", "text", "removed", "passage").agg(F.min("first").cast("long").alias("first_word"), n_words, F.min("at.doc_id").alias("cluster_id"), F.max("n").alias("cluster_size"))
+    told = joined.groupBy("doc_id", "text", "removed", "passage").agg(F.min("first").cast("long").alias("first_word"), n_words, F.min("at").alias("cluster_id"), F.max("n").alias("cluster_size"))
     return told.drop("passage")
 
 
