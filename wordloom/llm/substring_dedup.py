@@ -35,6 +35,7 @@ RECALL = 0.99
 MAX_BANDS = 8
 BUCKET_ROWS = 1024
 TASK_ROWS = 20_000
+SLICE_ROWS = 128
 SEED = 42
 #: A run of so many words that two documents share is always found, wherever it stands.
 REACH = 50
@@ -97,6 +98,13 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts so small that the arrays made of one stay in the processor's cache."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def banded(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """Each paragraph: doc_id, number, class (128 bits) and its band keys."""
     import xxhash
@@ -104,20 +112,23 @@ def banded(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     factors = np.array([xxhash.xxh3_64_intdigest(i.to_bytes(4, "little"), SEED) | 1 for i in range(bands * rows)], dtype=np.uint64)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, numbers, classes, parts = [], [], [], []
+        for batch in in_slices(batches):
+            ids, numbers, classes, sizes, flat_words = [], [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for number, _, _, words in paragraphs(text.as_py()):
                     ids.append(doc_id)
                     numbers.append(number)
                     classes.append(class_of(words))
-                    parts.append(shingle_hashes(words))
-            starts = np.cumsum([0, *map(len, parts)])[:-1]
-            flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
-            keys = np.zeros((len(parts), bands), dtype=np.uint64)
-            if parts:
+                    sizes.append(len(words))
+                    flat_words += words
+            keys = np.zeros((len(sizes), bands), dtype=np.uint64)
+            if sizes:
+                # Shingles of all paragraphs at once, but those over two of them; each has MIN_WORDS words at least.
+                of = np.repeat(np.arange(len(sizes)), sizes)
+                flat = shingle_hashes(flat_words)[of[: 1 - SHINGLE] == of[SHINGLE - 1 :]]
+                starts = np.cumsum([0, *sizes])[:-1] - (SHINGLE - 1) * np.arange(len(sizes))
                 for b in range(bands):
-                    key = np.full(len(parts), b, dtype=np.uint64)
+                    key = np.full(len(sizes), b, dtype=np.uint64)
                     for r in range(rows):
                         key = _mixed(key * np.uint64(3) + np.minimum.reduceat(_mixed(flat * factors[b * rows + r]), starts))
                     keys[:, b] = key
@@ -183,21 +194,19 @@ def windowed(docs: DataFrame) -> DataFrame:
     """The chosen windows of each text: key, doc_id, first (word, from 0), text (the sum of its words' hashes)."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                ids = part.column(0).to_numpy(zero_copy_only=False) if not part.column(0).null_count else None
-                words = [(x.as_py() or "").encode("utf-8", "surrogatepass").lower().split() for x in part.column(1)]
-                lengths = np.array([len(w) for w in words], dtype=np.int64)
-                h = word_hashes([w for own in words for w in own])
-                places, hashes = chosen_windows(h, lengths)
-                ends = np.cumsum(lengths)
-                row = np.searchsorted(ends, places, side="right")
-                starts = ends - lengths
-                names = part.column(0).take(pa.array(row)) if ids is None else pa.array(ids[row], pa.int64())
-                total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(h, dtype=np.uint64)])
-                texts = total[ends[row]] - total[starts[row]]
-                yield pa.record_batch([_signed(hashes), names, pa.array((places - starts[row]).astype(np.int32)), _signed(texts)], names=["key", "doc_id", "first", "text"])
+        for part in in_slices(batches):
+            ids = part.column(0).to_numpy(zero_copy_only=False) if not part.column(0).null_count else None
+            words = [(x.as_py() or "").encode("utf-8", "surrogatepass").lower().split() for x in part.column(1)]
+            lengths = np.array([len(w) for w in words], dtype=np.int64)
+            h = word_hashes([w for own in words for w in own])
+            places, hashes = chosen_windows(h, lengths)
+            ends = np.cumsum(lengths)
+            row = np.searchsorted(ends, places, side="right")
+            starts = ends - lengths
+            names = part.column(0).take(pa.array(row)) if ids is None else pa.array(ids[row], pa.int64())
+            total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(h, dtype=np.uint64)])
+            texts = total[ends[row]] - total[starts[row]]
+            yield pa.record_batch([_signed(hashes), names, pa.array((places - starts[row]).astype(np.int32)), _signed(texts)], names=["key", "doc_id", "first", "text"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(choose, "key long, doc_id long, first int, text long")
 
