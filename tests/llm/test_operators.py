@@ -463,6 +463,25 @@ def test_similar_texts_like_brute_force(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept) == sorted(similar_by_force(rows))
 
 
+@pytest.mark.parametrize("edit", ["appended", "cut", "replaced"])
+def test_similar_texts_with_passages_changed(spark, edit):
+    r, rows = random.Random(7), []
+    for g, goal in enumerate([0.8, 0.805, 0.81, 0.82, 0.85, 0.9] * 12):
+        base = words(r.randint(60, 400), 5000 + g).split()
+        n, at = len(base) - 4, r.randrange(len(base) // 2)
+        if edit == "appended":
+            own = base + words(int(n / goal - n), 6000 + g).split()
+        elif edit == "cut":
+            own = base[: len(base) - int(n * (1 - goal))]
+        else:
+            k = max(int(n * (1 - goal) / (1 + goal)) - 4, 1)
+            own = base[:at] + words(k, 7000 + g).split() + base[at + k :]
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(own))]
+    kept = simhash.keep_first(docs_of(spark, rows)).select("doc_id").collect()
+    want = similar_by_force(rows)
+    assert sorted(r["doc_id"] for r in kept) == sorted(want) and len(want) < 80
+
+
 @pytest.mark.parametrize("blocks,rows", [(4, 4096), (4, 16), (5, 4096), (6, 32)])
 def test_links_like_brute_force(spark, blocks, rows):
     r = random.Random(blocks)
