@@ -144,6 +144,22 @@ def test_passages_like_brute_force(spark):
     assert all(set(texts[d].split()) <= set(t.split()) for d, t in rows if t) and sum(len(texts[d]) < len(t) for d, t in rows if t) > 5
 
 
+def test_passages_are_reported_whole(spark):
+    r, rows, want = random.Random(9), [], {}
+    for n in (50, 51, 60, 75, 80, 120, 200, 333):
+        passage = words(n, 4000 + n)
+        for k in range(3):
+            before = r.randrange(5, 90)
+            want[len(rows)] = (before, n, len(rows) - k, 3, k > 0)
+            rows.append((len(rows), " ".join([words(before, 8000 + 10 * n + k), passage, words(r.randrange(5, 90), 9000 + 10 * n + k)])))
+    got = substring_dedup.repeated_passages(docs_of(spark, rows)).collect()
+    assert {x["doc_id"]: (x["first_word"], x["n_words"], x["cluster_id"], x["cluster_size"], x["removed"]) for x in got} == want and len(got) == len(want)
+    left = {x["doc_id"]: x["text"].split() for x in substring_dedup.remove_repeats(docs_of(spark, rows)).collect()}
+    for d, (before, n, _, _, removed) in want.items():
+        own = rows[d][1].split()
+        assert left[d] == (own[:before] + own[before + n :] if removed else own)
+
+
 def test_windows_depend_on_their_words_only():
     import numpy as np
 

@@ -6,10 +6,11 @@ a band meet in a bucket; there, exact Jaccard similarities of their word shingle
 short of a link that joins two groups nothing leaves the task. Connected components of the
 links are the clusters; all but the first paragraph of a cluster are removed.
 
-Passages that repeat across documents without regard to lines are found by windows of as many
-words as the shortest paragraph. Which windows of a text stand for it depends on their own words
-only (the least hash of a stretch), so any run of REACH words that two documents share has one
-of them in common. Their hashes are counted, and what repeats is joined up to passages.
+Passages that repeat across documents without regard to lines are found by windows of WINDOW
+words. Which windows of a text stand for it depends on their own words only (the least hash of a
+stretch), so any run of REACH words that two documents share has one of them in common. Those
+that repeat are seeds: all windows near them are hashed and counted, and those that repeat are
+joined up to passages, from the first word to the last.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from .common import cut, unused
 from .components import connected_components
 
 MIN_WORDS = 20
+WINDOW = 20
 SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.99
@@ -37,7 +39,7 @@ BUCKET_ROWS = 1024
 TASK_ROWS = 20_000
 SLICE_ROWS = 128
 SEED = 42
-#: A run of so many words that two documents share is always found, wherever it stands.
+#: A run of so many words that two documents share is always found whole, wherever it stands.
 REACH = 50
 _FACTOR = 0x9E3779B97F4A7C15
 _WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -169,7 +171,7 @@ def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
     return _mixed((sums[size:] - sums[:-size]) * back)
 
 
-def chosen_windows(h: np.ndarray, lengths: np.ndarray, size: int = MIN_WORDS, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
+def chosen_windows(h: np.ndarray, lengths: np.ndarray, size: int = WINDOW, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
     """(start in ``h``, hash) of the windows that stand for texts of ``lengths`` words, whose word hashes are ``h``.
 
     Of each ``reach`` words in a row the window with the least hash is chosen; of equal ones
@@ -191,7 +193,7 @@ def chosen_windows(h: np.ndarray, lengths: np.ndarray, size: int = MIN_WORDS, re
 
 
 def windowed(docs: DataFrame) -> DataFrame:
-    """The chosen windows of each text: key, doc_id, first (word, from 0), text (the sum of its words' hashes)."""
+    """The chosen windows of each text: key, doc_id, first (word, from 0), text (its hash)."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_slices(batches):
@@ -204,31 +206,71 @@ def windowed(docs: DataFrame) -> DataFrame:
             row = np.searchsorted(ends, places, side="right")
             starts = ends - lengths
             names = part.column(0).take(pa.array(row)) if ids is None else pa.array(ids[row], pa.int64())
-            total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(h, dtype=np.uint64)])
-            texts = total[ends[row]] - total[starts[row]]
-            yield pa.record_batch([_signed(hashes), names, pa.array((places - starts[row]).astype(np.int32)), _signed(texts)], names=["key", "doc_id", "first", "text"])
+            yield pa.record_batch([_signed(hashes), names, pa.array((places - starts[row]).astype(np.int32)), part.column(2).take(pa.array(row))], names=["key", "doc_id", "first", "text"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(choose, "key long, doc_id long, first int, text long")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(choose, "key long, doc_id long, first int, text long")
 
 
-def repeated_passages(docs: DataFrame, size: int = MIN_WORDS) -> DataFrame:
+def near_windows(h: np.ndarray, seeds: np.ndarray, size: int = WINDOW, reach: int = REACH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, hash) of the windows of a text in whose reach a seed stands; equal ones in a row are one.
+
+    A run of ``reach`` words or more has a seed within ``reach - size`` words of each of its windows.
+    """
+    hashes = window_hashes(h, size)
+    wanted = np.zeros(len(hashes) + 1, dtype=np.int64)
+    np.add.at(wanted, np.maximum(seeds - (reach - size), 0), 1)
+    np.add.at(wanted, np.minimum(seeds + (reach - size) + 1, len(hashes)), -1)
+    at = np.flatnonzero(np.cumsum(wanted)[:-1] > 0)
+    own = hashes[at]
+    fresh = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1)]))
+    return at[fresh], at[np.concatenate([fresh[1:] - 1, [len(at) - 1]])], own[fresh]
+
+
+def seeded(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The windows near the seeds (doc_id, text, first): key, doc_id, text, first, last."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            parts, sizes = [], []
+            for text, firsts in zip(batch.column(1), batch.column(3)):
+                h = word_hashes(text.as_py().encode("utf-8", "surrogatepass").lower().split())
+                parts.append(near_windows(h, firsts.values.to_numpy()))
+                sizes.append(len(parts[-1][0]))
+            first, last, key = (np.concatenate(x) for x in zip(*parts))
+            row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            columns = [_signed(key), batch.column(0).take(row), batch.column(2).take(row), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))]
+            yield pa.record_batch(columns, names=["key", "doc_id", "text", "first", "last"])
+
+    wanted = seeds.groupBy(F.col("doc_id").alias("id"), F.col("text").alias("own")).agg(F.collect_set("first").alias("firsts"))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
+    met = source.join(wanted, (F.col("hash") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    return met.select("doc_id", "text", "hash", "firsts").mapInArrow(spread, "key long, doc_id long, text long, first int, last int")
+
+
+def _several(windows: DataFrame) -> DataFrame:
+    """(key, at, n) of the windows that two documents have: the first of them, and how often it stands."""
+    seen = windows.groupBy("key").agg(F.min("doc_id").alias("at"), F.max("doc_id").alias("last"), F.count("*").alias("n"), F.count("doc_id").alias("named"))
+    # Written before it is joined, so that Spark can split the rows of a window that very many documents have.
+    return cut(seen.where("at <> last OR named BETWEEN 1 AND n - 1").select("key", "at", "n"))
+
+
+def repeated_passages(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """doc_id, text, first_word, n_words, cluster_id, cluster_size, removed of each passage that other documents have too.
 
-    A passage joins the repeated windows of a text that touch. It is removed where a
+    A passage is a run of words each window of which other documents have. It is removed where a
     document before has each of its windows (in the order of doc_id, null last); cluster_id is
     the first of those documents, cluster_size the most often that a window stands anywhere. Rows
-    that share a doc_id, or have none, are not told apart as documents.
+    that share a doc_id, or have none, are not told apart as documents; ``text`` is the hash of
+    the text that tells them apart as texts.
     """
-    found = windowed(docs)
-    seen = found.groupBy("key").agg(F.min("doc_id").alias("at"), F.max("doc_id").alias("last"), F.count("*").alias("n"), F.count("doc_id").alias("named"))
-    # Written before it is joined, so that Spark can split the rows of a window that very many documents have.
-    several = cut(seen.where("at <> last OR named BETWEEN 1 AND n - 1").select("key", "at", "n"))
-    met = found.join(several, "key").withColumn("removed", ~F.col("doc_id").eqNullSafe(F.col("at")))
+    chosen = windowed(docs)
+    found = cut(seeded(docs, chosen.join(_several(chosen).select("key"), "key")))
+    met = found.join(_several(found), "key").withColumn("removed", ~F.col("doc_id").eqNullSafe(F.col("at")))
     own = Window.partitionBy("doc_id", "text", "removed").orderBy("first")
-    before = F.lag("first").over(own)
-    apart = met.withColumn("new", F.when(before.isNull() | (F.col("first") - before > size), 1).otherwise(0))
+    before = F.lag("last").over(own)
+    apart = met.withColumn("new", F.when(before.isNull() | (F.col("first") - before > 1), 1).otherwise(0))
     joined = apart.withColumn("passage", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    n_words = (F.max("first") - F.min("first") + size).cast("long").alias("n_words")
+    n_words = (F.max("last") - F.min("first") + size).cast("long").alias("n_words")
     told = joined.groupBy("doc_id", "text", "removed", "passage").agg(F.min("first").cast("long").alias("first_word"), n_words, F.min("at").alias("cluster_id"), F.max("n").alias("cluster_size"))
     return told.drop("passage")
 
@@ -374,15 +416,13 @@ def remove_repeats(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     gone = told.where("kind = 'line'").groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("paragraph").alias(lines_))
     cut_out = repeated_passages(docs).where("removed AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.collect_list(F.struct("text", "first_word", "n_words")).alias(runs_))
     both = gone.join(cut_out, gone[doc].eqNullSafe(cut_out["doc_id"]), "full").select(F.coalesce(F.col(doc), F.col("doc_id")).alias(doc), lines_, runs_)
-    joined = docs.join(both, docs["doc_id"].cast("long").eqNullSafe(both[doc]), "left").select(*names, lines_, runs_)
+    joined = docs.join(both, docs["doc_id"].cast("long").eqNullSafe(both[doc]), "left").select(*names, lines_, runs_, F.xxhash64("text"))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, lines, runs in zip(batch.column(at).to_pylist(), *(batch.column(len(names) + i).to_pylist() for i in (0, 1))):
+            for text, lines, runs, own in zip(batch.column(at).to_pylist(), *(batch.column(len(names) + i).to_pylist() for i in (0, 1, 2))):
                 if text is not None and (lines or runs):
-                    h = word_hashes(text.encode("utf-8", "surrogatepass").lower().split())
-                    own = int(np.sum(h, dtype=np.uint64).view(np.int64)) if len(h) else 0
                     text = _without(text, set(lines or ()), [(r["first_word"], r["n_words"]) for r in runs or () if r["text"] == own])
                 texts.append(text)
             columns = [batch.column(i) for i in range(len(names))]
