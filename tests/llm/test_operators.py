@@ -101,6 +101,20 @@ def test_paragraphs_like_brute_force(spark, monkeypatch):
     assert got == want and len(got) > 60
 
 
+def test_short_paragraphs_like_brute_force(spark):
+    r, rows, want = random.Random(6), [], collections.defaultdict(set)
+    short, near = [words(n, 700 + n) for n in range(1, 20)], words(19, 750).split()
+    for d in range(40):
+        lines = [words(r.randrange(1, 20), 800 + d), *r.sample(short, 3), " ".join([*near[:18], f"end{d}"]).upper()]
+        rows.append((d, "\n".join(lines)))
+        for i in (1, 2, 3):
+            want[lines[i]].add((d, i))
+        want["near"].add((d, 4))  # 14 of 16 shingles
+    want = {x: min(m)[0] for m in want.values() if len(m) > 1 for x in m}
+    got = {(x["doc_id"], x["paragraph"]): x["cluster_id"] for x in substring_dedup.repeated_paragraphs(docs_of(spark, rows)).where("kind = 'line'").collect()}
+    assert got == want and len(got) > 150
+
+
 def test_paragraph_edges(edge, empty):
     both = substring_dedup.repeated_paragraphs(edge).collect()
     rows = [r for r in both if r["kind"] == "line"]

@@ -1,7 +1,8 @@
 """Operator 2: repeated paragraphs, by MinHash banding over paragraphs.
 
-Paragraphs are the lines of a text that have enough words. Equal ones (after ASCII
-lower-casing and with single blanks) are one class. Classes whose MinHash signatures agree in
+Paragraphs are the lines of a text that have a word. Equal ones (after ASCII lower-casing and with
+single blanks) are one class; lines with fewer words than a shingle are only compared as equal or
+not. Other classes whose MinHash signatures agree in
 a band meet in a bucket; there, exact Jaccard similarities of their word shingles decide, and
 short of a link that joins two groups nothing leaves the task. Connected components of the
 links are the clusters; all but the first paragraph of a cluster are removed.
@@ -29,7 +30,7 @@ from .buckets import in_units, whole_groups
 from .common import cut, unused
 from .components import connected_components
 
-MIN_WORDS = 20
+MIN_WORDS = 1
 WINDOW = 20
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -108,24 +109,27 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iter
 
 
 def banded(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Each paragraph: doc_id, number, class (128 bits) and its band keys."""
+    """Each paragraph: doc_id, number, class (128 bits) and its band keys, none if it has fewer words than a shingle."""
     import xxhash
 
     factors = np.array([xxhash.xxh3_64_intdigest(i.to_bytes(4, "little"), SEED) | 1 for i in range(bands * rows)], dtype=np.uint64)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            ids, numbers, classes, sizes, flat_words = [], [], [], [], []
+            ids, numbers, classes, ends, sizes, flat_words = [], [], [], [0], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for number, _, _, words in paragraphs(text.as_py()):
                     ids.append(doc_id)
                     numbers.append(number)
                     classes.append(class_of(words))
-                    sizes.append(len(words))
-                    flat_words += words
+                    long_enough = len(words) >= SHINGLE
+                    ends.append(ends[-1] + bands * long_enough)
+                    if long_enough:
+                        sizes.append(len(words))
+                        flat_words += words
             keys = np.zeros((len(sizes), bands), dtype=np.uint64)
             if sizes:
-                # Shingles of all paragraphs at once, but those over two of them; each has MIN_WORDS words at least.
+                # Shingles of all these paragraphs at once, but those over two of them.
                 of = np.repeat(np.arange(len(sizes)), sizes)
                 flat = shingle_hashes(flat_words)[of[: 1 - SHINGLE] == of[SHINGLE - 1 :]]
                 starts = np.cumsum([0, *sizes])[:-1] - (SHINGLE - 1) * np.arange(len(sizes))
@@ -134,7 +138,7 @@ def banded(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                     for r in range(rows):
                         key = _mixed(key * np.uint64(3) + np.minimum.reduceat(_mixed(flat * factors[b * rows + r]), starts))
                     keys[:, b] = key
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), _signed(keys.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(keys.ravel()))
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(classes, pa.binary()), lists], names=["doc_id", "number", "class", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, "doc_id long, number int, class binary, bands array<long>")
