@@ -290,6 +290,14 @@ def test_warc_index_finds_only_what_is_there(spark):
     assert [r["page_id"] for r in warc.lookup(shards, asked).collect()] == [7]
 
 
+def test_warc_urls_with_other_line_ends(spark):
+    marks = ["\x85", "\u2028", "\u2029", "\t", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\r", "\n", "\xa0", " "]
+    pages = [(i, url, f"own {i}") for i, url in enumerate(f"http://a.org/{at}" for m in marks for at in (f"x{m}y", f"p?q={m}z", f"{m}", f"x{m}"))]
+    pages += [(len(pages) + i, f"{m}no{m}host", f"none {i}") for i, m in enumerate(marks)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert sorted(r["page_id"] for r in warc.archive_and_read(spark, df).collect()) == [p[0] for p in pages]
+
+
 # 5 PII
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

@@ -209,7 +209,7 @@ class Shard:
     def _block(self, i: int) -> None:
         if i != self.held:
             _, at, length = self.directory[i]
-            self.rows = [x.split("\t") for x in zlib.decompress(self.source.read_at(length, at)).decode().splitlines()]
+            self.rows = [x.split("\t") for x in zlib.decompress(self.source.read_at(length, at)).decode().removesuffix("\n").split("\n")]
             self.keys, self.held = [x[0] for x in self.rows], i
 
     def find(self, key: str) -> Iterator[list[str]]:
