@@ -609,3 +609,31 @@ def test_compression_bands(spark):
     judged = {r["doc_id"]: r for r in quality.quality_rules(docs_of(spark, [(1, noise), (2, loop), (3, good)])).collect()}
     assert judged[3]["kept"] and not judged[2]["kept"] and judged[2]["whole_ratio"] < 0.05
     assert quality.outside(5000, 0.95, quality.WHOLE_BANDS) and not quality.outside(100, 1.4, quality.WHOLE_BANDS)
+
+
+@pytest.mark.parametrize("kb", [1, 4, 8, 16])
+def test_noise_and_prose_by_length(spark, data, kb):
+    import base64
+
+    import zstandard
+
+    r, size, packer = random.Random(kb), kb << 10, zstandard.ZstdCompressor(level=quality.LEVEL)
+    dump = "\n".join(base64.b64encode(r.randbytes(57)).decode() for _ in range(size // 77 + 1))[:size]
+    printable = "".join(r.choices(string.ascii_letters + string.digits + string.punctuation + " ", k=size))
+    some = [x["text"] for x in spark.read.parquet(f"{data}/documents.parquet").where("n_chars > 600").orderBy("doc_id").collect()]
+    whole = [" ".join(t for t in some[i:] if quality.repeated_lines(t) == 0)[:size] for i in range(0, 40, 8)]
+    for text in (dump, printable):
+        assert quality.compression(text.encode(), packer)[2]
+    for text in (words(size // 4, kb)[:size], *whole):
+        assert not quality.compression(text.encode(), packer)[2]
+    kept = {x["doc_id"]: x["kept"] for x in quality.quality_rules(docs_of(spark, [(1, dump), (2, words(size // 4, kb)[:size])])).collect()}
+    assert kept == {1: False, 2: True}
+
+
+def test_noise_in_chunks():
+    import zstandard
+
+    r, packer = random.Random(5), zstandard.ZstdCompressor(level=quality.LEVEL)
+    noise = lambda n: "".join(r.choices(string.ascii_letters + string.digits + "+/", k=n))
+    whole, share, rejected = quality.compression((noise(3 * 4096) + (PROSE * 80)[: 2 * 4096]).encode(), packer)
+    assert share >= 0.6 and rejected and not quality.outside(5 * 4096, whole, quality.WHOLE_BANDS)
