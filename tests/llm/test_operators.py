@@ -403,6 +403,16 @@ def test_encoder_equals_the_library():
         assert e.encode(t) == e.whole(t), t
 
 
+def test_encoder_equals_an_untouched_library():
+    from tokenizers import Tokenizer
+
+    path = bpe.vocabulary_path(None)
+    plain, e = Tokenizer.from_file(path), bpe.WordEncoder(path, 50)
+    for t in ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|>b, c", "a\n<|endoftext|>\nb <|endoftext|>", "<|endoftext |> a", "plain words, here", "two  blanks", *(t for _, t in EDGE if t)]:
+        ids_ = plain.encode(t, add_special_tokens=False).ids
+        assert e.encode(t) == struct.pack(f"<{len(ids_)}I", *ids_), t
+
+
 def test_token_files(spark, edge, empty, monkeypatch):
     monkeypatch.setattr(token_store, "FLUSH_IDS", 30000)
     rows = token_store.token_files(spark, edge).orderBy("start").collect()

@@ -4,7 +4,8 @@ The byte-level pre-tokenizer never joins characters across a lone space or line
 stands between two other characters, so a text is the concatenation of its space-separated
 words and each word can be encoded by itself. A bounded memo keeps the ids of words that
 were seen. A text with any other white space (runs, tabs, leading or trailing blanks, ...)
-is encoded by the library in one call. Ids are kept as little-endian 32-bit bytes.
+is encoded by the library in one call, and so is one with the string of an added token, which
+the library takes out before it splits the rest. Ids are kept as little-endian 32-bit bytes.
 
 Of a word that is not in the memo, a Latin stem goes straight to the library's BPE model and a
 tail of ASCII punctuation has a memo of its own: the pre-tokenizer would part them in the same
@@ -57,7 +58,7 @@ class WordEncoder:
         if made_of.get("normalizer") or splitter.get("type") != "ByteLevel" or splitter.get("add_prefix_space") or not splitter.get("use_regex", True):
             raise ValueError("the vocabulary must be byte-level, without a normalizer or an added first space")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t["content"] for t in made_of.get("added_tokens") or () if t["content"]]
         self.memo = memo
         self.first: dict[str, bytes] = {}  # words at the start of a line
         self.inner: dict[str, bytes] = {}  # words after a space
@@ -102,6 +103,9 @@ class WordEncoder:
         """Ids of a text as little-endian unsigned 32-bit integers; none for null or empty."""
         if not text:
             return b""
+        for token in self.added:
+            if token in text:
+                return self.whole(text)
         first, inner, miss = self.first, self.inner, self._miss
         at_start, after_space = first.get, inner.get
         out: list[bytes] = []
