@@ -12,3 +12,15 @@ def test_same_rows(name, same_rows):
 
 def test_every_sql_has_a_query():
     assert set(catalogue.oracle_sql()) <= set(catalogue.queries())
+
+
+def test_balanced_positions_use_several_tasks(spark, data):
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = catalogue.queries()["balanced_positions"](spark, data).select("position", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    shares = [sum(r["position"] == p for r in rows) for p in range(4)]
+    assert len({r["task"] for r in rows}) > 1 and max(shares) - min(shares) <= 1

@@ -21,6 +21,19 @@ def hash_order(seed: str, *parts: Column | str) -> Column:
     return sha256(F.lit(seed), *parts)
 
 
+def numbered(rows: DataFrame, order: Column, name: str) -> DataFrame:
+    """``rows`` with their number from 0 along a hexadecimal hash.
+
+    Rows are ranked among those with the same first three digits, after the count of rows below
+    these; only the counts (4096 at most) meet in one task.
+    """
+    told = rows.withColumn("_hash", order).withColumn("_head", F.substring("_hash", 1, 3))
+    below = F.sum("_n").over(Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1))
+    counts = told.groupBy("_head").agg(F.count("*").alias("_n")).select("_head", F.coalesce(below, F.lit(0)).alias("_below"))
+    own = F.row_number().over(Window.partitionBy("_head").orderBy("_hash"))
+    return told.join(F.broadcast(counts), "_head").withColumn(name, own - 1 + F.col("_below")).drop("_hash", "_head", "_below")
+
+
 def latest_wins(stored: DataFrame, arrived: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Upsert: one row a key, the arrived one with the highest order if there is any."""
     columns = stored.columns

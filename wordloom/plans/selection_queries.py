@@ -168,9 +168,6 @@ def most_distant(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 SELECT item_id, {_draw_sql('4', "'balanced'", 'item_id::VARCHAR')} AS drawn, (row_number() OVER (ORDER BY sha256(concat_ws('|', 'balanced', item_id::VARCHAR))) - 1) % 4 AS position FROM benchmark""")
 def balanced_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answer positions in equal shares, dealt along a hash order of the items.
-
-    The items of one batch are few; the order over them is the feature.
-    """
-    order = Window.orderBy(se.hash_order("balanced", "item_id"))
-    return load(spark, sf_dir, "benchmark").select("item_id", draw(4, F.lit("balanced"), "item_id").alias("drawn"), ((F.row_number().over(order) - 1) % 4).cast("long").alias("position"))
+    """Answer positions in equal shares, dealt along a hash order of the items."""
+    items = se.numbered(load(spark, sf_dir, "benchmark").select("item_id"), se.hash_order("balanced", "item_id"), "i")
+    return items.select("item_id", draw(4, F.lit("balanced"), "item_id").alias("drawn"), (F.col("i") % 4).cast("long").alias("position"))
