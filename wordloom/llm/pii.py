@@ -8,7 +8,10 @@ gets it from its checksum, a social security number only with a word like "ssn"
 DataFrame functions only: the gaps between matches come from ``split``, the matches themselves
 from ``regexp_extract_all``, and their lengths add up to positions in code points. The patterns
 are written so that a long run of digits or letters is scanned once: a match may start only
-where its run starts, and runs are never given back.
+where its run starts, and runs are never given back. Time is in proportion to the text also
+where a text has very many spans: sums run over chunks of matches, since an array that grows by
+one element at a time is copied each time, and words near a span are looked up in blocks of the
+text, since a position in code points is sought from the start of its string.
 """
 
 from __future__ import annotations
@@ -47,23 +50,64 @@ PATTERNS = {
 #: A text without this character has no match, which is far cheaper to see.
 NEEDS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
 
+#: Matches in a chunk of a running sum, and code points in a block of a text.
+CHUNK = 256
+BLOCK = 1024
 _SPANS = "array<struct<start:int,end:int,text:string>>"
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)``, with the value made once however often it is used, also inside of lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(items: Column, state: Column, emitted: str, step) -> Column:
+    """What ``step(state, item)``, a pair (state, out), puts out for each of ``items`` in turn.
+
+    ``emitted`` is the type of the array of all outs. A chunk's outs are gathered before they
+    are added to those of the chunks before it, so few of them are copied often.
+    """
+    none = F.array().cast(emitted)
+
+    def add(held, item):
+        told = step(held["state"], item)
+        return F.struct(told[0].alias("state"), F.concat(held["out"], F.array(told[1])).alias("out"))
+
+    def add_chunk(held, chunk):
+        done = F.aggregate(chunk, F.struct(held["state"].alias("state"), none.alias("out")), add)
+        return once(done, lambda d: F.struct(d["state"].alias("state"), F.concat(held["out"], F.array(d["out"])).alias("out")))
+
+    def all_chunks(given):
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(given) - 1) / CHUNK).cast("int")), lambda i: F.slice(given, i * CHUNK + 1, CHUNK))
+        zero = F.struct(state.alias("state"), F.array().cast(f"array<{emitted}>").alias("out"))
+        return F.flatten(F.aggregate(chunks, zero, add_chunk, lambda held: held["out"]))
+
+    return once(items, lambda given: F.when(F.size(given) > 0, all_chunks(given)).otherwise(none))
+
+
+def blocks(text: Column) -> Column:
+    """The text in parts of BLOCK code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def part_of(blocks_: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end`` (code points), from the blocks in which it lies."""
+    first = F.floor(start / BLOCK).cast("int")
+    held = F.array_join(F.slice(blocks_, first + 1, F.floor(F.greatest(end - 1, start) / BLOCK).cast("int") - first + 1), "")
+    return F.substring(held, start - first * BLOCK + 1, end - start)
+
+
 def located(text: Column, found: Column, pattern: str) -> Column:
-    """Matches with their half-open positions, from the matches alone."""
-    gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+    """Matches with their half-open positions, from the matches and the gaps before them."""
 
-    def step(held, i):
-        start = held["at"] + F.length(F.get(gaps, i))
-        match = F.get(found, i)
-        end = start + F.length(match)
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), match.alias("text"))).cast(_SPANS)
-        return F.struct(end.alias("at"), F.concat(held["out"], one).alias("out"))
+    def step(at, pair):
+        start = at + F.length(pair["gap"])
+        end = start + F.length(pair["text"])
+        return end, F.struct(start.alias("start"), end.alias("end"), pair["text"].alias("text"))
 
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda held: held["out"])
-    return F.when(F.size(found) > 0, walked).otherwise(F.array().cast(_SPANS))
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))  # the last one stands after all matches
+    pairs = F.arrays_zip(gaps.alias("gap"), found.alias("text"))
+    return F.when(F.size(found) > 0, running(pairs, F.lit(0), _SPANS, step)).otherwise(F.array().cast(_SPANS))
 
 
 def luhn(text: Column) -> Column:
@@ -110,10 +154,10 @@ def _is(kind: str):
     return lambda span: span["kind"] == kind
 
 
-def _scored(kind: str, text: Column, spans: Column) -> Column:
+def _scored(kind: str, blocks_: Column, spans: Column) -> Column:
     def one(s):
-        before = F.substring(text, F.greatest(s["start"] - NEAR, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR)))
-        after = F.substring(text, s["end"] + 1, F.lit(NEAR))
+        before = part_of(blocks_, F.greatest(s["start"] - NEAR, F.lit(0)), s["start"])
+        after = part_of(blocks_, s["end"], s["end"] + NEAR)
         around = F.lower(F.concat(before, F.lit(" "), after))
         near = F.lit(False)
         for word in CONTEXT[kind]:
@@ -134,15 +178,16 @@ def find_pii(docs: DataFrame, name: str = "pii") -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     kinds = (*BASE, *EXTRA)
     found_, at_, in_ = ({k: unused(names, f"_{stage}_{k}") for k in kinds} for stage in ("found", "at", "in"))
-    none = F.array().cast("array<string>")
+    none, blocks_ = F.array().cast("array<string>"), unused(names, "_blocks")
 
     def proposed(kind: str) -> Column:
         found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
         return F.when(text.contains(NEEDS[kind]), found).otherwise(none) if kind in NEEDS else found
 
     step = docs.select(*names, *[proposed(k).alias(found_[k]) for k in kinds])
-    step = step.select(*names, *[located(text, F.col(found_[k]), PATTERNS[k]).alias(at_[k]) for k in kinds])
-    step = step.select(*names, *[_scored(k, text, F.filter(at_[k], _test(k))).alias(in_[k]) for k in kinds])
+    step = step.select(*names, *[F.filter(located(text, F.col(found_[k]), PATTERNS[k]), _test(k)).alias(at_[k]) for k in kinds])
+    step = step.select("*", F.when(F.greatest(*[F.size(at_[k]) for k in kinds]) > 0, blocks(text)).alias(blocks_))
+    step = step.select(*names, *[_scored(k, F.col(blocks_), F.col(at_[k])).alias(in_[k]) for k in kinds])
     parts = [F.col(in_[k]) for k in BASE] + [F.filter(in_[k], lambda s: s["score"] >= THRESHOLD) for k in EXTRA]
     return step.select(*names, F.concat(*parts).alias(name))
 
@@ -166,18 +211,17 @@ def redact(docs: DataFrame) -> DataFrame:
     without spans, null ones included, stay as they are; n_chars follows the text if present.
     """
     names = docs.columns
-    pii = unused(names, "pii")
-    found = find_pii(docs, pii)
+    pii, held = unused(names, "pii"), unused(names, "_blocks")
+    found = find_pii(docs, pii).withColumn(held, F.when(F.size(pii) > 0, blocks(F.col("text"))))
     ordered = F.array_sort(F.transform(pii, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(held, s):
-        gap = F.substring(F.col("text"), held["at"] + 1, s["start"] - held["at"])
-        mark = F.concat(held["out"], gap, F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        out = F.when(s["start"] >= held["at"], mark).otherwise(held["out"])
-        return F.struct(F.greatest(held["at"], s["end"]).alias("at"), out.alias("out"))
+    def step(at, s):
+        mark = F.concat(part_of(F.col(held), at, s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
+        return F.greatest(at, s["end"]), F.when(s["start"] >= at, mark).otherwise("")
 
-    masked = F.aggregate(ordered, zero, step, lambda held: F.concat(held["out"], F.substring(F.col("text"), held["at"] + 1, F.length("text"))))
+    pieces = running(ordered, F.lit(0), "array<string>", step)
+    tail = part_of(F.col(held), F.array_max(F.transform(pii, lambda s: s["end"])), F.length("text"))
+    masked = F.array_join(F.concat(pieces, F.array(tail)), "")
     changed = found.withColumn("text", F.when(F.size(pii) > 0, masked).otherwise(F.col("text"))).select(*names)
     if "n_chars" in names:
         kind = dict(docs.dtypes)["n_chars"]
