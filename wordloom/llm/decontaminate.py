@@ -7,7 +7,11 @@ places where a document has such a shingle are candidates; the shingle's offset
 gives the start, which must leave room for the window before the document's end; then the
 words of the document are compared with the window's.
 
-DataFrame functions only. The prefix table is broadcast in blocks of bounded size.
+DataFrame functions only. The corpus is read three times, whatever the size of the benchmark: for
+the counts of the shingles, for the places, and for the result. Tables of up to BROADCAST_ROWS
+prefixes are broadcast; larger ones are joined by a shuffle of hashes and positions alone, and the
+few documents with a candidate are read again to be compared. A row is known by its columns and a
+hash of its text, so that nothing hangs on the order or the parts in which rows are read.
 """
 
 from __future__ import annotations
@@ -21,9 +25,8 @@ from .common import ascii_lower, cut, unused
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 SHINGLE = 3
-BLOCK_ROWS = 200_000
-#: Stands for "the document itself" among the shingles, so that one pass yields both.
-SELF = 0x5EED
+#: Windows have at most ten words and prefixes few columns, about 200 bytes a row.
+BROADCAST_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
@@ -46,70 +49,65 @@ def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return each.distinct().withColumn("size", F.size("window"))
 
 
-def prefixes(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """The rarest shingle of each window that can occur: h, at (its offset), k (its words), window, size, item_id.
+def all_shingles(column: str, sizes: list[int]) -> Column:
+    """(pos, h) of the shingles of each size; the hash of a shingle depends on its size."""
+    parts = [F.transform(shingles(column, k), lambda h, i: F.struct(i.alias("pos"), h.alias("h"))) for k in sizes]
+    return F.concat(*parts)
 
-    Shingle counts are over all documents. A window with a shingle that no document has is left
-    out, since it occurs nowhere.
-    """
-    found = cut(windows(benchmark, window))
-    sizes = sorted(r[0] for r in found.select(F.least("size", F.lit(shingle))).distinct().collect())  # at most `shingle` values
-    parts = []
-    for k in sizes:
-        mine = found.where(F.least("size", F.lit(shingle)) == k)
-        parts.append(mine.select("item_id", "window", "size", F.lit(k).alias("k"), F.posexplode(shingles("window", k)).alias("at", "h")))
-    if not parts:
-        return found.select(F.lit(0).cast("long").alias("h"), F.lit(0).alias("at"), F.lit(0).alias("k"), "window", "size", "item_id").limit(0)
-    all_of = parts[0]
-    for p in parts[1:]:
-        all_of = all_of.union(p)
-    all_of = cut(all_of)
-    wanted = cut(all_of.select("k", "h").distinct())
-    counts = None
-    for k in sizes:
-        seen = docs.select(words(F.col("text")).alias("w")).select(F.explode(shingles("w", k)).alias("h"))
-        for block in _blocks(wanted.where(F.col("k") == k).select("h")):
-            part = seen.join(F.broadcast(block), "h").groupBy("h").agg(F.count("*").alias("df")).select(F.lit(k).alias("k"), "h", "df")
-            counts = part if counts is None else counts.union(part)
-    told = all_of.join(cut(counts), ["k", "h"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    rarest = told.groupBy("item_id", "window", "size", "k").agg(F.min(F.struct("df", "h", "at")).alias("least"))
-    kept = rarest.where("least.df > 0").select("least.h", "least.at", "k", "window", "size", "item_id")
-    return cut(kept)
 
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows``, to be broadcast if they are few."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
-def _blocks(rows: DataFrame, limit: int = BLOCK_ROWS) -> list[DataFrame]:
-    """``rows`` in parts of about ``limit`` rows at most, each safe to broadcast."""
-    n = -(-rows.count() // limit)
-    if n <= 1:
-        return [rows]
-    return [rows.where(F.pmod(F.xxhash64("h"), F.lit(n)) == b) for b in range(n)]
 
+def shingle_sizes(found: DataFrame, shingle: int) -> list[int]:
+    """The shingle sizes that windows need: all those from 1 to ``shingle`` words that are met."""
+    return sorted((r[0] for r in found.select(F.least("size", F.lit(shingle))).distinct().collect()), reverse=True)
 
-def occurrences(docs: DataFrame, prefix: DataFrame) -> DataFrame:
-    """row, the columns of ``docs`` but its text, n_words and each place (start, size, item_id) where a window occurs.
 
-    Every document has at least one row; in that one, the place is null.
+def prefixes(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> tuple[DataFrame, list[int]]:
+    """The rarest shingle of each window that can occur (h, at: its offset, window, size, item_id), and the shingle sizes.
+
+    Shingle counts are over all documents. A window with a shingle that no document has is left
+    out, since it occurs nowhere.
     """
-    ids = ["row", *(c for c in docs.columns if c != "text")]
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), *ids[1:], words(F.col("text")).alias("w"))
-    myself = docs.sparkSession.range(1).select(F.lit(SELF).cast("long").alias("h"), F.lit(0).alias("at"), F.array().cast("array<string>").alias("window"), F.lit(0).alias("size"), F.lit(None).cast("string").alias("item_id"))
-    parts = []
-    sizes = sorted((r[0] for r in prefix.select("k").distinct().collect()), reverse=True) or [SHINGLE]
+    found = cut(windows(benchmark, window))
+    sizes = shingle_sizes(found, shingle)
+    if not sizes:
+        return found.select(F.lit(0).cast("long").alias("h"), F.lit(0).alias("at"), "window", "size", "item_id"), sizes
+    own = F.lit(None).cast("array<bigint>")
     for k in sizes:
-        for block in _blocks(prefix.where(F.col("k") == k).drop("k")):
-            own = shingles("w", k)
-            if not parts:
-                own, block = F.concat(own, F.array(F.lit(SELF).cast("long"))), block.unionByName(myself)
-            each = rows.select(*ids, "w", own.alias("own")).select(*ids, "w", F.posexplode("own").alias("pos", "h"))
-            met = each.join(F.broadcast(block), "h").withColumn("start", F.col("pos") - F.col("at"))
-            room = (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.size("w"))
-            same = F.slice("w", F.greatest(F.col("start") + 1, F.lit(1)), F.col("size")) == F.col("window")
-            place = F.when(F.col("size") > 0, F.struct("start", "size"))
-            parts.append(met.where((F.col("size") == 0) | (room & same)).select(*ids, F.size("w").alias("n_words"), place.alias("place"), "item_id"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+        own = F.when(F.least("size", F.lit(shingle)) == k, shingles("window", k)).otherwise(own)
+    each = cut(found.select("item_id", "window", "size", F.posexplode(own).alias("at", "h")))
+    wanted = cut(each.select("h").distinct())
+    seen = docs.select(words(F.col("text")).alias("w")).select(F.explode(all_shingles("w", sizes)).alias("s")).select("s.h")
+    counts = seen.join(_small(wanted), "h").groupBy("h").agg(F.count("*").alias("df"))
+    told = each.join(counts, "h", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    rarest = told.groupBy("item_id", "window", "size").agg(F.min(F.struct("df", "h", "at")).alias("least"))
+    return cut(rarest.where("least.df > 0").select("least.h", "least.at", "window", "size", "item_id")), sizes
+
+
+def occurrences(docs: DataFrame, prefix: DataFrame, sizes: list[int]) -> DataFrame:
+    """The columns of ``docs`` but its text, with a place (start, size) and item_id for each window that occurs in a row."""
+    ids = [c for c in docs.columns if c != "text"]
+    if not sizes:
+        return docs.select(*ids, F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit("").alias("item_id")).where("false")
+    split = docs.select(*ids, words(F.col("text")).alias("w"))
+    room = (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.size("w"))
+    same = F.slice("w", F.greatest(F.col("start") + 1, F.lit(1)), F.col("size")) == F.col("window")
+    start = (F.col("pos") - F.col("at")).alias("start")
+    if prefix.count() <= BROADCAST_ROWS:
+        each = split.select(*ids, "w", F.inline(all_shingles("w", sizes)))
+        met = each.join(F.broadcast(prefix), "h").select(*ids, "w", start, "size", "window", "item_id")
+    else:
+        # Hashes and positions meet the prefixes; the words come back only where one is met.
+        each = split.select(*ids, F.inline(all_shingles("w", sizes)))
+        near = cut(each.join(prefix, "h").select(*[F.col(c).alias(f"_{c}") for c in ids], start, "size", "window", "item_id").distinct())
+        alike = F.lit(True)
+        for c in ids:
+            alike = alike & split[c].eqNullSafe(near[f"_{c}"])
+        met = split.join(near, alike).select(*ids, "w", "start", "size", "window", "item_id")
+    return met.where(room & same).select(*ids, "start", "size", "item_id")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -120,15 +118,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     both met. Rows that repeat a doc_id are rows of their own. Other columns are not read;
     empty tables give empty or clean results.
     """
-    return _judged(docs.select("doc_id", "text"), benchmark, window)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    met = _judged(rows, benchmark, window)
+    n = met.count()
+    found = met.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "mark")], "n_hit", "items")
+    own = rows.select("doc_id", "mark", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    alike = own["doc_id"].eqNullSafe(found["_doc_id"]) & (own["mark"] == found["_mark"])
+    told = own.join(F.broadcast(found) if n <= BROADCAST_ROWS else found, alike, "left")
+    items = F.coalesce("items", F.array().cast("array<string>")).alias("items")
+    return told.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), items, F.col("n_hit").isNotNull().alias("contaminated"))
 
 
 def _judged(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
-    met = occurrences(docs, prefixes(docs, benchmark.select("item_id", "text"), window))
+    """n_hit and items of each different row of ``docs`` in which a window occurs."""
+    met = occurrences(docs, *prefixes(docs, benchmark.select("item_id", "text"), window))
     ids = [c for c in docs.columns if c != "text"]
-    per_row = met.groupBy("row", *ids).agg(F.max("n_words").cast("long").alias("n_words"), F.collect_set("place").alias("places"), F.array_sort(F.collect_set("item_id")).alias("items"))
+    per_row = met.groupBy(*ids).agg(F.collect_set(F.struct("start", "size")).alias("places"), F.array_sort(F.collect_set("item_id")).alias("items"))
     inside = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["start"], p["start"] + p["size"] - 1))))
-    return per_row.select(*ids, "n_words", F.size(inside).cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items", (F.size("places") > 0).alias("contaminated"))
+    return cut(per_row.select(*ids, F.size(inside).cast("long").alias("n_hit"), "items"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -139,10 +146,9 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window occurs; rows alike in doc_id and text go together."""
     doc, mark = unused(docs.columns, "_doc"), unused(docs.columns, "_mark")
-    own = F.xxhash64("text")
-    judged = _judged(docs.select("doc_id", own.alias("mark"), "text"), benchmark, window)
-    bad = cut(judged.where("contaminated").select(F.col("doc_id").alias(doc), F.col("mark").alias(mark)).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[doc]) & (F.xxhash64(docs["text"]) == bad[mark]), "left_anti")
+    judged = _judged(docs.select("doc_id", F.xxhash64("text").alias("mark"), "text"), benchmark, window)
+    bad = _small(judged.select(F.col("doc_id").alias(doc), F.col("mark").alias(mark)))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(mark)), "left_anti")
 
 
 def oracle(window: int = WINDOW) -> str:
