@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
-def in_units(rows: DataFrame, key: str, member: str, limit: int) -> DataFrame:
-    """``rows`` with a column ``unit``; rows of large buckets are repeated, once per chunk."""
-    heavy = cut(rows.groupBy(key).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > limit))
+def in_units(rows: DataFrame, key: str, member: str, limit: int, buckets: DataFrame | None = None) -> DataFrame:
+    """``rows`` with a column ``unit``; rows of large buckets are repeated, once per chunk.
+
+    ``buckets`` is a table with the same keys, as often, which is counted instead if it is given.
+    """
+    heavy = cut((rows if buckets is None else buckets).groupBy(key).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > limit))
     if heavy.isEmpty():
         return rows.withColumn("unit", F.lit(0).cast("long"))
     chunks = F.coalesce(F.ceil(F.col("n_rows") / limit), F.lit(1)).cast("long")

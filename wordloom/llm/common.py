@@ -15,16 +15,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, with its scheme.
 
-    Where the session has none (unit tests in local mode), a temporary folder is set.
+    Where a local session has none (unit tests), a temporary folder is set; on a cluster that is an error.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if named is None:
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="wordloom-"))
-        named = sc.getCheckpointDir()
-    elif sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="wordloom-")
+    where = sc._jvm.org.apache.hadoop.fs.Path(named)
+    named = where.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named
 
@@ -35,9 +38,11 @@ def new_dir(spark: SparkSession, kind: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared folder; its lineage ends there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once and written as a table in the shared folder; its lineage ends there."""
+    spark = df.sparkSession
+    name = new_dir(spark, "table")
+    df.write.option("compression", "zstd").parquet(name)
+    return spark.read.schema(df.schema).parquet(name)
 
 
 def open_fs(uri: str):

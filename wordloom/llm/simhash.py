@@ -289,7 +289,7 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     wanted = source.join(met.select("doc_id").distinct(), F.col("id").eqNullSafe(F.col("doc_id")), "left_semi")
     texts = _with_class(wanted.select("text"), "class").dropDuplicates(["class"])
     sets = _shingle_sets(met.select("key", "class").join(texts, "class").select("key", "class", "text"))
-    linked = connected_components(verified_links(sets, similarity)).withColumnRenamed("node", "class")
+    linked = connected_components(verified_links(sets, similarity, met)).withColumnRenamed("node", "class")
     return classes.join(linked, "class", "left").select("class", F.coalesce("component", "class").alias("root"), "first")
 
 
