@@ -332,6 +332,30 @@ def test_pii_like_brute_force(spark):
         assert row["spans"].startswith(joined)
 
 
+def test_pii_time_grows_with_the_text(spark):
+    import time
+
+    took = {}
+    for n in (100, 2000, 20_000):
+        docs = spark.createDataFrame([(1, "é ab@cd.org 10.0.0.1 x\n" * n)], "doc_id long, text string")
+        began = time.monotonic()
+        row = pii.report(docs).collect()[0]
+        took[n] = time.monotonic() - began
+        assert row["n_email"] == row["n_ip"] == n and row["spans"].endswith(f"ip:{23 * n - 11}:{23 * n - 3}")
+        if n < 20_000:
+            assert pii.redact(docs).collect()[0]["text"] == "é <EMAIL> <IP> x\n" * n
+    assert took[20_000] < 10 * took[2000] + 20
+
+
+def test_pii_parts_of_long_texts(spark):
+    r = random.Random(3)
+    text = "".join(r.choice("aé€𝄞\n ") for _ in range(5000))
+    spans = [(a, min(a + r.choice((0, 1, 40, 1024, 3000)), 5000)) for a in (0, 1, 1023, 1024, 1025, 2047, 2048, 4096, 4999)]
+    rows = spark.createDataFrame([(text, a, b) for a, b in spans], "text string, a int, b int").withColumn("blocks", pii.blocks(F.col("text")))
+    got = rows.select("a", "b", pii.part_of(F.col("blocks"), F.col("a"), F.col("b")).alias("part")).collect()
+    assert all(x["part"] == text[x["a"] : x["b"]] for x in got)
+
+
 def test_pii_extra_kinds_and_redaction(spark):
     rows = [(1, "my iban DE89370400440532013000 ok"), (2, "code DE89370400440532013001"), (3, "ssn 123-45-6789"), (4, "number 123-45-6789"), (5, "mail a@b.org or 10.0.0.1!"), (6, None), (7, "plain")]
     docs = docs_of(spark, rows)
@@ -365,7 +389,7 @@ def contaminated_by_force(docs, items, window=10):
 
 @pytest.mark.parametrize("block", [200_000, 7])
 def test_decontamination_like_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(decontaminate._blocks, "__defaults__", (block,))
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", block)
     items = [(1, words(30, 1)), (2, words(12, 2)), (3, "Two Words"), (4, "solo"), (5, None), (6, "  "), (7, words(30, 1)), (8, "É ß 12 " * 4)]
     rows = [*EDGE, (20, words(5, 8) + " " + words(30, 1).upper() + "! end"), (21, " ".join(words(12, 2).split()[1:11])), (22, " ".join(words(12, 2).split()[:9])), (23, "two, words; solo two"), (24, "É ß 12 É ß 12 É ß 12 É"), (25, "é ß 12 é ß 12 é ß 12 é")]
     bench = spark.createDataFrame([(*i, 1) for i in items], "item_id long, text string, h int")
@@ -375,6 +399,17 @@ def test_decontamination_like_brute_force(spark, monkeypatch, block):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((x[0] for x in contaminated_by_force(rows, items) if not x[5]), key=str)
 
 
+def test_decontamination_of_shuffled_rows(spark, monkeypatch):
+    items = [(1, words(30, 1)), (2, "two words"), (3, "solo"), (4, "these three words")]
+    rows = [(d, " ".join([words(d % 7, 50 + d), "two words" if d % 3 else "solo", words(9, 70 + d), words(30, 1) if d % 4 == 0 else "these three words"])) for d in range(60)] + [(None, "solo"), (None, "solo"), (5, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = contaminated_by_force(rows, items)
+    for limit in (200_000, 1):
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+        mixed = docs_of(spark, rows).repartition(5, F.rand()).sort(F.rand())  # its rows come in another order each time
+        assert sorted([tuple(r) for r in decontaminate.report(mixed, bench).collect()], key=str) == want
+
+
 def test_decontamination_empty(spark, edge, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert not decontaminate.report(edge, bench).where("contaminated").count()
