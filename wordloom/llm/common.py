@@ -45,6 +45,15 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(name)
 
 
+#: Tables of hashes and ids, about 40 bytes a row in memory, are broadcast up to this number of rows.
+BROADCAST_ROWS = 500_000
+
+
+def small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` (a written table), marked to be broadcast if they are few enough; else Spark shuffles them."""
+    return rows.hint("broadcast") if rows.count() <= limit else rows
+
+
 def open_fs(uri: str):
     """(pyarrow file system, path in it) of a URI, for tasks that write or range-read files."""
     from pyarrow import fs

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .buckets import in_units, merge, whole_groups
-from .common import cut, unused
+from .common import cut, small, unused
 from .components import connected_components
 from .substring_dedup import _mixed, class_of, in_slices, shingle_hashes, tune_bands, verified_links
 
@@ -219,78 +219,84 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def _with_class(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` and the 128-bit hash of each text's lower-cased words."""
-    at, schema = docs.columns.index("text"), T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            classes = [class_of(_words(x.as_py())) for x in batch.column(at)]
-            yield pa.record_batch([*batch.columns, pa.array(classes, pa.binary())], names=[*batch.schema.names, name])
-
-    return docs.mapInArrow(add, schema)
-
-
 def _shingles(words: list[bytes]) -> np.ndarray:
     """The distinct hashes of a text's shingles; a text without words has one of its own."""
     return np.unique(shingle_hashes(words or [b""], SIMILAR_SHINGLE))
 
 
 def _signed_texts(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Each text: doc_id, class, fp (wide), near (distance to the first pivot) and its band keys."""
+    """Each text: doc_id, mark (a hash of it), class (128 bits of its lower-cased words), fp (wide), near (distance to the first pivot) and its band keys."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = pivots(WIDE)
         for batch in in_slices(batches):
-            words = [_words(x.as_py()) for x in batch.column(1)]
+            words = [_words(x.as_py()) for x in batch.column(2)]
             sets = [_shingles(w) for w in words]
             fps = [wide_fingerprint(s) for s in sets]
             near = np.bitwise_count(np.frombuffer(b"".join(fps), dtype="<u8").reshape(-1, WIDE) ^ first).sum(axis=1, dtype=np.int32)
             keys = band_keys(sets, bands, rows)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel().view(np.int64)))
-            columns = [batch.column(0), pa.array([class_of(w) for w in words], pa.binary()), pa.array(fps, pa.binary()), pa.array(near), lists]
-            yield pa.record_batch(columns, names=["doc_id", "class", "fp", "near", "bands"])
+            columns = [batch.column(0), batch.column(1), pa.array([class_of(w) for w in words], pa.binary()), pa.array(fps, pa.binary()), pa.array(near), lists]
+            yield pa.record_batch(columns, names=["doc_id", "mark", "class", "fp", "near", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, "doc_id long, class binary, fp binary, near int, bands array<long>")
+    marked = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "text")
+    return marked.mapInArrow(sign, "doc_id long, mark long, class binary, fp binary, near int, bands array<long>")
 
 
-def wide_links(signed: DataFrame, max_bits: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def wide_links(classes: DataFrame, max_bits: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Links between distinct wide fingerprints (fp, near, bands) that share a band and differ in ``max_bits`` at most."""
-    rows = signed.select(F.explode("bands").alias("key"), "near", "fp")
+    keyed = classes.select(F.explode("bands").alias("key"), "near", "fp")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")  # most bands are one text's alone
+    rows = cut(keyed.join(shared, "key"))
     units = in_units(rows, "key", "fp", bucket_rows).select("key", "unit", "near", "fp")
     return units.repartition("key", "unit").sortWithinPartitions("key", "unit", "near").mapInArrow(_linker(max_bits, WIDE), "a binary, b binary")
 
 
-def _shingle_sets(rows: DataFrame) -> DataFrame:
-    """(group, class, distinct shingle hashes) of rows (group, class, text)."""
+def _shingle_sets(texts: DataFrame) -> DataFrame:
+    """(class, distinct shingle hashes) of rows (text)."""
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [_shingles(_words(x.as_py())).view(np.int64) for x in batch.column(2)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))], names=["key", "class", "shingles"])
+        for batch in in_slices(batches):
+            words = [_words(x.as_py()) for x in batch.column(0)]
+            sets = [_shingles(w).view(np.int64) for w in words]
+            yield pa.record_batch([pa.array([class_of(w) for w in words], pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["class", "shingles"])
+
+    return texts.mapInArrow(shingle, "class binary, shingles array<long>")
 
-    return rows.mapInArrow(shingle, "key binary, class binary, shingles array<long>")
+
+def _among(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` that are (``left_semi``) or are not (``left_anti``) in the written table ``rows`` (doc_id, mark).
+
+    The texts of ``docs`` are shuffled only if ``rows`` is too large to be broadcast.
+    """
+    doc, mark = unused(docs.columns, "_doc"), unused(docs.columns, "_mark")
+    named = small(rows.select(F.col("doc_id").alias(doc), F.col("mark").alias(mark)))
+    return docs.join(named, docs["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(mark)), how)
 
 
-def similar_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(class, root, first) for each distinct text: its cluster by shingle similarity, and its first row.
+def similar_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(classes, rows). Classes: class, root and first of each distinct text, its cluster by shingle similarity and its first row.
 
-    ``first`` orders rows by doc_id (none comes last) within the class.
+    ``first`` orders rows by doc_id (none comes last) within the class. Rows: doc_id, mark (a
+    hash of the text) and class of each row of ``docs``.
     """
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
-    signed = _signed_texts(docs, *tune_bands(similarity, RECALL, MAX_BANDS))
-    classes = cut(signed.groupBy("class").agg(F.min(order).alias("first"), *(F.first(c).alias(c) for c in ("fp", "near", "bands"))))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    signed = cut(_signed_texts(docs, *tune_bands(similarity, RECALL, MAX_BANDS)))
+    # The bands and fingerprint are the class's own, so any row's will do.
+    firsts = cut(signed.groupBy("class").agg(F.min(order).alias("first")))
+    where = firsts.select("class", F.col("first.doc_id").alias("id"), F.col("first.mark").alias("own"))
+    alike = (signed["class"] == where["class"]) & signed["doc_id"].eqNullSafe(where["id"]) & (signed["mark"] == where["own"])
+    classes = signed.join(where, alike, "left_semi").select("class", "fp", "near", "bands")
     near = connected_components(wide_links(classes, int(64 * WIDE * WIDE_LIMIT)))
-    classes = classes.select("class", "first", "fp")
-    grouped = classes.join(near.withColumnRenamed("node", "fp"), "fp", "left").select("class", "first", F.coalesce("component", "fp").alias("key"))
+    fps = signed.groupBy("class").agg(F.min("fp").alias("fp"))
+    grouped = fps.join(near.withColumnRenamed("node", "fp"), "fp", "left").select("class", F.coalesce("component", "fp").alias("key"))
     several = grouped.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    met = cut(grouped.join(several, "key").select("key", "class", "first.doc_id"))
-    source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    wanted = source.join(met.select("doc_id").distinct(), F.col("id").eqNullSafe(F.col("doc_id")), "left_semi")
-    texts = _with_class(wanted.select("text"), "class").dropDuplicates(["class"])
-    sets = _shingle_sets(met.select("key", "class").join(texts, "class").select("key", "class", "text"))
-    linked = connected_components(verified_links(sets, similarity, met)).withColumnRenamed("node", "class")
-    return classes.join(linked, "class", "left").select("class", F.coalesce("component", "class").alias("root"), "first")
+    met = cut(grouped.join(several, "key").select("key", "class"))
+    wanted = cut(firsts.join(met, "class", "left_semi").select("first.doc_id", "first.mark"))
+    sets = cut(_shingle_sets(_among(docs.select("doc_id", "text"), wanted, "left_semi").select("text"))).dropDuplicates(["class"])
+    linked = connected_components(verified_links(met.join(sets, "class").select("key", "class", "shingles"), similarity, met)).withColumnRenamed("node", "class")
+    told = firsts.join(linked, "class", "left").select("class", F.coalesce("component", "class").alias("root"), "first")
+    return told, signed.select("doc_id", "mark", "class")
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -300,10 +306,19 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     by the Jaccard similarity of their shingles of five words. The row with the smallest doc_id
     stays; null ids come last, and of rows alike in doc_id and words one stays.
     """
-    clusters = cut(similar_classes(docs.select("doc_id", "text"), similarity))
-    chosen = clusters.groupBy("root").agg(F.min(F.struct("first", "class")).alias("first"))
-    own, doc, met = (unused(docs.columns, x) for x in ("_own_class", "_doc", "_class"))
-    chosen = chosen.select(F.col("first.first.doc_id").alias(doc), F.col("first.class").alias(met))
-    named = _with_class(docs, own)
-    kept = named.join(chosen, named["doc_id"].cast("long").eqNullSafe(chosen[doc]) & (named[own] == chosen[met]), "left_semi")
-    return kept.dropDuplicates(["doc_id", own]).select(*docs.columns)
+    classes, rows = similar_classes(docs.select("doc_id", "text"), similarity)
+    classes = cut(classes)
+    chosen = classes.groupBy("root").agg(F.min(F.struct("first", "class")).alias("least"))
+    kept = chosen.select("least.first.doc_id", "least.first.mark")
+    id_, own = F.col("doc_id"), F.col("mark")
+    counted = rows.groupBy("doc_id", "mark").agg(F.count("*").alias("n"))
+    told = counted.join(kept.select(id_.alias("id"), own.alias("own"), F.lit(True).alias("kept")), id_.eqNullSafe(F.col("id")) & (own == F.col("own")), "left")
+    gone = cut(told.where("kept IS NULL").select("doc_id", "mark"))
+    left = _among(docs, gone, "left_anti")
+    again = cut(told.where("kept AND n > 1").select("doc_id", "mark"))
+    if again.isEmpty():
+        return left
+    # Rows alike in doc_id and text: one of them stays.
+    key = unused(docs.columns, "_key")
+    one = _among(left, again, "left_semi").withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key]).drop(key)
+    return _among(left, again, "left_anti").unionByName(one)
