@@ -599,7 +599,9 @@ def test_links_like_brute_force(spark, blocks, rows):
     assert all(min(g) == c for c, g in got.items())
 
 
-def test_components(spark):
+@pytest.mark.parametrize("light", [1000, 3])
+def test_components(spark, monkeypatch, light):
+    monkeypatch.setattr(components, "LIGHT", light)  # 3: the nodes of many edges are broadcast
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 5000), (None, 3)] + [(r.randrange(2000, 2100), r.randrange(2000, 2100)) for _ in range(150)]
     got = {x["node"]: x["component"] for x in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
