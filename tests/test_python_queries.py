@@ -1,6 +1,11 @@
 """Queries beyond SQL against plain Python."""
 
+import collections
+import hashlib
+import re
+import string
 import textwrap
+import unicodedata
 from difflib import SequenceMatcher
 
 from wordloom.plans import catalogue
@@ -84,3 +89,78 @@ def test_stratified_sample(spark, data):
             pool.remove(best)
             picked.append(best)
             assert got[state, len(picked)] == best["o_orderkey"]
+
+
+def test_surface_offsets(spark, data):
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()}
+    rows = run("surface_offsets", spark, data)
+    assert len(rows) > 10
+    for r in rows:
+        word = items[r["item_id"]].split(" ")[1]
+        source = "  “" + items[r["item_id"]].replace(" ", " \t ").replace("'", "’") + "” \n"
+        bare = word.strip(string.punctuation + " ").replace("'", "’")
+        # Dashes and apostrophes next to a word join it to others.
+        spans = [m.span() for m in re.finditer(rf"(?<![\w'’–—-]){re.escape(bare)}(?![\w'’–—-])", unicodedata.normalize("NFC", source), re.IGNORECASE)]
+        assert r["spans"] == ",".join(f"{a}:{b}" for a, b in spans) and r["n"] == len(spans) > 0
+
+
+def test_surfaces_keep_offsets():
+    from wordloom.functions.udfs import surface_with_offsets
+
+    text, places = surface_with_offsets("  “Straße —\t X’s… Ünı” ")
+    assert text == "strasse - x's… ünı" and len(places) == len(text)
+    assert places[4] == places[5] == (7, 8) and places[8] == (10, 11) and places[9] == (11, 13) and places[10] == (13, 14)
+    assert surface_with_offsets("") == ("", []) and surface_with_offsets(" .!") == ("", [])
+
+
+def test_resolved_targets(spark, data):
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()}
+    rows, edge = run("resolved_targets", spark, data), string.punctuation + string.whitespace
+    assert {r["status"] for r in rows} & {"declared", "normalized"}
+    for r in rows:
+        target = items[r["item_id"]].split()[5]
+        assert r["target"] == target
+        lines = [x for p in items[r["item_id"]].split("\n") for x in (textwrap.wrap(p, 72, break_long_words=False, break_on_hyphens=False) or [""])]
+        hits = [n for n, line in enumerate(lines, 1) if re.search(rf"(?<![\w'-]){re.escape(target.strip(edge))}(?![\w'-])", line)]
+        assert r["matches"] == ",".join(map(str, hits))
+        want = (1, "declared") if 1 in hits else (hits[0], "normalized") if len(hits) == 1 else (None, "ambiguous" if hits else "not_found")
+        assert (r["line"], r["status"]) == want
+
+
+def test_edit_integrity(spark, data):
+    texts = {(r["conv_id"], r["turn"]): r["text"].split() for r in spark.read.parquet(f"{data}/conversations.parquet").collect()}
+    rows = run("edit_integrity", spark, data)
+    assert len({r["errors"] for r in rows}) >= 3
+    for r in rows:
+        w, kind = texts[r["conv_id"], r["turn"]], r["turn"] % 4
+        v = [w, [w[0], "@@", *w[2:]], ["@@", *w[1:-1], "##"], w[:2] + w[3:]][kind]
+        edits = [c for c in SequenceMatcher(None, w, v, autojunk=False).get_opcodes() if c[0] != "equal"]
+        sizes = [max(j - i, m - k) for _, i, j, k, m in edits]
+        want = [e for e, bad in (("no_edit", not edits), ("several_edits", len(edits) > 1), ("edit_not_local", any(s > 1 for s in sizes)), ("edit_outside_span", any(i < 1 or j > 3 for _, i, j, _, _ in edits))) if bad]
+        assert r["errors"] == ",".join(want)
+        measured = ("none" if not edits else "several" if len(edits) > 1 else edits[0][0], sum(sizes))
+        assert (r["kind"], r["size"]) == measured and r["status"] == ("PASS" if measured == ("replace", 1) else "FAIL")
+
+
+def test_adapted_compositions(spark, data):
+    from wordloom.plans.audit_queries import CAPS, KINDS, ONCE, WEIGHTS
+
+    def drawn(total, *parts):
+        return int(hashlib.sha256("|".join(map(str, parts)).encode()).hexdigest()[:8], 16) % total
+
+    seen = collections.defaultdict(lambda: [0] * len(KINDS))
+    for r in spark.read.parquet(f"{data}/events.parquet").collect():
+        seen[r["user_id"]][KINDS.index(r["event_type"])] += 1
+    rows = run("adapted_compositions", spark, data)
+    assert len(rows) > 50
+    for r in rows:
+        user = drawn(max(seen) + 1, "row", r["c_custkey"])
+        counts, step = [min(n, cap) for n, cap in zip(seen[user], CAPS)], 0
+        while sum(counts) != r["total"]:
+            step += 1
+            more = sum(counts) < r["total"]
+            chances = [0 if i == ONCE and counts[i] >= 1 else w for i, w in enumerate(WEIGHTS)] if more else list(counts)
+            at = drawn(sum(chances), "adapt", r["c_custkey"], step)
+            i = next(i for i in range(len(chances)) if at < sum(chances[: i + 1]))
+            counts[i] += 1 if more else -1
+        assert r["counts"] == ",".join(map(str, counts))

@@ -15,11 +15,12 @@ WORDISH = r"[\p{L}\p{N}_]+(?:['\-][\p{L}\p{N}_]+)*"
 SENTENCE_GAP = r"(?<=[.!?])[\"')\]]*\s+"
 SENTENCE_MARK = r"[.!?](?=[\"')\]]?(?:\s|$))"
 #: Words that carry no content.
-STOPWORDS = (
-    "a an and are as at be been being but by can could did do does for from had has have he her hers him his how "
-    "if in into is it its may might more most not of on or our she should so some such than that the their them then "
-    "there these they this those to was we were what when where which while who why will with would you your"
-).split()
+STOPWORDS = (
+    "a", "an", "and", "are", "as", "at", "be", "been", "being", "but", "by", "can", "could", "did", "do", "does", "for", "from", "had", "has", "have",
+    "he", "her", "hers", "him", "his", "how", "if", "in", "into", "is", "it", "its", "may", "might", "more", "most", "not", "of", "on", "or", "our",
+    "she", "should", "so", "some", "such", "than", "that", "the", "their", "them", "then", "there", "these", "they", "this", "those", "to", "was",
+    "we", "were", "what", "when", "where", "which", "while", "who", "why", "will", "with", "would", "you", "your",
+)
 #: From these on a text is flagged.
 LONG_WORD = 8
 LONG_WORD_RATE = 0.36
@@ -95,18 +96,32 @@ def jaccard(left: Column, right: Column) -> Column:
     return F.when((F.size(left) > 0) & (F.size(right) > 0), both / F.size(F.array_union(left, right)))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)``, with the value made once, also where it is used inside of a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def occurrences(words: Column, phrase: Column) -> Column:
     """Starts (0-based) at which the phrase's words stand in a row."""
-    n, k = F.size(words), F.size(phrase)
-    starts = F.when((k > 0) & (n >= k), F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
-    return F.filter(starts, lambda i: F.slice(words, i + 1, k) == phrase)
+
+    def starts(both: Column) -> Column:
+        w, p = both["w"], both["p"]
+        n, k = F.size(w), F.size(p)
+        every = F.when((k > 0) & (n >= k), F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
+        # Most starts fail at their first word.
+        return F.filter(every, lambda i: (F.get(w, i) == F.get(p, F.lit(0))) & (F.slice(w, i + 1, k) == p))
+
+    return once(F.struct(words.alias("w"), phrase.alias("p")), starts)
 
 
 def substring_starts(text: Column, part: Column) -> Column:
-    """All starts (0-based) of a substring; occurrences may overlap."""
-    n, k = F.length(text), F.length(part)
-    starts = F.when((k > 0) & (n >= k), F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
-    return F.filter(starts, lambda i: F.substring(text, i + 1, k) == part)
+    """All starts (0-based) of a substring; occurrences may overlap.
+
+    Text and part are compared as arrays of characters: a position in a string would be sought
+    from its start each time.
+    """
+    chars = lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, ""))
+    return occurrences(chars(text), chars(part))
 
 
 def fill_blank(stem: Column, option: Column, blank: str = "____") -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import string
 import unicodedata
 from difflib import SequenceMatcher
 
@@ -29,6 +31,37 @@ def nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
+PLAIN = str.maketrans("‘’“”–—", "''\"\"--")
+SPAN = T.StructType([T.StructField(n, T.IntegerType()) for n in ("start", "end")])
+
+
+def surface_with_offsets(text: str) -> tuple[str, list[tuple[int, int]]]:
+    """The surface of a text (NFC, plain quotes and dashes, single blanks, bare edges, casefolded), and where each of its characters stands in the NFC text."""
+    parts = [(" " if m[0].isspace() else m[0].translate(PLAIN), m.start(), m.end()) for m in re.finditer(r"\s+|\S", unicodedata.normalize("NFC", text))]
+    inner = [i for i, (c, _, _) in enumerate(parts) if c not in string.punctuation and c != " "]
+    out, places = [], []
+    for c, start, end in parts[inner[0] : inner[-1] + 1] if inner else ():
+        folded = c.casefold()
+        out.append(folded)
+        places += [(start, end)] * len(folded)
+    return "".join(out), places
+
+
+@F.pandas_udf(T.ArrayType(SPAN))
+def expression_spans(text: pd.Series, target: pd.Series) -> pd.Series:
+    """Where the target's surface stands as a whole expression in the text's, in offsets of the text."""
+
+    def one(text, target):
+        if pd.isna(text) or pd.isna(target):
+            return None
+        wanted, _ = surface_with_offsets(target)
+        found, places = surface_with_offsets(text)
+        hits = re.finditer(rf"(?<![\w'-]){re.escape(wanted)}(?![\w'-])", found) if wanted else ()
+        return [{"start": places[m.start()][0], "end": places[m.end() - 1][1]} for m in hits]
+
+    return pd.Series([one(a, b) for a, b in zip(text, target)])
+
+
 @F.pandas_udf(T.DoubleType())
 def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff/Obershelp ratio; null if a side is null."""

@@ -35,36 +35,36 @@ def expression_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("item_id", co.has_expression(F.col("text"), F.col("word")).alias("whole"), co.has_expression(F.col("text"), part).alias("part"), starts.alias("starts"))
 
 
-_OPTIONS = "f AS (SELECT p_brand, p_name, i FROM (SELECT p_brand, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i FROM part) WHERE i <= 4), w AS (SELECT p_brand, max(p_name) FILTER (i = 1) AS a, max(p_name) FILTER (i = 2) AS b, max(p_name) FILTER (i = 3) AS c, max(p_name) FILTER (i = 4) AS d FROM f GROUP BY p_brand HAVING count(*) = 4)"
+_OPTIONS = "f AS (SELECT p_partkey // 4 AS item, p_partkey % 4 AS i, p_name, p_brand FROM part), w AS (SELECT item, max(p_name) FILTER (i = 0) AS a, max(p_name) FILTER (i = 1) AS b, max(p_name) FILTER (i = 2) AS c, max(p_name) FILTER (i = 3) AS d, max(p_brand) FILTER (i = 0) AS brand FROM f GROUP BY item HAVING count(*) = 4)"
 
 
 def options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items of four options (the first parts of a brand) as a map by letter."""
-    four = Window.partitionBy("p_brand").orderBy("p_partkey")
-    rows = load(spark, sf_dir, "part").select("p_brand", "p_name", F.row_number().over(four).alias("i")).where("i <= 4")
-    lettered = rows.groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct(F.get(F.split(F.lit("A,B,C,D"), ","), F.col("i") - 1).alias("key"), F.col("p_name").alias("value")))).alias("o"))
-    return lettered.where(F.size("o") == 4).select("p_brand", F.map_from_entries("o").alias("options"))
+    """Items of four options (four parts in a row) as a map by letter, and the first part's brand; fewer parts make no item."""
+    rows = load(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 4).cast("long").alias("item"), (F.col("p_partkey") % 4).alias("i"), "p_name", "p_brand")
+    four = [F.max(F.when(F.col("i") == i, F.col("p_name"))).alias(x) for i, x in enumerate("ABCD")]
+    items = rows.groupBy("item").agg(*four, F.max(F.when(F.col("i") == 0, F.col("p_brand"))).alias("brand"), F.count("*").alias("n")).where("n = 4")
+    return items.select("item", "brand", F.create_map(*[y for x in "ABCD" for y in (F.lit(x), F.col(x))]).alias("options"))
 
 
 @query(f"""
-WITH {_OPTIONS}, l AS (SELECT p_brand, x, o FROM w, LATERAL (SELECT unnest(['A', 'B', 'C', 'D']) AS x, unnest([a, b, c, d]) AS o)),
-r AS (SELECT p_brand, x, o, row_number() OVER (PARTITION BY p_brand ORDER BY sha256(concat_ws('|', 'permute', p_brand, x)), x) AS i FROM l)
-SELECT p_brand, max(o) FILTER (i = 1) AS "A", max(o) FILTER (i = 2) AS "B", max(o) FILTER (i = 3) AS "C", max(o) FILTER (i = 4) AS "D", ['A', 'B', 'C', 'D'][max(i) FILTER (x = 'B')] AS answer FROM r GROUP BY p_brand""")
+WITH {_OPTIONS}, l AS (SELECT item, x, o FROM w, LATERAL (SELECT unnest(['A', 'B', 'C', 'D']) AS x, unnest([a, b, c, d]) AS o)),
+r AS (SELECT item, x, o, row_number() OVER (PARTITION BY item ORDER BY sha256(concat_ws('|', 'permute', item::VARCHAR, x)), x) AS i FROM l)
+SELECT item, max(o) FILTER (i = 1) AS "A", max(o) FILTER (i = 2) AS "B", max(o) FILTER (i = 3) AS "C", max(o) FILTER (i = 4) AS "D", ['A', 'B', 'C', 'D'][max(i) FILTER (x = 'B')] AS answer FROM r GROUP BY item""")
 def permuted_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Options and answer (B before) under each item's own permutation of the letters."""
-    told = options(spark, sf_dir).withColumn("order", permutation("ABCD", "permute", "p_brand"))
+    told = options(spark, sf_dir).withColumn("order", permutation("ABCD", "permute", "item"))
     moved = co.permuted(F.col("options"), F.col("order"))
-    return told.select("p_brand", moved.alias("m"), co.moved_label(F.lit("B"), F.col("order")).alias("answer")).select("p_brand", *[F.col("m")[x].alias(x) for x in "ABCD"], "answer")
+    return told.select("item", moved.alias("m"), co.moved_label(F.lit("B"), F.col("order")).alias("answer")).select("item", *[F.col("m")[x].alias(x) for x in "ABCD"], "answer")
 
 
 @query(f"""
-WITH {_OPTIONS}, t AS (SELECT *, lower('about ' || b || CASE WHEN substring(p_brand, -1) IN ('1', '2') THEN ' or ' || c ELSE '' END || ' and more') AS passage FROM w)
-SELECT p_brand, len(string_split(b, ' ')) >= 2 AND contains(passage, lower(b)) AND NOT (contains(passage, lower(a)) OR contains(passage, lower(c)) OR contains(passage, lower(d))) AS copied FROM t""")
+WITH {_OPTIONS}, t AS (SELECT *, lower('about ' || b || CASE WHEN substring(brand, -1) IN ('1', '2') THEN ' or ' || c ELSE '' END || ' and more') AS passage FROM w)
+SELECT item, len(string_split(b, ' ')) >= 2 AND contains(passage, lower(b)) AND NOT (contains(passage, lower(a)) OR contains(passage, lower(c)) OR contains(passage, lower(d))) AS copied FROM t""")
 def copied_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers (option B) of two words or more that stand in the passage while no wrong option does."""
-    extra = F.when(F.substring("p_brand", -1, 1).isin("1", "2"), F.concat(F.lit(" or "), F.col("options")["C"])).otherwise("")
+    extra = F.when(F.substring("brand", -1, 1).isin("1", "2"), F.concat(F.lit(" or "), F.col("options")["C"])).otherwise("")
     told = options(spark, sf_dir).withColumn("passage", F.concat(F.lit("about "), F.col("options")["B"], extra, F.lit(" and more")))
-    return told.select("p_brand", co.copied_answer(F.col("options"), F.lit("B"), F.col("passage"), least=2).alias("copied"))
+    return told.select("item", co.copied_answer(F.col("options"), F.lit("B"), F.col("passage"), least=2).alias("copied"))
 
 
 _LOG = "CASE event_id % 8 WHEN 0 THEN 'Unauthorized: api key' WHEN 1 THEN 'socket closed, connection reset' WHEN 2 THEN 'request timed out' WHEN 3 THEN 'Invalid JSON schema given' WHEN 4 THEN 'exit with stack trace' WHEN 5 THEN 'dns lookup' || repeat('.', 9000) ELSE '' END"
@@ -81,14 +81,14 @@ def failure_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH e AS (SELECT event_id, event_type AS stage, (user_id % 20)::VARCHAR AS detail, value FROM events), r AS (SELECT stage, detail, 'process' AS category, event_id FROM e WHERE value < 20),
-o AS (SELECT stage, detail, CASE WHEN event_id % 2 = 0 THEN 'schema' ELSE 'other' END AS category, event_id FROM e WHERE value > 300 AND event_id % 3 = 0),
+o AS (SELECT stage, detail, CASE WHEN event_id % 2 = 0 THEN 'schema' ELSE 'other' END AS category, event_id FROM e WHERE value > 300),
 k AS (SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.stage = o.stage AND r.detail = o.detail)), u AS (SELECT * FROM r UNION ALL SELECT stage, detail, CASE category WHEN 'schema' THEN 'CONTRACT_VALIDATION_ERROR' ELSE category END, event_id FROM k)
 SELECT stage, detail, category, min(event_id) AS first_id FROM u GROUP BY ALL""")
 def merged_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failures of calls, and those of outcomes that no call accounts for; each kind once, with its first."""
     events = load(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("stage"), (F.col("user_id") % 20).cast("string").alias("detail"), "value")
     calls = events.where("value < 20").select("stage", "detail", F.lit("process").alias("category"), "event_id")
-    outcomes = events.where("value > 300 AND event_id % 3 = 0").select("stage", "detail", F.when(F.col("event_id") % 2 == 0, "schema").otherwise("other").alias("category"), "event_id")
+    outcomes = events.where("value > 300").select("stage", "detail", F.when(F.col("event_id") % 2 == 0, "schema").otherwise("other").alias("category"), "event_id")
     return co.merge_failures(calls, outcomes, ["stage", "detail"], "event_id").withColumnRenamed("first", "first_id")
 
 

@@ -46,22 +46,27 @@ def record_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH r AS (SELECT doc_id, {_AS_JSON} AS j FROM documents WHERE doc_id % 4 <> 3), k AS (SELECT doc_id, json_keys(j::JSON) AS ks FROM r)
+WITH r AS (SELECT doc_id, {_AS_JSON} AS j FROM documents), k AS (SELECT doc_id, CASE WHEN starts_with(j, '{{') THEN json_keys(j::JSON) ELSE [] END AS ks FROM r)
 SELECT doc_id, array_to_string(list_sort(list_filter(ks, lambda x: x NOT IN ('id', 'kind'))), ',') AS leaked, array_to_string(list_sort(list_filter(['id', 'kind'], lambda x: NOT list_contains(ks, x))), ',') AS missing FROM k""")
 def leakage_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys beyond an allow-list, and those of it that are not there."""
-    docs = load(spark, sf_dir, "documents").where("doc_id % 4 <> 3").select("doc_id", F.json_object_keys(F.expr(_AS_JSON)).alias("ks"))
+    """Keys beyond an allow-list, and those of it that are not there; what is no object has no keys."""
+    keys = F.coalesce(F.json_object_keys(F.expr(_AS_JSON)), F.array().cast("array<string>"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", keys.alias("ks"))
     told = ru.leaked(F.col("ks"), ["id", "kind"])
     return docs.select("doc_id", told.alias("t")).select("doc_id", F.array_join("t.leaked", ",").alias("leaked"), F.array_join("t.missing", ",").alias("missing"))
 
 
-@query("""
-SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN CASE WHEN doc_id % 3 = 0 THEN 'id,kind' ELSE 'id,kind,note' END WHEN doc_id % 4 = 1 THEN 'id,kind' END AS kept FROM documents WHERE doc_id % 4 < 2""")
+_NOTED = """CASE doc_id % 4 WHEN 0 THEN '{"id":' || doc_id || ',"kind":"' || lang || '","note":' || CASE WHEN doc_id % 3 = 0 THEN 'null' ELSE '"n"' END || '}' WHEN 1 THEN '{"_t":1,"id":"x","kind":null}' WHEN 2 THEN '{"_a":{"b":1}}' ELSE '[1]' END"""
+
+
+@query(f"""
+WITH r AS (SELECT doc_id, ({_NOTED})::JSON AS j FROM documents), k AS (SELECT doc_id, j, CASE WHEN json_type(j) = 'OBJECT' THEN json_keys(j) END AS ks FROM r)
+SELECT doc_id, CASE WHEN ks IS NOT NULL THEN array_to_string(list_filter(ks, lambda x: NOT starts_with(x, '_') AND json_extract_string(j, '$.' || x) IS NOT NULL), ',') END AS kept FROM k""")
 def stripped_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys left when internal ones (``_``) and optional nulls are dropped."""
-    entries = F.create_map(F.lit("id"), F.col("doc_id").cast("string"), F.lit("kind"), F.col("lang"), F.when(F.col("doc_id") % 4 == 0, "note").otherwise("_t"), F.when((F.col("doc_id") % 4 == 1) | (F.col("doc_id") % 3 > 0), "1"))
+    """Keys left when internal ones (``_``) and nulls are dropped; null for what is no object."""
+    entries = F.from_json(F.expr(_NOTED), "map<string,string>")
     kept = F.map_filter(entries, lambda k, v: ~k.startswith("_") & v.isNotNull())
-    return load(spark, sf_dir, "documents").where("doc_id % 4 < 2").select("doc_id", F.array_join(F.map_keys(kept), ",").alias("kept"))
+    return load(spark, sf_dir, "documents").select("doc_id", F.array_join(F.map_keys(kept), ",").alias("kept"))
 
 
 @query("""SELECT doc_id, 'sha256:' || sha256('{"doc_id":' || doc_id || ',"lang":"' || lang || '","n_chars":' || n_chars || ',"source":"' || source || '"}') AS digest FROM documents""")
@@ -103,14 +108,12 @@ def public_and_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH n AS (SELECT p_brand, p_partkey, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i FROM part), f AS (SELECT * FROM n WHERE i <= 4)
-SELECT p_brand, max(CASE WHEN i = 1 THEN p_name END) AS "A", max(CASE WHEN i = 2 THEN p_name END) AS "B", max(CASE WHEN i = 3 THEN p_name END) AS "C", max(CASE WHEN i = 4 THEN p_name END) AS "D" FROM f GROUP BY p_brand""")
+WITH n AS (SELECT p_partkey // 4 AS item, p_partkey % 4 AS i, p_name FROM part)
+SELECT item, max(CASE WHEN i = 0 THEN p_name END) AS "A", max(CASE WHEN i = 1 THEN p_name END) AS "B", max(CASE WHEN i = 2 THEN p_name END) AS "C", max(CASE WHEN i = 3 THEN p_name END) AS "D" FROM n GROUP BY item""")
 def options_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of options as the four columns of an item."""
-    from ..operators.selection import top_by
-
-    four = top_by(load(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_name"), ["p_brand"], [F.col("p_partkey")], 4)
-    return four.groupBy("p_brand").pivot("rank", [1, 2, 3, 4]).agg(F.max("p_name")).toDF("p_brand", "A", "B", "C", "D")
+    """Rows of options (four parts in a row) as the four columns of an item."""
+    rows = load(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 4).cast("long").alias("item"), (F.col("p_partkey") % 4).cast("int").alias("i"), "p_name")
+    return rows.groupBy("item").pivot("i", [0, 1, 2, 3]).agg(F.max("p_name")).toDF("item", "A", "B", "C", "D")
 
 
 @query("""

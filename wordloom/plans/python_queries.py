@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -12,12 +12,12 @@ from .registry import load, query
 
 @query()
 def near_duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Similarity of the four options of an item (parts of a brand), pair by pair."""
-    order = Window.partitionBy("p_brand").orderBy("p_partkey")
-    four = load(spark, sf_dir, "part").select("p_brand", "p_partkey", tx.normalized(F.col("p_name")).alias("name"), F.row_number().over(order).alias("i")).where("i <= 4")
-    other = four.select("p_brand", F.col("p_partkey").alias("other"), F.col("name").alias("name2"), F.col("i").alias("j"))
-    pairs = four.join(other, "p_brand").where("i < j")  # six pairs a brand at most
-    return pairs.select("p_brand", "p_partkey", "other", udfs.similarity("name", "name2").alias("ratio")).withColumn("near", F.col("ratio") >= 0.92)
+    """Similarity of the four options of an item (parts in a row), pair by pair."""
+    item = F.floor(F.col("p_partkey") / 4).cast("long").alias("item")
+    rows = load(spark, sf_dir, "part").select(item, "p_partkey", tx.normalized(F.col("p_name")).alias("name"))
+    other = rows.select("item", F.col("p_partkey").alias("other"), F.col("name").alias("name2"))
+    pairs = rows.join(other, "item").where("p_partkey < other")  # six pairs an item at most
+    return pairs.select("item", "p_partkey", "other", udfs.similarity("name", "name2").alias("ratio")).withColumn("near", F.col("ratio") >= 0.92)
 
 
 @query()

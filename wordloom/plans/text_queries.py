@@ -81,22 +81,24 @@ def content_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+(?:[''’\-][\p{L}\p{N}]+)*') AS w FROM documents),
-b AS (SELECT item_id, (regexp_extract_all(text, '[\p{L}\p{N}]+(?:[''’\-][\p{L}\p{N}]+)*'))[1:5] AS phrase FROM benchmark),
+i AS (SELECT item_id, regexp_extract_all(text, '[\p{L}\p{N}]+(?:[''’\-][\p{L}\p{N}]+)*') AS w FROM benchmark),
+b AS (SELECT DISTINCT item_id, w[i:i + 4] AS phrase FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM i WHERE len(w) >= 5)),
 r AS (SELECT doc_id, w[i:i + 4] AS phrase FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5))
-SELECT doc_id, item_id, count(*)::BIGINT AS n FROM r JOIN b USING (phrase) WHERE len(phrase) = 5 GROUP BY ALL""")
+SELECT doc_id, item_id, count(*)::BIGINT AS n FROM r JOIN b USING (phrase) GROUP BY ALL""")
 def phrase_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often the first five words of each benchmark item stand in each document.
+    """How often phrases of five words of each benchmark item stand in each document.
 
-    Windows meet phrases by an equality join on a hash, then word for word.
+    Windows meet phrases by an equality join on a hash and on the five words, which is all that
+    a window carries; each document's counts are partly summed before they are shuffled.
     """
-    words = load(spark, sf_dir, "documents").select("doc_id", tx.lexical_tokens(F.col("text")).alias("w")).where(F.size("w") >= 5)
-    starts = F.sequence(F.lit(0), F.size("w") - 5)
-    keys = F.transform(starts, lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(5)]))
-    runs = words.select("doc_id", "w", F.posexplode(keys).alias("at", "key"))
-    phrase = F.slice(tx.lexical_tokens(F.col("text")), 1, 5)
-    items = load(spark, sf_dir, "benchmark").select("item_id", phrase.alias("phrase")).where(F.size("phrase") == 5)
-    items = items.withColumn("key", F.xxhash64(*[F.get("phrase", F.lit(k)) for k in range(5)]))
-    met = runs.join(items, "key").where(F.slice("w", F.col("at") + 1, F.lit(5)) == F.col("phrase"))
+
+    def windows(name: str, key: str) -> DataFrame:
+        words = load(spark, sf_dir, name).select(key, tx.lexical_tokens(F.col("text")).alias("w")).where(F.size("w") >= 5)
+        starts = F.sequence(F.lit(1), F.size("w") - 4)
+        each = words.select(key, F.explode(F.transform(starts, lambda i: F.slice("w", i, 5))).alias("phrase"))
+        return each.select(key, F.xxhash64("phrase").alias("key"), "phrase")
+
+    met = windows("documents", "doc_id").join(windows("benchmark", "item_id").distinct(), ["key", "phrase"])
     return met.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"))
 
 
@@ -177,19 +179,17 @@ def candidate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH o AS (SELECT p_brand, p_partkey, length(p_name) AS n, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i FROM part),
-f AS (SELECT * FROM o WHERE i <= 4),
-m AS (SELECT a.p_brand, a.p_partkey, a.n, max(b.n) AS other FROM f a JOIN f b ON a.p_brand = b.p_brand AND a.i <> b.i GROUP BY ALL)
-SELECT p_brand, p_partkey, n::BIGINT AS n, other::BIGINT AS other, n >= 40 AND n >= 1.8 * other AND n - other >= 20 AS outlier FROM m""")
+WITH o AS (SELECT p_partkey, p_partkey // 4 AS item, length(p_name) AS n FROM part),
+m AS (SELECT a.item, a.p_partkey, a.n, max(b.n) AS other FROM o a JOIN o b ON a.item = b.item AND a.p_partkey <> b.p_partkey GROUP BY ALL)
+SELECT item, p_partkey, n::BIGINT AS n, other::BIGINT AS other, n >= 40 AND n >= 1.8 * other AND n - other >= 20 AS outlier FROM m""")
 def option_length_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the first four parts of a brand, names that are far longer than the other three."""
-    order = Window.partitionBy("p_brand").orderBy("p_partkey")
-    four = load(spark, sf_dir, "part").select("p_brand", "p_partkey", F.length("p_name").cast("long").alias("n"), F.row_number().over(order).alias("i")).where("i <= 4")
-    group = Window.partitionBy("p_brand")
-    sizes = F.filter(F.collect_list(F.struct("i", "n")).over(group), lambda s: s["i"] != F.col("i"))
-    other = F.array_max(F.transform(sizes, lambda s: s["n"]))
-    told = four.withColumn("other", other).where("other IS NOT NULL")
-    return told.select("p_brand", "p_partkey", "n", "other", F.expr("n >= 40 AND n >= 1.8 * other AND n - other >= 20").alias("outlier"))
+    """Of the four options of an item (parts in a row), names that are far longer than the other three."""
+    rows = load(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 4).cast("long").alias("item"), "p_partkey", F.length("p_name").cast("long").alias("n"))
+    sizes = rows.groupBy("item").agg(F.array_sort(F.collect_list("n")).alias("sizes"))  # four at most
+    # The longest of the others is the last but one for the longest itself, else the last.
+    other = F.when(F.col("n") == F.element_at("sizes", -1), F.element_at("sizes", -2)).otherwise(F.element_at("sizes", -1))
+    told = rows.join(sizes.where(F.size("sizes") > 1), "item").withColumn("other", other)
+    return told.select("item", "p_partkey", "n", "other", F.expr("n >= 40 AND n >= 1.8 * other AND n - other >= 20").alias("outlier"))
 
 
 @query(r"""

@@ -9,10 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def fresh_folder(spark: SparkSession, kind: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``; under a temporary one where none is set (tests)."""
+    """A new folder under ``spark.checkpoint.dir``; under a temporary one in a local session that names none (tests)."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if named is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="wordloom-"))
         named = sc.getCheckpointDir()
     return f"{named.rstrip('/')}/{kind}-{uuid.uuid4().hex}"

@@ -12,15 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.lifecycle import TRANSITIONS
-
-
-def _shared(spark: SparkSession) -> str:
-    """The folder all executors see; one is made where the session names none (tests)."""
-    import tempfile
-
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    return named or "file://" + tempfile.mkdtemp(prefix="wordloom-stream-")
+from ..sources.storage import fresh_folder
 
 
 def events(spark: SparkSession, path: str) -> DataFrame:
@@ -33,7 +25,7 @@ def events(spark: SparkSession, path: str) -> DataFrame:
 
 def run_once(stream: DataFrame, mode: str) -> DataFrame:
     """Process what there is, write it to the shared folder and return the result as a table."""
-    spark, folder = stream.sparkSession, f"{_shared(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+    spark, folder = stream.sparkSession, fresh_folder(stream.sparkSession, "stream")
     out, seen = f"{folder}/out", f"{folder}/progress"
     if mode == "append":
         writer = stream.writeStream.outputMode("append").format("parquet").option("path", out)
