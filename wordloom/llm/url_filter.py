@@ -2,7 +2,10 @@
 
 Host and path rules decide first. Every other URL is scanned once by an Aho-Corasick automaton
 for the terms of a vocabulary; a hit counts only if no ASCII letter or digit touches it. One
-strict term, or enough weight in distinct soft terms, blocks the URL.
+strict term blocks the URL, and so do several distinct soft terms whose weights add up to enough.
+
+A vocabulary is a parameter, read from a table of terms (term, weight; a null weight makes a term
+strict) or given in code. The one below is small and stands in for the lists that a user has.
 """
 
 from __future__ import annotations
@@ -16,7 +19,10 @@ from pyspark.sql import functions as F
 from .common import ascii_lower
 
 STRICT = ("porn", "porno", "xxx", "hentai", "camgirls", "escorts", "warez", "phishing", "keygen", "spam-farm", "link-farm", "sex-chat")
-SOFT = {"sex": 1, "nude": 1, "adult": 1, "casino": 1, "betting": 1, "poker": 1, "slots": 1, "viagra": 1, "pills": 1, "payday": 1, "crack": 1, "torrent": 1, "replica": 1, "spam": 1, "farm": 1, "cheap": 1}
+#: Weight 2: hardly met on other pages; weight 1: only telling together with others.
+SOFT = {"sex": 2, "nude": 2, "casino": 2, "betting": 2, "poker": 2, "viagra": 2, "torrent": 2, "adult": 1, "slots": 1, "pills": 1, "payday": 1, "crack": 1, "replica": 1, "spam": 1, "farm": 1, "cheap": 1}
+#: A vocabulary goes to every task with the function that scans for it; larger ones are refused.
+MOST_TERMS = 1_000_000
 #: (verdict, host and path), the longest that fits wins.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
@@ -25,7 +31,17 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 class Vocabulary:
     strict: tuple[str, ...] = STRICT
     soft: dict[str, int] = field(default_factory=lambda: dict(SOFT))
-    soft_weight: int = 2  # blocked from this sum of the weights of distinct soft terms
+    soft_weight: int = 3  # blocked from this sum of the weights of distinct soft terms,
+    soft_terms: int = 2  # and from so many of them
+
+    @classmethod
+    def of_table(cls, terms: DataFrame, **limits) -> "Vocabulary":
+        """A vocabulary from a table (term, weight). Terms are lower-cased; null and empty ones are left out; of repeated ones the strictest holds."""
+        lowered = terms.select(ascii_lower(F.col("term")).alias("term"), F.col("weight").cast("int").alias("weight")).where("length(term) > 0")
+        each = lowered.groupBy("term").agg(F.max(F.col("weight").isNull()).alias("strict"), F.max("weight").alias("weight")).limit(MOST_TERMS + 1).collect()
+        if len(each) > MOST_TERMS:
+            raise ValueError(f"a vocabulary has {MOST_TERMS} terms at most")
+        return cls(tuple(sorted(r["term"] for r in each if r["strict"])), {r["term"]: r["weight"] for r in each if not r["strict"]}, **limits)
 
 
 def _scan(vocabulary: Vocabulary):
@@ -36,7 +52,7 @@ def _scan(vocabulary: Vocabulary):
             import ahocorasick
 
             held.append(ahocorasick.Automaton())
-            for term in (*vocabulary.soft, *vocabulary.strict):
+            for term in (*vocabulary.soft, *vocabulary.strict):  # of a term that is both, strict holds
                 held[0].add_word(term, (term, len(term)))
             held[0].make_automaton()
         return held[0]
@@ -82,7 +98,8 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 def url_filter(pages: DataFrame, rules=RULES, vocabulary: Vocabulary = Vocabulary(), key: str = "page_id") -> DataFrame:
     """A verdict for each row of ``pages`` (the key, url).
 
-    A null or empty url has empty host and path, meets no rule and no term, and is allowed.
+    A null or empty url has empty host and path, meets no rule and no term, and is allowed. Of
+    rules of equal length that fit, the one named last holds.
     Repeated rows are judged each by itself; other columns are not read; an empty table gives
     an empty result.
     """
@@ -90,7 +107,8 @@ def url_filter(pages: DataFrame, rules=RULES, vocabulary: Vocabulary = Vocabular
     split = pages.select(key, "url", host.alias("host"), path.alias("path"))
     rule, ruled = rule_for(F.col("host"), F.col("path"), rules)
     judged = split.select(key, "host", "path", rule.alias("rule"), ruled.alias("ruled"), _scan(vocabulary)(ascii_lower(F.col("url"))).alias("found"))
-    blocked = (F.col("found.n_strict") > 0) | (F.col("found.soft_weight") >= vocabulary.soft_weight)
+    enough = (F.col("found.n_soft") >= vocabulary.soft_terms) & (F.col("found.soft_weight") >= vocabulary.soft_weight)
+    blocked = (F.col("found.n_strict") > 0) | enough
     return judged.select(key, "host", "path", "rule", F.coalesce("ruled", F.when(blocked, "block").otherwise("allow")).alias("verdict"), "found.n_strict", "found.n_soft", "found.soft_weight")
 
 
@@ -120,6 +138,6 @@ judged AS (
          ({strict})::BIGINT AS n_strict, ({soft})::BIGINT AS n_soft, ({weight})::BIGINT AS soft_weight
   FROM split)
 SELECT page_id, host, path, rule,
-       coalesce(ruled, CASE WHEN n_strict > 0 OR soft_weight >= {vocabulary.soft_weight} THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(ruled, CASE WHEN n_strict > 0 OR n_soft >= {vocabulary.soft_terms} AND soft_weight >= {vocabulary.soft_weight} THEN 'block' ELSE 'allow' END) AS verdict,
        n_strict, n_soft, soft_weight
 FROM judged"""
