@@ -59,6 +59,16 @@ def test_url_filter(spark):
     assert url_filter.url_filter(pages.limit(0)).count() == 0
 
 
+def test_url_vocabulary_of_a_table(spark):
+    terms = spark.createDataFrame([("Bad", None), ("bad", 1), ("so", 1), ("so", 2), ("mild", 1), ("", None), (None, 3), ("a-b", 2)], "term string, weight int")
+    own = url_filter.Vocabulary.of_table(terms, soft_weight=3)
+    assert own.strict == ("bad",) and own.soft == {"so": 2, "mild": 1, "a-b": 2}
+    urls = ["http://h.org/BAD", "http://h.org/badly", "http://h.org/so", "http://h.org/so/so/so", "http://h.org/so-mild", "http://h.org/a-b/mild", "http://h.org/a-b.so", "http://h.org/a-bc/so"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.url_filter(pages, rules=(), vocabulary=own).collect()}
+    assert [got[i] for i in range(8)] == ["block", "allow", "allow", "allow", "block", "block", "block", "allow"]
+
+
 # 2 Substring dedup
 
 
@@ -476,6 +486,49 @@ def test_compaction(spark, edge):
     assert table.manifest().agg(F.sum("n_rows")).first()[0] == len(want)
     with pytest.raises(sharding.ConcurrentCommit):
         table._commit(table.manifest(), last - 1, table._version(last)[1])
+    assert table.last() == last and table.read().count() == len(want)
+
+
+def test_versions_are_whole_or_not_there(spark, edge, monkeypatch):
+    table = sharding.ShardTable(spark, sharding.new_dir(spark, "shard-test"))
+    table.append(edge)
+    monkeypatch.setattr(table, "_move", lambda source, target: (_ for _ in ()).throw(RuntimeError("the writer dies here")))
+    with pytest.raises(RuntimeError, match="dies"):
+        table.append(edge)
+    monkeypatch.undo()
+    fs, planted = table._fs(f"{table.folder}/versions/.half-written")  # a writer that died while it wrote
+    stream = fs.create(planted)
+    stream.write(bytearray(b"manifests/x"))
+    stream.close()
+    assert table.last() == 1 and table.read().count() == len(EDGE)
+    assert table.append(edge) == 2 and table.read().count() == 2 * len(EDGE)
+    one, two = (spark.range(1).select(F.lit(f"p{i}").alias("path"), F.lit(1).cast("long").alias("bytes"), F.lit(1).cast("long").alias("n_rows"), F.lit(0).alias("tier")) for i in (1, 2))
+    assert table._commit(one, 2, "{}") == 3
+    with pytest.raises(sharding.ConcurrentCommit):
+        table._commit(two, 2, "{}")
+    assert [r["path"] for r in table.manifest().collect()] == ["p1"]
+
+
+def test_shards_are_read_from_the_manifest_where_they_are_many(spark, edge, monkeypatch):
+    table = sharding.ShardTable(spark, sharding.new_dir(spark, "shard-test"))
+    table.append(edge)
+    want = sorted(map(tuple, table.read().collect()), key=str)
+    monkeypatch.setattr(sharding, "LISTED_SHARDS", 0)
+    assert sorted(map(tuple, table.read().collect()), key=str) == want
+    assert sorted(((r["text"], r["doc_id"]) for r in table.read(columns=["text", "doc_id"]).collect()), key=str) == sorted(((x[1], x[0]) for x in want), key=str)
+    table.vacuum(grace_seconds=0)
+    assert table.read().count() == len(EDGE)
+
+
+def test_move_by_the_file_systems_rename(spark, tmp_path):
+    table = sharding.ShardTable(spark, f"file://{tmp_path}")
+    for name in ("a", "b"):
+        (tmp_path / name).write_text(name)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    table._rename(hadoop.Path(f"file://{tmp_path}/a"), hadoop.Path(f"file://{tmp_path}/c"))
+    with pytest.raises(Exception, match="exists"):
+        table._rename(hadoop.Path(f"file://{tmp_path}/b"), hadoop.Path(f"file://{tmp_path}/c"))
+    assert (tmp_path / "c").read_text() == "a"
 
 
 def test_compaction_of_nothing(spark, edge, empty):

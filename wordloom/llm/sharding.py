@@ -3,15 +3,18 @@
 Arrivals are appended as small immutable Parquet shards. Shards of similar size form a tier;
 whenever a tier has a run of enough shards, they are merged, and so on upwards until files have
 the target size. A merge task reads its run shard by shard and writes one file, so nothing is
-shuffled and memory holds a batch at a time. The list of live shards is a table of its own; a
-commit creates the file of the next version number, which succeeds for one writer only, and
-readers see a version's shards or the ones before, never a mixture. Old shards are removed by
-``vacuum`` once no kept version names them.
+shuffled and memory holds a batch at a time. The list of live shards is a table of its own. A
+commit writes a version file under another name and then moves it to the next version's number,
+which succeeds for one writer only: readers see a whole version or the one before, and a writer
+that dies in between leaves a file that nobody reads. That needs a store in which such a move is
+one step that fails if the name is taken: HDFS and local or mounted POSIX folders are; plain
+object stores are not. Old shards are removed by ``vacuum`` once no kept version names them.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -26,6 +29,10 @@ from .common import new_dir, open_fs, unused
 TARGET_BYTES = 128 << 20
 FAN_IN = 4
 CODEC = "zstd"
+#: Up to so many shards are read by Spark's own reader, whose driver holds the list of files; more are read from the manifest, a task for each part of it.
+LISTED_SHARDS = 20_000
+#: Files younger than this may belong to a writer that has not committed yet; ``vacuum`` leaves them alone.
+GRACE_SECONDS = 24 * 3600
 SHARD_DDL = "path string, bytes long, n_rows long, tier int"
 SHARD = pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("n_rows", pa.int64()), ("tier", pa.int32())])
 
@@ -75,15 +82,37 @@ class ShardTable:
         """Make ``shards`` the live ones, if ``after`` is still the last version."""
         name = f"manifests/{uuid.uuid4().hex}"
         shards.select("path", "bytes", "n_rows", "tier").write.parquet(f"{self.folder}/{name}")
-        fs, where = self._fs(f"{self.folder}/versions/{after + 1:012d}")
-        try:
-            stream = fs.create(where, False)  # fails if it exists
-        except Exception as error:
-            raise ConcurrentCommit(f"version {after + 1} exists") from error
+        number = f"{self.folder}/versions/{after + 1:012d}"
+        fs, fresh = self._fs(f"{self.folder}/versions/.{uuid.uuid4().hex}")
+        stream = fs.create(fresh, False)
         stream.write(bytearray(f"{name}\n{schema}".encode()))
         stream.close()
+        try:
+            self._move(fresh, number)
+        except Exception as error:
+            if after + 1 in self.versions():
+                raise ConcurrentCommit(f"version {after + 1} exists") from error
+            raise
+        finally:
+            fs.delete(fresh, False)
         return after + 1
 
+    def _move(self, source, target: str) -> None:
+        """Give a file its name in one step, or fail if the name is taken."""
+        fs, where = self._fs(target)
+        if fs.getUri().getScheme() == "file":
+            # A rename would replace the other file there; a link never does.
+            os.link(source.toUri().getPath(), where.toUri().getPath())
+            return
+        self._rename(source, where)
+
+    def _rename(self, source, target) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        kind = getattr(hadoop, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(kind, 1)
+        options[0] = kind.NONE
+        hadoop.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration()).rename(source, target, options)
+
     # Writing
 
     @property
@@ -215,16 +244,14 @@ class ShardTable:
         self.runs(live).write.parquet(name)
         return self.spark.read.schema("path string, tier int, run string").parquet(name)
 
-    def settle(self, rounds: int = 12) -> int:
-        """Compact until no run is left; returns the last version."""
-        for _ in range(rounds):
-            if self.compact() is None:
-                break
-            self.vacuum()
+    def settle(self, grace_seconds: float = GRACE_SECONDS) -> int:
+        """Compact until no run is left; returns the last version. Each round leaves fewer shards, so it ends."""
+        while self.compact() is not None:
+            self.vacuum(grace_seconds=grace_seconds)
         return self.last()
 
-    def vacuum(self, keep: int = 1) -> None:
-        """Delete data files that none of the last ``keep`` versions names, a task for each part of the list."""
+    def vacuum(self, keep: int = 1, grace_seconds: float = GRACE_SECONDS) -> None:
+        """Delete data files that none of the last ``keep`` versions names and that are older than the grace time."""
         kept = None
         for v in self.versions()[-keep:]:
             paths = self.manifest(v).select("path")
@@ -234,7 +261,7 @@ class ShardTable:
         fs, where = self._fs(f"{self.folder}/data")
         if not fs.exists(where):
             return
-        listed = self.spark.read.format("binaryFile").load(f"{self.folder}/data").select(F.col("path").alias("found"))
+        listed = self.spark.read.format("binaryFile").load(f"{self.folder}/data").where(F.col("modificationTime") <= F.current_timestamp() - F.make_dt_interval(secs=F.lit(grace_seconds))).select(F.col("path").alias("found"))
         name = F.regexp_extract("found", "[^/]+$", 0)
         gone = listed.select(name.alias("name")).join(kept.select(F.regexp_extract("path", "[^/]+$", 0).alias("name")).distinct(), "name", "left_anti")
         folder = f"{self.folder}/data"
@@ -255,14 +282,38 @@ class ShardTable:
 
     # Reading
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version's shards; the list of files is what the driver holds."""
+    def read(self, version: int | None = None, columns: list[str] | None = None) -> DataFrame:
+        """The rows of a version's shards, whole or cut down to ``columns``.
+
+        Up to LISTED_SHARDS shards, Spark's reader takes the list of files (and prunes by it what
+        a query doesn't need); beyond, tasks read the shards that their part of the manifest names.
+        """
         version = self.last() if version is None else version
         if version == 0:
             raise ValueError("nothing has been appended")
         schema = T.StructType.fromJson(json.loads(self._version(version)[1]))
-        paths = [r["path"] for r in self.manifest(version).select("path").toLocalIterator()]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        names = schema.fieldNames() if columns is None else columns
+        wanted = T.StructType([schema[c] for c in names])
+        shards = self.manifest(version)
+        n = shards.count()
+        if not n:
+            return self.spark.createDataFrame([], wanted)
+        if n <= LISTED_SHARDS:
+            paths = [r["path"] for r in shards.select("path").collect()]
+            return self.spark.read.schema(wanted).parquet(*paths)
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import pyarrow.parquet as pq
+
+            for batch in batches:
+                for path in batch.column(0).to_pylist():
+                    fs, name = open_fs(path)
+                    with fs.open_input_file(name) as opened:
+                        for part in pq.ParquetFile(opened).iter_batches(batch_size=8192, columns=names):
+                            yield part.select(names)
+
+        tasks = max(-(-shards.agg(F.sum("bytes")).first()[0] // self.target), 1)
+        return shards.select("path").repartition(tasks).mapInArrow(read, wanted)
 
 
 def compacted(spark: SparkSession, rows: DataFrame, arrivals: int = 8, key: str = "doc_id") -> DataFrame:
@@ -274,7 +325,7 @@ def compacted(spark: SparkSession, rows: DataFrame, arrivals: int = 8, key: str
     table = ShardTable(spark, new_dir(spark, "shards"))
     arrival = unused(rows.columns, "_arrival")
     table.append(rows.withColumn(arrival, F.pmod(F.xxhash64(key), F.lit(arrivals))), arrival)
-    table.settle()
+    table.settle(grace_seconds=0)  # nobody else writes to this table
     return table.read().drop(arrival)
 
 
