@@ -21,6 +21,7 @@ import struct
 MEMO_WORDS = 500_000
 TAIL = string.punctuation.replace("'", "")
 LAST_LATIN = "\u024f"
+PACKED = [struct.Struct(f"<{n}I").pack for n in range(33)]
 _encoders: dict[tuple[str, int], "WordEncoder"] = {}
 
 
@@ -68,35 +69,45 @@ class WordEncoder:
         # Byte-level models write bytes without a printable Latin-1 character from U+0100 on.
         printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         self.letters = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in printable)}
+        self.blank = chr(self.letters[0x20])
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _miss(self, word: str, known: dict[str, bytes], before: str) -> bytes:
-        if word.split() != [word]:
-            raise _Irregular
         stem = word.rstrip(TAIL)
-        if stem.isalpha() and max(stem) <= LAST_LATIN:
+        if stem.isascii() and stem.isalpha():
+            ids = known.get(stem)
+            if ids is None:
+                # ASCII letters stand for themselves, a blank for its own letter.
+                ids = self._packed([t.id for t in self.model(self.blank + stem if before else stem)])
+        elif stem.isalpha() and max(stem) <= LAST_LATIN:
             ids = known.get(stem) or self._stem(before + stem)
-            if tail := word[len(stem) :]:
-                ids += self._tail(tail)
+        elif word.split() != [word]:
+            raise _Irregular
         else:
-            ids = self.whole(before + word)
+            ids, stem = self.whole(before + word), word
+        if len(stem) < len(word):
+            if len(known) < self.memo:
+                known[stem] = ids
+            tail = word[len(stem) :]
+            ids += self.tails.get(tail) or self._tail(tail)
         if len(known) < self.memo:
             known[word] = ids
         return ids
 
     def _stem(self, stem: str) -> bytes:
-        ids = [t.id for t in self.model(stem.encode().decode("latin-1").translate(self.letters))]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return self._packed([t.id for t in self.model(stem.encode().decode("latin-1").translate(self.letters))])
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return PACKED[len(ids)](*ids) if len(ids) < len(PACKED) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _tail(self, tail: str) -> bytes:
-        ids = self.tails.get(tail)
-        if ids is None:
-            ids = self.whole(tail)
-            if len(self.tails) < self.memo:
-                self.tails[tail] = ids
+        ids = self.whole(tail)
+        if len(self.tails) < self.memo:
+            self.tails[tail] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:
