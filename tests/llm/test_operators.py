@@ -675,9 +675,21 @@ def test_components(spark, monkeypatch, light):
 
 def test_units_let_every_pair_meet(spark):
     df = spark.createDataFrame([(k, i) for k, n in ((1, 50), (2, 3)) for i in range(n)], "key long, m long")
-    met = buckets.in_units(df, "key", "m", 10).groupBy("key", "unit").agg(F.collect_list("m").alias("m")).collect()
+    units, links = buckets.in_units(df, "key", "m", 10)
+    met = units.groupBy("key", "unit").agg(F.collect_list("m").alias("m")).collect()
     pairs = {(r["key"], a, b) for r in met for a in r["m"] for b in r["m"] if a < b}
-    assert len(pairs) == 50 * 49 // 2 + 3 and max(len(r["m"]) for r in met) < 40
+    assert len(pairs) == 50 * 49 // 2 + 3 and max(len(r["m"]) for r in met) < 40 and links is None
+
+
+def test_units_of_copies_are_few(spark):
+    rows = [(1, i, 0 if i < 900 else i) for i in range(930)] + [(2, i, 5) for i in range(400)] + [(3, i, i) for i in range(7)]
+    df = spark.createDataFrame(rows, "key long, m long, v long")
+    units, links = buckets.in_units(df, "key", "m", 50, payload="v", alike=lambda x, y: x == y)
+    met = units.groupBy("key", "unit").agg(F.collect_list("m").alias("m")).collect()
+    pairs = {(r["key"], min(a, b), max(a, b)) for r in met for a in r["m"] for b in r["m"] if a != b}
+    assert {(1, a, b) for b in range(900, 930) for a in range(b)} <= pairs and len([p for p in pairs if p[0] == 3]) == 21
+    assert not any(r["key"] == 2 for r in met) and sum(len(r["m"]) for r in met) < 930 + 30 * 20 + 8
+    assert {(r["a"], r["b"]) for r in links.collect()} == {(0, b) for b in (*range(1, 900),)} | {(0, b) for b in range(1, 400)}
 
 
 # 10 Quality

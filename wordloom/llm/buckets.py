@@ -3,32 +3,65 @@
 A bucket with more rows than the limit is cut into chunks by hash; each pair of chunks is a
 unit of its own. So every two rows of a bucket meet in a unit, no unit holds more than about
 twice the limit, and a large bucket becomes many tasks instead of one.
+
+Pairs of chunks grow with the square of a bucket. Most large buckets are made of copies of one
+thing, so each row of one is compared with the bucket's first row beforehand: rows linked to it
+are in one component already and need not meet each other. Only the others, which are few then,
+are cut into chunks that meet all chunks; no link between components is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small
+
+
+#: So many first rows of large buckets are broadcast; each may carry the shingles of a text.
+FIRST_ROWS = 1000
+
+
+def _chunk(seed: int, member: str, chunks: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), member), chunks)
+
+
+def _up_to(chunks: Column) -> Column:
+    return F.sequence(F.lit(0).cast("long"), chunks - 1)
 
 
-def in_units(rows: DataFrame, key: str, member: str, limit: int, buckets: DataFrame | None = None) -> DataFrame:
-    """``rows`` with a column ``unit``; rows of large buckets are repeated, once per chunk.
+def in_units(rows: DataFrame, key: str, member: str, limit: int, buckets: DataFrame | None = None, payload: str | None = None, alike: Callable[[Column, Column], Column] | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(units, links). Units are ``rows`` with a column ``unit``; rows of large buckets are repeated, once per chunk.
 
     ``buckets`` is a table with the same keys, as often, which is counted instead if it is given.
+    With ``alike``, which tells from the ``payload`` of two rows whether they are linked, links
+    (a, b) join members of large buckets to their first, and those linked so don't meet each
+    other; links are None without it, or if no bucket is large.
     """
     heavy = cut((rows if buckets is None else buckets).groupBy(key).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > limit))
     if heavy.isEmpty():
-        return rows.withColumn("unit", F.lit(0).cast("long"))
-    chunks = F.coalesce(F.ceil(F.col("n_rows") / limit), F.lit(1)).cast("long")
-    told = rows.join(heavy, key, "left").withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64(F.lit(7), member), "chunks"))
-    units = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda j: F.least("chunk", j) * F.col("chunks") + F.greatest("chunk", j))
-    return told.withColumn("unit", F.explode(units)).drop("n_rows", "chunks", "chunk")
+        return rows.withColumn("unit", F.lit(0).cast("long")), None
+    names = rows.columns
+    light = rows.join(small(heavy.select(key)), key, "left_anti").select(*names, F.lit(0).cast("long").alias("unit"))
+    large = rows.join(small(heavy), key)
+    chunks = F.ceil(F.col("n_rows") / limit).cast("long")
+    if alike is None:
+        told = large.withColumn("chunks", chunks).withColumn("chunk", _chunk(7, member, F.col("chunks")))
+        units = F.transform(_up_to(F.col("chunks")), lambda j: F.least("chunk", j) * F.col("chunks") + F.greatest("chunk", j))
+        return light.unionByName(told.select(*names, F.explode(units).alias("unit"))), None
+    firsts = cut(large.groupBy(key).agg(F.min(F.struct(member, payload)).alias("_least")))
+    told = cut(large.join(small(firsts, FIRST_ROWS), key).select(*names, "n_rows", F.col(f"_least.{member}").alias("_first"), alike(F.col(f"_least.{payload}"), F.col(payload)).alias("_alike")))
+    links = told.where("_alike").where(F.col(member) != F.col("_first")).select(F.col("_first").alias("a"), F.col(member).alias("b"))
+    left = cut(told.groupBy(key).agg(F.count_if(~F.col("_alike")).alias("n_left")).where("n_left > 0"))
+    both = told.join(small(left), key).withColumn("chunks", chunks).withColumn("others", F.ceil(F.col("n_left") / limit).cast("long"))
+    as_any = F.transform(_up_to(F.col("others")), lambda u: u * F.col("chunks") + _chunk(7, member, F.col("chunks")))
+    as_other = F.transform(_up_to(F.col("chunks")), lambda c: _chunk(11, member, F.col("others")) * F.col("chunks") + c)
+    units = F.when(F.col("_alike"), as_any).otherwise(F.array_union(as_any, as_other))
+    return light.unionByName(both.select(*names, F.explode(units).alias("unit"))), links
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int) -> Iterator[pa.Table]:

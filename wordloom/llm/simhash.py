@@ -158,8 +158,10 @@ def links(classes: DataFrame, max_bits: int = 3, blocks: int | None = None, buck
     near = F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(int(pivots(1)[0]))))).cast("int")
     keys = [F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for t, m in enumerate(masks(max_bits, blocks))]
     rows = classes.select(F.explode(F.array(*keys)).alias("key"), near.alias("near"), "fp")
-    units = in_units(rows, "key", "fp", bucket_rows).select("key", "unit", "near", "fp")
-    return units.repartition("key", "unit").sortWithinPartitions("key", "unit", "near").mapInArrow(_linker(max_bits), "a long, b long")
+    rows = rows.withColumn("bits", F.col("fp"))
+    units, linked = in_units(rows, "key", "fp", bucket_rows, payload="bits", alike=lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= max_bits)
+    met = units.select("key", "unit", "near", "fp").repartition("key", "unit").sortWithinPartitions("key", "unit", "near").mapInArrow(_linker(max_bits), "a long, b long")
+    return met if linked is None else met.union(linked)
 
 
 def class_components(fps: DataFrame, max_bits: int = 3) -> DataFrame:
@@ -248,7 +250,7 @@ def wide_links(classes: DataFrame, max_bits: int, bucket_rows: int = BUCKET_ROWS
     keyed = classes.select(F.explode("bands").alias("key"), "near", "fp")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")  # most bands are one text's alone
     rows = cut(keyed.join(shared, "key"))
-    units = in_units(rows, "key", "fp", bucket_rows).select("key", "unit", "near", "fp")
+    units = in_units(rows, "key", "fp", bucket_rows)[0].select("key", "unit", "near", "fp")
     return units.repartition("key", "unit").sortWithinPartitions("key", "unit", "near").mapInArrow(_linker(max_bits, WIDE), "a binary, b binary")
 
 

@@ -453,8 +453,14 @@ def verified_links(rows: DataFrame, similarity: float, buckets: DataFrame | None
     ``rows`` has key (the bucket), class and shingles; links join whatever is in reach. ``buckets``
     has the same keys, as often, where that is cheaper to count.
     """
-    units = in_units(rows, "key", "class", BUCKET_ROWS, buckets).select("key", "unit", "class", "shingles")
-    return units.repartition("key", "unit").sortWithinPartitions("key", "unit", "class").mapInArrow(_verify(similarity), "a binary, b binary")
+
+    def alike(x: Column, y: Column) -> Column:
+        shared = F.size(F.array_intersect(x, y))
+        return shared >= similarity * (F.size(x) + F.size(y) - shared)
+
+    units, linked = in_units(rows, "key", "class", BUCKET_ROWS, buckets, "shingles", alike)
+    met = units.select("key", "unit", "class", "shingles").repartition("key", "unit").sortWithinPartitions("key", "unit", "class").mapInArrow(_verify(similarity), "a binary, b binary")
+    return met if linked is None else met.union(linked)
 
 
 def bucketed(scan: DataFrame, bands: int) -> tuple[DataFrame, DataFrame]:
