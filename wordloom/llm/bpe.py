@@ -53,13 +53,12 @@ class WordEncoder:
 
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as file:
-            made_of = json.load(file)
-        splitter = made_of.get("pre_tokenizer") or {}
-        if made_of.get("normalizer") or splitter.get("type") != "ByteLevel" or splitter.get("add_prefix_space") or not splitter.get("use_regex", True):
-            raise ValueError("the vocabulary must be byte-level, without a normalizer or an added first space")
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t["content"] for t in made_of.get("added_tokens") or () if t["content"]]
+        # The parts alone, as reading the whole file as JSON would hold it in memory twice.
+        splitter = json.loads(self.tokenizer.pre_tokenizer.__getstate__()) if self.tokenizer.pre_tokenizer else {}
+        if self.tokenizer.normalizer or splitter.get("type") != "ByteLevel" or splitter.get("add_prefix_space") or not splitter.get("use_regex", True):
+            raise ValueError("the vocabulary must be byte-level, without a normalizer or an added first space")
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.memo = memo
         self.first: dict[str, bytes] = {}  # words at the start of a line
         self.inner: dict[str, bytes] = {}  # words after a space

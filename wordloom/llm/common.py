@@ -61,6 +61,16 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1))
 
 
+def tidy(batches):
+    """The batches of a task; memory that Arrow keeps for the next ones goes back when a batch is done, as workers live on after it."""
+    import pyarrow as pa
+
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def ascii_lower(column):
     """A-Z lower-cased; every other character stays as it is."""
     from pyspark.sql import functions as F

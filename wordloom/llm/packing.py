@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
+from .common import tidy
 
 POOL = 256
 #: Sequence ids of a partition start at its number times this.
@@ -213,7 +214,7 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), end_id: int = 1,
         packer, number = Packer(limits, cuts=True), [TaskContext.get().partitionId() * STRIDE]
 
         def sequences():
-            for batch in batches:
+            for batch in tidy(batches):
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                     ids = np.frombuffer(encoder.encode(text.as_py()) + end, dtype="<u4")
                     yield from packer.add(Example(doc_id, ids, 0, len(ids)))
@@ -246,7 +247,7 @@ def pack_conversations(turns: DataFrame, limits: Limits = Limits(), end_id: int
 
         def sequences():
             key, parts = None, []
-            for batch in batches:
+            for batch in tidy(batches):
                 for conv_id, role, text in zip(*(c.to_pylist() for c in batch.columns)):
                     if parts and conv_id != key:
                         yield from packer.add(example(key, parts))

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import tidy
+
 #: (least bytes, lowest ratio, highest ratio): compressed bytes over bytes. The last row whose
 #: least length is reached holds. Short texts are not judged: the frame outweighs them.
 #: The highest ratios lie between those measured of prose (at most 0.71 from 512 bytes on, 0.60 from
@@ -91,7 +93,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     blanks, symbols = re.compile("[\x20\x09-\x0d]"), re.compile(SYMBOLS)
     compressor = zstandard.ZstdCompressor(level=LEVEL)
     schema = pa.schema([(f.name, {"bigint": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}[f.dataType.simpleString()]) for f in RESULT])
-    for batch in batches:
+    for batch in tidy(batches):
         rows = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py() or ""
@@ -123,7 +125,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     names = docs.columns
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidy(batches):
             pair = pa.record_batch([batch.column(names.index("doc_id")), batch.column(names.index("text"))], names=["doc_id", "text"])
             for verdict in _judge(iter([pair])):
                 yield batch.filter(verdict.column(RESULT.fieldNames().index("kept")))

@@ -23,6 +23,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def packed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The case of operator 3 in which its limits differ: whole conversations, of which only the assistant's tokens bear loss."""
+    return packing.pack_conversations(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"), packing.Limits(2048, 16, 1024))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(spark, table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -53,7 +58,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_url_filter, op2_substring_dedup, op3_packing, op4_warc, op5_pii, op6_decontaminate, op7_token_store, op8_sharding, op9_simhash, op10_quality)
+    named = (op1_url_filter, op2_substring_dedup, op3_packing, packed_conversations, op4_warc, op5_pii, op6_decontaminate, op7_token_store, op8_sharding, op9_simhash, op10_quality)
     return {f.__name__: f for f in named}
 
 

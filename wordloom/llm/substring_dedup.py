@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .buckets import in_units, whole_groups
-from .common import cut, unused
+from .common import cut, tidy, unused
 from .components import connected_components
 
 MIN_WORDS = 1
@@ -112,7 +112,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in parts so small that the arrays made of one stay in the processor's cache."""
-    for batch in batches:
+    for batch in tidy(batches):
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
 

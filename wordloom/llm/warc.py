@@ -257,8 +257,8 @@ def lookup(shards: DataFrame, urls: DataFrame) -> DataFrame:
 RECORD_DDL = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def read_records(captures: DataFrame, payloads: bool = False) -> DataFrame:
-    """The records of ``captures`` by range reads; neighbours in a file share a read."""
+def read_records(captures: DataFrame, payloads: bool = False, written: bool = False) -> DataFrame:
+    """The records of ``captures`` by range reads; neighbours in a file share a read. ``written``: the captures are a table already."""
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
     width = 6 if payloads else 5
@@ -284,7 +284,8 @@ def read_records(captures: DataFrame, payloads: bool = False) -> DataFrame:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * width, types)], names=names[:width])
 
     # A capture is a small row that stands for much reading, so the bytes to be read set the number of tasks.
-    captures = cut(captures.select("file", "offset", "length"))
+    captures = captures.select("file", "offset", "length")
+    captures = captures if written else cut(captures)
     n_bytes = captures.agg(F.sum("length")).first()[0] or 0
     tasks = max(-(-n_bytes // STRETCH), captures.sparkSession.sparkContext.defaultParallelism)
     ordered = captures.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
@@ -296,12 +297,17 @@ def archive_and_read(spark: SparkSession, pages: DataFrame) -> DataFrame:
 
     A row for each page: page_id, payload_bytes, payload_digest, record_type, refers_to. Null
     urls are filed under one key, repeated rows are records of their own, other columns are not
-    read, and an empty table gives an empty result.
+    read, and an empty table gives an empty result. An index that doesn't give back as many
+    captures as were written is an error.
     """
     pages = pages.select("page_id", "url", "html")
     folder = new_dir(spark, "warc")
-    shards = build_index(write_archives(pages, folder), folder)
-    return read_records(lookup(shards, pages.select("url")))
+    entries = write_archives(pages, folder)
+    captures = cut(lookup(build_index(entries, folder), pages.select("url")))
+    written, found = entries.count(), captures.count()
+    if written != found:
+        raise RuntimeError(f"{written} captures were written, and the index gives {found}")
+    return read_records(captures, written=True)
 
 
 def oracle() -> str:
