@@ -308,6 +308,15 @@ def test_warc_urls_with_other_line_ends(spark):
     assert sorted(r["page_id"] for r in warc.archive_and_read(spark, df).collect()) == [p[0] for p in pages]
 
 
+@pytest.mark.parametrize("n", [1, 2, 4, 1000])
+def test_warc_gives_back_every_page(spark, n):
+    r = random.Random(n)
+    odd = [chr(c) for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 37, 0x85, 0xA0, 0x2028, 0x2029, 0xFEFF, 0x1F600)] + ["a", "Z", "/", "?", "#", ":", "é"]
+    pages = [(i, None if i % 97 == 96 else "".join(r.choice(["http://", "", "x://"]) + r.choice(odd) * r.randrange(3) + "h.com/" + "".join(r.choices(odd, k=4)))[:60], f"{i % 7}") for i in range(n)]
+    got = warc.archive_and_read(spark, spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert sorted(x["page_id"] for x in got) == list(range(n))
+
+
 # 5 PII
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
