@@ -23,6 +23,7 @@ from .common import ascii_lower, cut, unused
 
 #: Fixed value: what separates words, once A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 SHINGLE = 3
 #: Windows have at most ten words and prefixes few columns, about 200 bytes a row.
@@ -30,7 +31,12 @@ BROADCAST_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN), lambda w: w != "")
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
+
+
+def n_words(text: Column) -> Column:
+    """How many ``words`` there are, without making them; A-Z may stand for a-z here."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
 def shingles(column: str, size: int) -> Column:
@@ -80,7 +86,7 @@ def prefixes(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingl
         own = F.when(F.least("size", F.lit(shingle)) == k, shingles("window", k)).otherwise(own)
     each = cut(found.select("item_id", "window", "size", F.posexplode(own).alias("at", "h")))
     wanted = cut(each.select("h").distinct())
-    seen = docs.select(words(F.col("text")).alias("w")).select(F.explode(all_shingles("w", sizes)).alias("s")).select("s.h")
+    seen = docs.select(words(F.col("text")).alias("w")).select(F.explode(F.concat(*[shingles("w", k) for k in sizes])).alias("h"))
     counts = seen.join(_small(wanted), "h").groupBy("h").agg(F.count("*").alias("df"))
     told = each.join(counts, "h", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     rarest = told.groupBy("item_id", "window", "size").agg(F.min(F.struct("df", "h", "at")).alias("least"))
@@ -122,7 +128,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     met = _judged(rows, benchmark, window)
     n = met.count()
     found = met.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "mark")], "n_hit", "items")
-    own = rows.select("doc_id", "mark", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    own = rows.select("doc_id", "mark", n_words(F.col("text")).alias("n_words"))
     alike = own["doc_id"].eqNullSafe(found["_doc_id"]) & (own["mark"] == found["_mark"])
     told = own.join(F.broadcast(found) if n <= BROADCAST_ROWS else found, alike, "left")
     items = F.coalesce("items", F.array().cast("array<string>")).alias("items")
