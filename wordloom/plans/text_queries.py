@@ -23,7 +23,7 @@ SELECT doc_id, n_words, len(per_sentence)::BIGINT AS n_sentences, coalesce(list_
 def text_difficulty_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, sentences and long words of each document, with the two load warnings."""
     docs = load(spark, sf_dir, "documents")
-    m = docs.select("doc_id", tx.ascii_words(F.col("text")).alias("w"), tx.sentence_word_counts(F.col("text")).alias("s"))
+    m = docs.select("doc_id", tx.found(F.col("text"), tx.ASCII_WORD).alias("w"), tx.sentence_word_counts(F.col("text")).alias("s"))
     longs = F.size(F.filter("w", lambda x: F.length(F.replace(x, F.lit("'"), F.lit(""))) >= tx.LONG_WORD)).cast("long")
     total = F.aggregate("s", F.lit(0), lambda a, b: a + b).cast("long")
     m = m.select("doc_id", F.size("w").cast("long").alias("n_words"), F.size("s").cast("long").alias("n_sentences"), total.alias("sentence_words"), longs.alias("long_words"))
