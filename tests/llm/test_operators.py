@@ -184,6 +184,47 @@ def test_passages_are_reported_whole(spark):
         assert left[d] == (own[:before] + own[before + n :] if removed else own)
 
 
+def test_passages_that_overlap_are_reported_whole(spark):
+    """Runs that nest, overlap and repeat in several documents: every word of a run of 50 is reported, and nothing that doesn't repeat."""
+    r = random.Random(12)
+    pool = [words(n, 100 + n).split() for n in (400, 300, 250)]
+    rows = []
+    for d in range(70):
+        parts = [words(r.randrange(3, 60), 50_000 + d).split()]
+        for _ in range(r.randrange(4)):
+            source = r.choice(pool)
+            at, n = r.randrange(len(source) - 60), r.choice((20, 45, 50, 51, 70, 130, 400))
+            piece = source[at : at + n]
+            if r.random() < 0.5 and len(piece) > 10:
+                piece[r.randrange(len(piece))] = f"edit{d}"
+            parts += [piece, words(r.randrange(1, 40), 60_000 + r.randrange(10**6)).split()]
+        rows.append((d, " ".join(w for p in parts for w in p)))
+    rows += [(200, rows[5][1]), (201, rows[5][1].upper()), (202, rows[9][1] + " " + rows[11][1])]
+    runs = {d: t.lower().split() for d, t in rows}
+    where = {size: collections.defaultdict(set) for size in (20, 50)}
+    for size, held in where.items():
+        for d, w in runs.items():
+            for k in range(len(w) - size + 1):
+                held[tuple(w[k : k + size])].add(d)
+    got, kept = collections.defaultdict(set), collections.defaultdict(set)
+    for x in substring_dedup.repeated_passages(docs_of(spark, rows)).collect():
+        span = range(x["first_word"], x["first_word"] + x["n_words"])
+        got[x["doc_id"]] |= set(span)
+        if x["removed"]:
+            kept[x["doc_id"]] |= set(span)
+        w = runs[x["doc_id"]]
+        for k in range(span.start, span.stop - 19):
+            others = where[20][tuple(w[k : k + 20])]
+            assert len(others) > 1 and (not x["removed"] or min(others) < x["doc_id"])
+    for d, w in runs.items():
+        for k in range(len(w) - 49):
+            others = where[50][tuple(w[k : k + 50])]
+            if len(others) > 1:
+                assert set(range(k, k + 50)) <= got[d], (d, k)
+            if min(others) < d:  # all of it is in a document before
+                assert set(range(k, k + 50)) <= kept[d], (d, k)
+
+
 def test_windows_depend_on_their_words_only():
     import numpy as np
 
