@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.hashing import draw, sha256
 
 
+#: A table of weights is broadcast and searched for each draw.
+MOST_WEIGHTS = 10_000
+
+
 def top_by(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows of each key; Spark drops the others before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -46,14 +50,16 @@ def latest_wins(stored: DataFrame, arrived: DataFrame, keys: Sequence[str], orde
 def weighted_choice(draws: DataFrame, weights: DataFrame, name: str, weight: str, *parts: str) -> DataFrame:
     """``name`` for each row of ``draws``, in proportion to integer weights, by hash of ``parts``.
 
-    The weight table is a small dimension; its running sums are broadcast when Spark finds them small.
+    The weight table is a small dimension: it is counted first, and more than MOST_WEIGHTS rows are an error.
     """
+    if weights.count() > MOST_WEIGHTS:
+        raise ValueError(f"a table of weights has {MOST_WEIGHTS} rows at most")
     below = F.sum(weight).over(Window.orderBy(name).rowsBetween(Window.unboundedPreceding, -1))
     table = weights.select(name, F.coalesce(below, F.lit(0)).alias("_from"), F.col(weight).alias("_w"))
     total = weights.agg(F.sum(weight).cast("long").alias("_total"))  # one row
     drawn = draws.crossJoin(F.broadcast(total)).withColumn("_at", draw(F.col("_total"), *parts))
     hit = (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_from") + F.col("_w"))
-    return drawn.join(table, hit).drop("_from", "_w", "_total", "_at")
+    return drawn.join(F.broadcast(table), hit).drop("_from", "_w", "_total", "_at")
 
 
 def permutation(labels: Sequence[str], seed: str, key: str) -> Column:

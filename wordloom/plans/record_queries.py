@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.hashing import canonical, sha256
 from ..operators.selection import hash_order, top_by
+from ..sources.records import markdown
 from .registry import load, query
 from .run_queries import errors, errors_sql
 
@@ -280,3 +281,14 @@ def artifact_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     met = artifacts.join(listed, "event_id", "left")
     rules = [("run_mismatch", F.col("run") != F.col("its_run")), ("not_in_bundle", F.col("there").isNull()), ("wrong_kind", F.col("kind") != F.col("its_kind"))]
     return met.select("event_id", errors(*rules).alias("errors"))
+
+
+@query("""
+WITH m AS (SELECT lang, count(*) AS n, max(n_chars) AS longest, count(DISTINCT source) AS sources FROM documents GROUP BY lang)
+SELECT 1 AS number, '# Documents by language' AS line UNION ALL SELECT 2, '' UNION ALL SELECT 3, '| lang | n | longest | sources |' UNION ALL SELECT 4, '|---|---|---|---|'
+UNION ALL SELECT 4 + row_number() OVER (ORDER BY lang), '| ' || lang || ' | ' || n || ' | ' || longest || ' | ' || sources || ' |' FROM m""")
+def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Markdown report of a few metrics, line by line; its table is a small aggregate."""
+    told = load(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.max("n_chars").alias("longest"), F.count_distinct("source").alias("sources")).orderBy("lang")
+    lines = markdown(told, "Documents by language").removesuffix("\n").split("\n")
+    return spark.createDataFrame(list(enumerate(lines, 1)), "number long, line string")
