@@ -229,7 +229,8 @@ def write_ids(docs: DataFrame, folder: str, end_id: int = 2, vocabulary: str | N
             row = {"part": [part], "path": [f"{folder}/{path.rsplit('/', 1)[1]}"], "n_docs": [len(file.docs)], "n_ids": [file.n_ids]}
             yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The start of the text parts rows of one doc_id, or of none, in the order in which they are sorted.
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
     written = cut(ordered.mapInArrow(write, "part long, path string, n_docs long, n_ids long"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return written.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))  # a row a file
