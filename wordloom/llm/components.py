@@ -59,7 +59,10 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if state == sign or not state[0]:
             break
         sign = state
-        now = cut(_smaller(_larger(now, state[0]), state[0]))
+        moved = _larger(now, state[0])
+        # Its joins would be made anew for each use of it.
+        moved = cut(moved) if state[0] > LIGHT else moved
+        now = cut(_smaller(moved, state[0]))
     else:
         raise RuntimeError("components did not settle")
     leaves = now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))

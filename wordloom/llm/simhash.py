@@ -126,7 +126,11 @@ def _linker(max_bits: int, width: int = 1):
             n = len(key)
             group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (unit[1:] != unit[:-1])]))
             coded = pc.dictionary_encode(table.column(3).combine_chunks())
-            nodes, at = coded.dictionary, coded.indices.to_numpy()
+            # By value, so that a group has the same first member in each bucket in which all of it meets.
+            order = pc.sort_indices(coded.dictionary)
+            rank = np.empty(len(order), dtype=np.int64)
+            rank[order.to_numpy()] = np.arange(len(order))
+            nodes, at = coded.dictionary.take(order), rank[coded.indices.to_numpy()]
             raw = nodes.to_numpy(zero_copy_only=False) if width == 1 else np.frombuffer(b"".join(nodes.to_pylist()), dtype="<u8")
             bits = raw.view(np.uint64).reshape(-1, width)[at]
             distances = [np.bitwise_count(bits ^ r).sum(axis=1, dtype=np.int16) for r in references]

@@ -404,15 +404,16 @@ def passages_of(scan: DataFrame, known: DataFrame, again: DataFrame, size: int =
 
 
 def _groups(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
-    """Links that join all sets within reach of each other; one for each set that is joined.
+    """Links that join all sets within reach of each other; one for each set that is joined, with the first of its group.
 
     From each set in turn, all sets not yet reached are compared at once, so what is reached
-    early is never compared again.
+    early is never compared again. A group that meets in several buckets has the same links there.
     """
     left = np.arange(len(sets))
     sizes = np.array([len(s) for s in sets])
     while len(left) > 1:
-        queue, left = deque([int(left[0])]), left[1:]
+        first = int(left[0])
+        queue, left = deque([first]), left[1:]
         while queue and len(left):
             one = queue.popleft()
             mine = len(sets[one])
@@ -425,7 +426,7 @@ def _groups(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, in
             shared = np.add.reduceat(np.isin(flat, sets[one]), ends - sizes[near])
             linked = near[shared >= similarity * (mine + sizes[near] - shared)]
             for other in linked.tolist():
-                yield one, other
+                yield first, other
                 queue.append(other)
             left = left[~np.isin(left, linked)]
 
