@@ -270,7 +270,7 @@ def _shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(shingle, "class binary, shingles array<long>")
 
 
-def _among(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+def among(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     """The rows of ``docs`` that are (``left_semi``) or are not (``left_anti``) in the written table ``rows`` (doc_id, mark).
 
     The texts of ``docs`` are shuffled only if ``rows`` is too large to be broadcast.
@@ -299,7 +299,7 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Da
     several = grouped.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     met = cut(grouped.join(several, "key").select("key", "class"))
     wanted = cut(firsts.join(met, "class", "left_semi").select("first.doc_id", "first.mark"))
-    sets = cut(_shingle_sets(_among(docs.select("doc_id", "text"), wanted, "left_semi").select("text"))).dropDuplicates(["class"])
+    sets = cut(_shingle_sets(among(docs.select("doc_id", "text"), wanted, "left_semi").select("text"))).dropDuplicates(["class"])
     linked = connected_components(verified_links(met.join(sets, "class").select("key", "class", "shingles"), similarity, met)).withColumnRenamed("node", "class")
     told = firsts.join(linked, "class", "left").select("class", F.coalesce("component", "class").alias("root"), "first")
     return told, signed.select("doc_id", "mark", "class")
@@ -320,11 +320,11 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     counted = rows.groupBy("doc_id", "mark").agg(F.count("*").alias("n"))
     told = counted.join(kept.select(id_.alias("id"), own.alias("own"), F.lit(True).alias("kept")), id_.eqNullSafe(F.col("id")) & (own == F.col("own")), "left")
     gone = cut(told.where("kept IS NULL").select("doc_id", "mark"))
-    left = _among(docs, gone, "left_anti")
+    left = among(docs, gone, "left_anti")
     again = cut(told.where("kept AND n > 1").select("doc_id", "mark"))
     if again.isEmpty():
         return left
     # Rows alike in doc_id and text: one of them stays.
     key = unused(docs.columns, "_key")
-    one = _among(left, again, "left_semi").withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key]).drop(key)
-    return _among(left, again, "left_anti").unionByName(one)
+    one = among(left, again, "left_semi").withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key]).drop(key)
+    return among(left, again, "left_anti").unionByName(one)
