@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, merkle, packing, pii, quality, set_join, sharding, simhash, substring_dedup, token_store, url_filter, warc
+from . import decontaminate, merkle, packing, pii, quality, set_join, sharding, simhash, substring_dedup, token_alignment, token_store, url_filter, warc
 from .common import table
 
 
@@ -61,12 +61,16 @@ def op11_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.similar_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_url_filter, op2_substring_dedup, op3_packing, packed_conversations, op4_warc, op5_pii, op6_decontaminate, op7_token_store, op8_sharding, op9_simhash, op10_quality, op11_set_join, op13_merkle)
+    named = (op1_url_filter, op2_substring_dedup, op3_packing, packed_conversations, op4_warc, op5_pii, op6_decontaminate, op7_token_store, op8_sharding, op9_simhash, op10_quality, op11_set_join, op12_token_alignment, op13_merkle)
     return {f.__name__: f for f in named}
 
 
