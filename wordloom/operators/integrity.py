@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,18 +15,38 @@ def file_hashes(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("sha256"))
 
 
-def publish(tables: dict[str, DataFrame], folder: str) -> str:
-    """Write tables into a run's folder, then its manifest; without the manifest there is no bundle."""
-    run = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
-    for name, table in tables.items():
-        table.write.json(f"{run}/data/{name}")
+def publish(tables: dict[str, DataFrame], folder: str, run: str | None = None) -> str:
+    """Write tables into a run's folder, each checked off when it is whole, then the manifest, then COMPLETE.
+
+    The run begins with a file IN_PROGRESS that names its tables. With the ``run`` that a lost
+    publisher has left, tables that are checked off are kept and the others written anew; a run
+    of other tables, or one that is COMPLETE, is refused.
+    """
+    from ..sources.state_store import Files
+
     spark = next(iter(tables.values())).sparkSession
-    file_hashes(spark, f"{run}/data").where("name LIKE 'part-%'").write.json(f"{run}/manifest")
+    files, run = Files(spark), run or f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    names = json.dumps(sorted(tables))
+    if not files.create(f"{run}/status/IN_PROGRESS", names) and files.read(f"{run}/status/IN_PROGRESS") != names:
+        raise ValueError(f"{run} publishes {files.read(f'{run}/status/IN_PROGRESS')}")
+    done = {name for name, _ in files.names(f"{run}/status")}
+    if "COMPLETE" in done:
+        raise ValueError(f"{run} is complete")
+    for name, table in tables.items():
+        if f"table-{name}" not in done:
+            table.write.mode("overwrite").json(f"{run}/data/{name}")
+            files.create(f"{run}/status/table-{name}", name)
+    file_hashes(spark, f"{run}/data").where("name LIKE 'part-%'").write.mode("overwrite").json(f"{run}/manifest")
+    files.create(f"{run}/status/COMPLETE", names)
     return run
 
 
 def verify(spark: SparkSession, run: str) -> DataFrame:
-    """name and fault of every file that is missing, unexpected or changed."""
+    """name and fault of every file that is missing, unexpected or changed; a run that isn't COMPLETE has that fault alone."""
+    from ..sources.state_store import Files
+
+    if "COMPLETE" not in {name for name, _ in Files(spark).names(f"{run}/status")}:
+        return spark.createDataFrame([("COMPLETE", "missing")], "name string, fault string")
     told = spark.read.schema("name string, sha256 string").json(f"{run}/manifest").withColumnRenamed("sha256", "told")
     seen = file_hashes(spark, f"{run}/data").where("name LIKE 'part-%'")
     fault = F.when(F.col("sha256").isNull(), "missing").when(F.col("told").isNull(), "unexpected").when(F.col("told") != F.col("sha256"), "changed")

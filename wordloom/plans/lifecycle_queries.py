@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import lifecycle as li
+from ..sources.state_store import StaleState, StateStore, UnsoundState
+from ..sources.storage import fresh_folder
 from ..streaming import lifecycle as live
 from .registry import load, query
 
@@ -64,3 +66,42 @@ def stateful_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     Custom state is beyond SQL; the tests hold it against ``transition_audit``.
     """
     return live.audited(spark, f"{sf_dir}/events.parquet", _STATE)
+
+
+_WANTED = "CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'REVIEWING' WHEN 'NF' THEN 'SOLVING' WHEN 'RF' THEN 'REVISE_REQUIRED' WHEN 'AO' THEN 'GENERATED' WHEN 'NO' THEN 'ACCEPTED' ELSE 'VALIDATION_FAILED' END"
+
+
+@query(f"""
+WITH RECURSIVE w AS (SELECT l_orderkey AS k, l_linenumber AS round, max_by({_WANTED}, lpad((l_partkey * 100000 + l_suppkey)::VARCHAR, 20, '0') || {_WANTED}) AS wanted FROM lineitem GROUP BY ALL),
+r AS (SELECT o_orderkey AS k, 0 AS round, ['GENERATED'] AS history, 0 AS refused, 1 AS version FROM orders
+  UNION ALL SELECT r.k, r.round + 1, CASE WHEN legal THEN list_append(history, wanted) ELSE history END, refused + CASE WHEN wanted IS NOT NULL AND NOT legal THEN 1 ELSE 0 END, CASE WHEN wanted IS NULL THEN version ELSE r.round + 2 END
+  FROM (SELECT r.*, wanted, coalesce({_LEGAL.replace("before", "history[-1]").replace("state IN", "wanted IN")}, FALSE) AS legal FROM r LEFT JOIN w ON w.k = r.k AND w.round = r.round + 1) r WHERE r.round < 7)
+SELECT k AS o_orderkey, history[-1] AS state, array_to_string(history, '>') AS history, refused::BIGINT AS refused, version::BIGINT AS version, TRUE AS stale_refused, TRUE AS unsound_refused FROM r WHERE round = 7""")
+def versioned_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of orders saved in eight versions: a round of lines asks for steps, illegal ones are counted and not taken.
+
+    Before the last round is saved, a writer with the version before and one with a broken history
+    are refused.
+    """
+    store = StateStore(spark, fresh_folder(spark, "states"), "o_orderkey long, state string, history array<string>, refused long, version long", "o_orderkey")
+    first = load(spark, sf_dir, "orders").select("o_orderkey", F.lit("GENERATED").alias("state"), F.array(F.lit("GENERATED")).alias("history"), F.lit(0).alias("refused"), F.lit(1).alias("version"))
+    at = store.save(first, 0)
+    lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max_by(F.expr(_WANTED), F.expr(f"lpad(cast(l_partkey * 100000L + l_suppkey AS string), 20, '0') || {_WANTED}")).alias("wanted"))
+    refused = {}
+    for round_ in range(1, 8):
+        rows, seen = store.load()
+        met = rows.join(lines.where(F.col("l_linenumber") == round_).select(F.col("l_orderkey").alias("o_orderkey"), "wanted"), "o_orderkey")
+        legal = F.coalesce(li.allowed(F.col("state"), F.col("wanted")), F.lit(False))
+        state = F.when(legal, F.col("wanted")).otherwise(F.col("state")).alias("state")
+        history = F.when(legal, F.array_append("history", F.col("wanted"))).otherwise(F.col("history")).alias("history")
+        changes = met.select("o_orderkey", state, history, (F.col("refused") + F.when(legal, 0).otherwise(1)).alias("refused"), F.lit(seen + 1).alias("version"))
+        if round_ == 7:
+            for name, error, wrong, version in (("stale_refused", StaleState, changes, seen - 1), ("unsound_refused", UnsoundState, changes.withColumn("history", F.array("state")), seen)):
+                try:
+                    store.save(wrong, version)
+                    refused[name] = False
+                except error:
+                    refused[name] = True
+        at = store.save(changes, seen)
+    told = [F.lit(x).alias(name) for name, x in refused.items()]
+    return store.load(at)[0].select("o_orderkey", "state", F.array_join("history", ">").alias("history"), "refused", "version", *told)
