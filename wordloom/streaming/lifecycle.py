@@ -3,29 +3,29 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.lifecycle import TRANSITIONS
 from ..sources.storage import fresh_folder
 
 
-def events(spark: SparkSession, path: str) -> DataFrame:
-    """A stream of the event files; ``ts`` becomes a timestamp, as event time needs one."""
+def events(spark: SparkSession, path: str, files_at_once: int | None = None) -> DataFrame:
+    """A stream of the event files (a file, or a folder of them that ends in a slash); ``ts`` becomes a timestamp, as event time needs one."""
     schema = spark.read.parquet(path).schema
-    name = os.path.basename(path)
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", name if not name.endswith("/") else "*.parquet")
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", os.path.basename(path) or "*.parquet")
+    raw = raw.option("maxFilesPerTrigger", files_at_once) if files_at_once else raw
     return raw.parquet(os.path.dirname(path)).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def run_once(stream: DataFrame, mode: str) -> DataFrame:
-    """Process what there is, write it to the shared folder and return the result as a table."""
-    spark, folder = stream.sparkSession, fresh_folder(stream.sparkSession, "stream")
+def run_once(stream: DataFrame, mode: str, folder: str | None = None) -> DataFrame:
+    """Process what there is, write it to the shared folder and return the result as a table; a ``folder`` goes on from its last run."""
+    spark, folder = stream.sparkSession, folder or fresh_folder(stream.sparkSession, "stream")
     out, seen = f"{folder}/out", f"{folder}/progress"
     if mode == "append":
         writer = stream.writeStream.outputMode("append").format("parquet").option("path", out)
@@ -47,21 +47,108 @@ def daily_counts(spark: SparkSession, path: str) -> DataFrame:
     return best.select("day", "event_type", "n")
 
 
+#: No event is so late; a row of this time closes a stream, and is dropped itself.
+CLOSING = "9999-01-01 00:00:00"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STEP = T.StructType([T.StructField(n, t) for n, t in (("user_id", T.LongType()), ("event_id", T.LongType()), ("state", T.StringType()), ("before", T.StringType()), ("step", T.LongType()), ("legal", T.BooleanType()))])
+
+
+class Steps(StatefulProcessor):
+    """Steps of a key in event time: events wait in state until the watermark has passed them.
+
+    So the steps don't depend on how the events are cut into batches, as long as none is later
+    than the watermark allows. With ``idle`` microseconds a key that has been silent for longer
+    begins anew, and what is kept of it goes when the watermark tells so.
+    """
+
+    def __init__(self, idle: int | None = None):
+        self.idle = idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "at long, event_id long, state string")
+        self.last = handle.getValueState("last", "at long, state string, step long")
+        self.timer = handle.getValueState("timer", "at long")
+
+    def _wake(self, at: int | None) -> None:
+        """Be called when the watermark has passed ``at`` (microseconds), and at no other time."""
+        if self.timer.exists():
+            self.handle.deleteTimer(self.timer.get()[0])
+            self.timer.clear()
+        if at is not None:
+            millis = -(-at // 1000)
+            self.handle.registerTimer(millis)
+            self.timer.update((millis,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        least = None
+        for frame in rows:
+            given = [(int(a), int(e), s) for a, e, s in zip(frame["at"], frame["event_id"], frame["state"])]
+            self.waiting.appendList(given)
+            here = min(g[0] for g in given)
+            least = here if least is None else min(least, here)
+        millis = self.timer.get()[0] if self.timer.exists() else None
+        if millis is None or least < millis * 1000 or self.idle is not None:
+            self._wake(least if self.idle is None or millis is None else min(least, millis * 1000))
+        yield pd.DataFrame({f.name: pd.Series(dtype="object") for f in STEP})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        due, rest = [], []
+        for row in self.waiting.get():
+            (due if row[0] <= passed else rest).append(tuple(row))
+        last_at, before, step = self.last.get() if self.last.exists() else (None, None, 0)
+        out = []
+        for at, event_id, state in sorted(due):
+            if last_at is not None and self.idle is not None and at - last_at > self.idle:
+                before, step = None, 0
+            step += 1
+            out.append((key[0], event_id, state, before, step, before is None or state in TRANSITIONS.get(before, ())))
+            last_at, before = at, state
+        if rest:
+            self.waiting.put(rest)
+        else:
+            self.waiting.clear()
+        self.timer.clear()
+        silent = last_at + self.idle + 1 if self.idle is not None and last_at is not None else None
+        if silent is not None and silent <= passed:
+            self.last.clear()
+            silent = None
+        elif out:
+            self.last.update((last_at, before, step))
+        ahead = [x for x in (min((r[0] for r in rest), default=None), silent) if x is not None]
+        self._wake(min(ahead, default=None))
+        yield pd.DataFrame(out, columns=STEP.names)
+
+    def close(self) -> None:
+        pass
+
+
+def steps(spark: SparkSession, path: str, state_sql: str, delay: str = "1 day", idle: int | None = None, files_at_once: int | None = None) -> DataFrame:
+    """The steps of each user over the event files of ``path``, as ``operators.lifecycle.steps`` has them.
+
+    ``delay`` is how much later than the latest event another may come. When all files are read,
+    the stream is closed, so that what still waits is told as well.
+    """
+    folder = fresh_folder(spark, "steps")
+    closing, schema = f"{folder}/closing", spark.read.parquet(path).schema
+    spark.createDataFrame([], schema).write.parquet(closing)
+    both = events(spark, path, files_at_once).unionByName(events(spark, f"{closing}/"))
+    rows = both.withWatermark("ts", delay).where(F.col("ts") < F.lit(CLOSING).cast("timestamp")).select("user_id", "ts", F.unix_micros("ts").alias("at"), "event_id", F.expr(state_sql).alias("state"))
+    told = rows.groupBy("user_id").transformWithStateInPandas(Steps(idle), STEP, "Append", "EventTime")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    held = spark.conf.get(provider)
+    spark.conf.set(provider, ROCKS)
+    try:
+        run_once(told, "append", folder)
+        last = spark.range(1).select(F.lit(CLOSING).cast("timestamp_ntz").cast(schema["ts"].dataType).alias("ts"))
+        last.select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(closing)
+        return run_once(told, "append", folder)
+    finally:
+        spark.conf.set(provider, held)
+
+
 def audited(spark: SparkSession, path: str, state_sql: str) -> DataFrame:
-    """Steps of each user and how many are illegal, by state that lives across batches."""
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        last, n, illegal = held.get if held.exists else ("", 0, 0)
-        rows = pd.concat(list(frames)).sort_values(["ts", "event_id"])  # a user's events of one batch
-        for state in rows["state"]:
-            if n and state not in TRANSITIONS.get(last, ()):
-                illegal += 1
-            last, n = state, n + 1
-        held.update((last, n, illegal))
-        yield pd.DataFrame({"user_id": [key[0]], "state": [last], "steps": [n], "illegal": [illegal]})
-
-    rows = events(spark, path).select("user_id", "event_id", "ts", F.expr(state_sql).alias("state"))
-    told = rows.groupBy("user_id").applyInPandasWithState(step, "user_id long, state string, steps long, illegal long", "state string, steps long, illegal long", "update", GroupStateTimeout.NoTimeout)
-    out = run_once(told, "update")
-    best = out.groupBy("user_id").agg(F.max_by(F.struct("state", "steps", "illegal"), "steps").alias("b"))
-    return best.select("user_id", "b.state", "b.steps", "b.illegal")
+    """Steps of each user, how many are illegal, and the last state."""
+    told = steps(spark, path, state_sql).groupBy("user_id")
+    return told.agg(F.max_by("state", "step").alias("state"), F.count("*").alias("steps"), F.count_if(~F.col("legal")).alias("illegal"))
