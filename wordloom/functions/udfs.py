@@ -35,9 +35,34 @@ PLAIN = str.maketrans("‘’“”–—", "''\"\"--")
 SPAN = T.StructType([T.StructField(n, T.IntegerType()) for n in ("start", "end")])
 
 
+def nfc_pieces(text: str):
+    """(NFC form, start, end) of the pieces of a text that NFC changes by themselves; pieces of text in NFC are its characters."""
+    if unicodedata.is_normalized("NFC", text):
+        yield from ((c, i, i + 1) for i, c in enumerate(text))
+        return
+    form, start = "", 0
+    for i, c in enumerate(text):
+        own = unicodedata.normalize("NFC", c)
+        joined = unicodedata.normalize("NFC", text[start : i + 1])
+        if i > start and not unicodedata.combining(c) and joined == form + own:
+            yield form, start, i
+            form, start = own, i
+        else:
+            form = joined
+    yield form, start, len(text)
+
+
 def surface_with_offsets(text: str) -> tuple[str, list[tuple[int, int]]]:
-    """The surface of a text (NFC, plain quotes and dashes, single blanks, bare edges, casefolded), and where each of its characters stands in the NFC text."""
-    parts = [(" " if m[0].isspace() else m[0].translate(PLAIN), m.start(), m.end()) for m in re.finditer(r"\s+|\S", unicodedata.normalize("NFC", text))]
+    """The surface of a text (NFC, plain quotes and dashes, single blanks, bare edges, casefolded), and where each of its characters stands in the text as given."""
+    parts: list[tuple[str, int, int]] = []
+    for form, start, end in nfc_pieces(text):
+        for c in form:
+            if not c.isspace():
+                parts.append((c.translate(PLAIN), start, end))
+            elif parts and parts[-1][0] == " ":
+                parts[-1] = (" ", parts[-1][1], end)
+            else:
+                parts.append((" ", start, end))
     inner = [i for i, (c, _, _) in enumerate(parts) if c not in string.punctuation and c != " "]
     out, places = [], []
     for c, start, end in parts[inner[0] : inner[-1] + 1] if inner else ():
