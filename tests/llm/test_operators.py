@@ -184,6 +184,20 @@ def test_passages_are_reported_whole(spark):
         assert left[d] == (own[:before] + own[before + n :] if removed else own)
 
 
+@pytest.mark.parametrize("ids", [(1, 2, 3), (None, None, 3), (5, 5, 6), (None, None, None), (5, 5, None), (7, 7, 7)])
+def test_passages_of_rows_that_share_a_doc_id_or_have_none(spark, ids):
+    passage = words(80, 77)
+    rows = [(d, f"{words(9 + 5 * n, 300 + n)} {passage} {words(20, 400 + n)}") for n, d in enumerate(ids)] + [(90, words(200, 5)), (ids[0], None)]
+    got = substring_dedup.repeated_passages(docs_of(spark, rows)).collect()
+    assert [x["n_words"] for x in got] == [80] * 3 and sum(x["removed"] for x in got) == 2
+    assert sorted((x["doc_id"] for x in got), key=str) == sorted(ids, key=str) and sorted(x["first_word"] for x in got) == [9, 14, 19]
+    first = next(x for x in got if not x["removed"])
+    known = [d for d in ids if d is not None]
+    assert first["doc_id"] == min(known, default=None) and {x["cluster_id"] for x in got} == {first["doc_id"]}
+    left = [len((x["text"] or "").split()) for x in substring_dedup.remove_repeats(docs_of(spark, rows)).collect()]
+    assert sum(left) == 9 + 14 + 19 + 60 + 80 + 200
+
+
 def test_passages_that_overlap_are_reported_whole(spark):
     """Runs that nest, overlap and repeat in several documents: every word of a run of 50 is reported, and nothing that doesn't repeat."""
     r = random.Random(12)
@@ -570,6 +584,22 @@ def test_shards_are_read_from_the_manifest_where_they_are_many(spark, edge, monk
     assert table.read().count() == len(EDGE)
 
 
+def test_vacuum_takes_old_versions_manifests_and_lists(spark, edge, tmp_path):
+    import os
+
+    table = sharding.ShardTable(spark, f"file://{tmp_path}/shards")
+    for _ in range(3):
+        table.append(edge)
+    held = lambda: {k: len([x for x in os.listdir(tmp_path / "shards" / k) if not x.startswith(".")]) for k in ("versions", "manifests", "pending")}
+    before, n = held(), table.read().count()
+    table.vacuum()
+    assert held() == before  # nothing is old enough
+    table.vacuum(keep=2, grace_seconds=0)
+    assert held() == {"versions": 2, "manifests": 2, "pending": 0} and table.read().count() == n
+    table.settle(grace_seconds=0)
+    assert table.read().count() == n
+
+
 def test_move_by_the_file_systems_rename(spark, tmp_path):
     table = sharding.ShardTable(spark, f"file://{tmp_path}")
     for name in ("a", "b"):
@@ -731,17 +761,65 @@ def test_units_let_every_pair_meet(spark):
     assert len(pairs) == 50 * 49 // 2 + 3 and max(len(r["m"]) for r in met) < 40 and links is None
 
 
+def _apart(x, y):
+    return F.abs(x - y)
+
+
+def _met(units):
+    return units.groupBy("key", "unit").agg(F.collect_list(F.struct("m", "v")).alias("m")).collect()
+
+
 def test_units_of_copies_are_few(spark):
-    rows = [(1, i, 0 if i < 900 else i) for i in range(930)] + [(2, i, 5) for i in range(400)] + [(3, i, i) for i in range(7)]
+    rows = [(1, i, 0 if i < 900 else 10 * i) for i in range(930)] + [(2, i, 5) for i in range(400)] + [(3, i, i) for i in range(7)]
     df = spark.createDataFrame(rows, "key long, m long, v long")
-    units, links = buckets.in_units(df, "key", "m", 50, payload="v", alike=lambda x, y: x == y)
-    met = units.groupBy("key", "unit").agg(F.collect_list("m").alias("m")).collect()
-    pairs = {(r["key"], min(a, b), max(a, b)) for r in met for a in r["m"] for b in r["m"] if a != b}
-    assert {(1, a, b) for b in range(900, 930) for a in range(b)} <= pairs and len([p for p in pairs if p[0] == 3]) == 21
-    assert not any(r["key"] == 2 for r in met) and sum(len(r["m"]) for r in met) < 930 + 30 * 20 + 8
+    units, links = buckets.in_units(df, "key", "m", 50, payload="v", distance=_apart, reach=0)
+    met = _met(units)
+    pairs = {(r["key"], min(a, b)[0], max(a, b)[0]) for r in met for a in r["m"] for b in r["m"] if a != b}
+    assert {(1, a, b) for b in range(900, 930) for a in range(900, b)} <= pairs and len([p for p in pairs if p[0] == 3]) == 21
+    assert not any(r["key"] == 2 for r in met) and sum(len(r["m"]) for r in met) == 30 + 7
     assert {(r["a"], r["b"]) for r in links.collect()} == {(0, b) for b in (*range(1, 900),)} | {(0, b) for b in range(1, 400)}
 
 
+@pytest.mark.parametrize("n", [1000, 2000, 4000])
+def test_units_grow_with_the_copies(spark, n):
+    df = spark.createDataFrame([(1, i, i % 10 * 100) for i in range(n)], "key long, m long, v long")  # ten groups
+    units, links = buckets.in_units(df, "key", "m", 100, payload="v", distance=_apart, reach=3)
+    assert units.count() <= n and links.count() >= n - 10 * 100 - 10
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_units_lose_no_component(spark, seed):
+    r = random.Random(seed)
+    points = [r.choice([r.randrange(60), r.randrange(3000), 7, 500 + r.randrange(8)]) for _ in range(600)]
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(points)], "key long, m long, v long")
+    units, links = buckets.in_units(df, "key", "m", 20, payload="v", distance=_apart, reach=2)
+    root = list(range(len(points)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    found = [(x["a"], x["b"]) for x in links.collect()]
+    assert all(abs(points[a] - points[b]) <= 2 for a, b in found)
+    found += [(a["m"], b["m"]) for x in _met(units) for a in x["m"] for b in x["m"] if abs(a["v"] - b["v"]) <= 2]
+    for a, b in found:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    order = sorted(range(len(points)), key=lambda i: points[i])
+    for a, b in zip(order, order[1:]):
+        assert (find(a) == find(b)) == (points[b] - points[a] <= 2)
+
+
+def test_broadcast_is_bound_by_bytes(spark):
+    from wordloom.llm import common
+
+    rows = spark.createDataFrame([(i, [i] * 100, "x" * 50, b"y" * 10, [("a", 1)]) for i in range(20)], "k long, l array<long>, t string, b binary, s array<struct<a:string,n:int>>")
+    told = rows.agg(F.sum(common.row_bytes(rows))).first()[0]
+    assert 20 * 900 < told < 20 * 1100
+    held = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert held(common.small(rows)) and not held(common.small(rows, 19)) and not held(common.small(rows, most_bytes=told - 1))
+
+
 # 10 Quality
 
 

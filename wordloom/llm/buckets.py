@@ -4,10 +4,13 @@ A bucket with more rows than the limit is cut into chunks by hash; each pair of
 unit of its own. So every two rows of a bucket meet in a unit, no unit holds more than about
 twice the limit, and a large bucket becomes many tasks instead of one.
 
-Pairs of chunks grow with the square of a bucket. Most large buckets are made of copies of one
-thing, so each row of one is compared with the bucket's first row beforehand: rows linked to it
-are in one component already and need not meet each other. Only the others, which are few then,
-are cut into chunks that meet all chunks; no link between components is lost.
+Pairs of chunks grow with the square of a bucket. Most large buckets are made of copies of a few
+things, so each row of one is measured against the bucket's first row beforehand. With a distance
+that obeys the triangle inequality, rows within reach of the first are in one component already and
+need not meet each other; rows beyond twice the reach can't be linked to any of those; and only the
+rows between the two meet them. Whatever is out of the first row's reach is a bucket again, until
+it is small or a round takes too little away; then pairs of chunks do the rest. No link between
+components is lost.
 """
 
 from __future__ import annotations
@@ -21,9 +24,11 @@ from pyspark.sql import functions as F
 
 from .common import cut, small
 
-
-#: So many first rows of large buckets are broadcast; each may carry the shingles of a text.
-FIRST_ROWS = 1000
+#: Rounds in which a first row is taken from each large bucket, and the share of rows a round must settle.
+ROUNDS = 12
+SETTLED = 0.04
+#: Bits of a unit's number that tell its round from the others.
+ROUND_BIT = 48
 
 
 def _chunk(seed: int, member: str, chunks: Column) -> Column:
@@ -34,34 +39,53 @@ def _up_to(chunks: Column) -> Column:
     return F.sequence(F.lit(0).cast("long"), chunks - 1)
 
 
-def in_units(rows: DataFrame, key: str, member: str, limit: int, buckets: DataFrame | None = None, payload: str | None = None, alike: Callable[[Column, Column], Column] | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """(units, links). Units are ``rows`` with a column ``unit``; rows of large buckets are repeated, once per chunk.
+def _in_pairs(rows: DataFrame, names: list[str], member: str, limit: int, base: int) -> DataFrame:
+    """``rows`` (with n_rows) once per chunk of their bucket, so that each pair of chunks is a unit."""
+    told = rows.withColumn("chunks", F.ceil(F.col("n_rows") / limit).cast("long")).withColumn("chunk", _chunk(7, member, F.col("chunks")))
+    units = F.transform(_up_to(F.col("chunks")), lambda j: F.least("chunk", j) * F.col("chunks") + F.greatest("chunk", j) + base)
+    return told.select(*names, F.explode(units).alias("unit"))
+
+
+def in_units(rows: DataFrame, key: str, member: str, limit: int, buckets: DataFrame | None = None, payload: str | None = None, distance: Callable[[Column, Column], Column] | None = None, reach: float = 0) -> tuple[DataFrame, DataFrame | None]:
+    """(units, links). Units are ``rows`` with a column ``unit``; rows of large buckets are repeated, once per chunk that they meet.
 
     ``buckets`` is a table with the same keys, as often, which is counted instead if it is given.
-    With ``alike``, which tells from the ``payload`` of two rows whether they are linked, links
-    (a, b) join members of large buckets to their first, and those linked so don't meet each
-    other; links are None without it, or if no bucket is large.
+    With ``distance``, a metric between the ``payload`` of two rows, rows up to ``reach`` apart are
+    linked: links (a, b) then join members of large buckets to a first one, and those linked so
+    don't meet each other; links are None without it, or if no bucket is large.
     """
     heavy = cut((rows if buckets is None else buckets).groupBy(key).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > limit))
     if heavy.isEmpty():
         return rows.withColumn("unit", F.lit(0).cast("long")), None
     names = rows.columns
-    light = rows.join(small(heavy.select(key)), key, "left_anti").select(*names, F.lit(0).cast("long").alias("unit"))
-    large = rows.join(small(heavy), key)
-    chunks = F.ceil(F.col("n_rows") / limit).cast("long")
-    if alike is None:
-        told = large.withColumn("chunks", chunks).withColumn("chunk", _chunk(7, member, F.col("chunks")))
-        units = F.transform(_up_to(F.col("chunks")), lambda j: F.least("chunk", j) * F.col("chunks") + F.greatest("chunk", j))
-        return light.unionByName(told.select(*names, F.explode(units).alias("unit"))), None
-    firsts = cut(large.groupBy(key).agg(F.min(F.struct(member, payload)).alias("_least")))
-    told = cut(large.join(small(firsts, FIRST_ROWS), key).select(*names, "n_rows", F.col(f"_least.{member}").alias("_first"), alike(F.col(f"_least.{payload}"), F.col(payload)).alias("_alike")))
-    links = told.where("_alike").where(F.col(member) != F.col("_first")).select(F.col("_first").alias("a"), F.col(member).alias("b"))
-    left = cut(told.groupBy(key).agg(F.count_if(~F.col("_alike")).alias("n_left")).where("n_left > 0"))
-    both = told.join(small(left), key).withColumn("chunks", chunks).withColumn("others", F.ceil(F.col("n_left") / limit).cast("long"))
-    as_any = F.transform(_up_to(F.col("others")), lambda u: u * F.col("chunks") + _chunk(7, member, F.col("chunks")))
-    as_other = F.transform(_up_to(F.col("chunks")), lambda c: _chunk(11, member, F.col("others")) * F.col("chunks") + c)
-    units = F.when(F.col("_alike"), as_any).otherwise(F.array_union(as_any, as_other))
-    return light.unionByName(both.select(*names, F.explode(units).alias("unit"))), links
+    units = rows.join(small(heavy.select(key)), key, "left_anti").select(*names, F.lit(0).cast("long").alias("unit"))
+    now, links = rows.join(small(heavy), key), None
+    if distance is None:
+        return units.unionByName(_in_pairs(now, names, member, limit, 0)), None
+    for round_ in range(ROUNDS):
+        firsts = cut(now.groupBy(key).agg(F.min(F.struct(member, payload)).alias("_least")))
+        apart = distance(F.col(f"_least.{payload}"), F.col(payload)).alias("_apart")
+        told = cut(now.join(small(firsts), key).select(*names, F.col(f"_least.{member}").alias("_first"), apart))
+        near, far = F.col("_apart") <= reach, F.col("_apart") > 2 * reach
+        found = told.where(near & (F.col(member) != F.col("_first"))).select(F.col("_first").alias("a"), F.col(member).alias("b"))
+        links = found if links is None else links.unionByName(found)
+        counts = cut(told.groupBy(key).agg(F.count_if(near).alias("n_near"), F.count_if(~near & ~far).alias("n_between"), F.count_if(~near).alias("n_rows")))
+        base = 2 * round_ + 1 << ROUND_BIT
+        # Rows between one and two times the reach meet those within it.
+        both = told.where(~far).join(small(counts.where("n_between > 0").select(key, "n_near", "n_between")), key)
+        mine, others = F.ceil(F.col("n_near") / limit).cast("long"), F.ceil(F.col("n_between") / limit).cast("long")
+        as_near = F.transform(_up_to(others), lambda u: u * mine + _chunk(7, member, mine) + base)
+        as_between = F.transform(_up_to(mine), lambda c: _chunk(11, member, others) * mine + c + base)
+        units = units.unionByName(both.select(*names, F.explode(F.when(near, as_near).otherwise(as_between)).alias("unit")))
+        left = told.where(~near).join(small(counts.select(key, "n_rows")), key)
+        units = units.unionByName(left.where(F.col("n_rows") <= limit).select(*names, F.lit(base + (1 << ROUND_BIT)).alias("unit")))
+        now = left.where(F.col("n_rows") > limit).select(*names, "n_rows")
+        before, after = counts.where(F.col("n_rows") > limit).agg(F.sum(F.col("n_near") + F.col("n_rows")), F.sum("n_rows")).first()
+        if not after:
+            return units, links
+        if before - after < SETTLED * before:
+            break
+    return units.unionByName(_in_pairs(now, names, member, limit, 2 * ROUNDS + 1 << ROUND_BIT)), links
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int) -> Iterator[pa.Table]:

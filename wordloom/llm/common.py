@@ -45,13 +45,36 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(name)
 
 
-#: Tables of hashes and ids, about 40 bytes a row in memory, are broadcast up to this number of rows.
+#: Tables are broadcast up to this number of rows and of bytes, counted before.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
-def small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``rows`` (a written table), marked to be broadcast if they are few enough; else Spark shuffles them."""
-    return rows.hint("broadcast") if rows.count() <= limit else rows
+def row_bytes(rows: DataFrame):
+    """About how many bytes a row takes: texts and binaries as they are, items of lists by their kind, 8 for anything else."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    def size(value, kind):
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+        if isinstance(kind, T.StructType):
+            return sum((size(value[f.name], f.dataType) for f in kind.fields), F.lit(8))
+        if isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType)):
+                return F.coalesce(F.aggregate(value, F.lit(16).cast("long"), lambda n, x: n + size(x, kind.elementType)), F.lit(16))
+            return F.greatest(F.size(value), F.lit(0)) * 8 + 16
+        return F.lit(8)
+
+    return sum((size(F.col(f"`{f.name}`"), f.dataType) for f in rows.schema.fields), F.lit(16)).cast("long")
+
+
+def small(rows: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``rows`` (a written table), marked to be broadcast if they are few and small enough; else Spark shuffles them."""
+    from pyspark.sql import functions as F
+
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(row_bytes(rows)), F.lit(0))).first()
+    return rows.hint("broadcast") if n <= limit and size <= most_bytes else rows
 
 
 def open_fs(uri: str):

@@ -30,7 +30,7 @@ from .buckets import in_units, merge, whole_groups
 from .common import cut
 from .components import connected_components
 from .simhash import among
-from .substring_dedup import _mixed, class_of, in_slices, shingle_hashes
+from .substring_dedup import _mixed, class_of, in_slices, jaccard_distance, shingle_hashes
 
 #: Sets are similar if OVER times their intersection is at least UNDER times their union.
 OVER, UNDER = 100, 90
@@ -271,12 +271,8 @@ def linked_classes(docs: DataFrame, signed: DataFrame, over: int = OVER, under:
     texts = among(docs, cut(met.select("first.doc_id", "first.mark")), "left_semi")
     sets = cut(_sets(texts.select("text"))).dropDuplicates(["class"])
 
-    def alike(x: Column, y: Column) -> Column:
-        shared = F.size(F.array_intersect(x, y))
-        return over * shared >= under * (F.size(x) + F.size(y) - shared)
-
     rows = met.select("key", "class").join(sets, "class").select("key", "class", "shingles")
-    units, linked = in_units(rows, "key", "class", bucket_rows, met, "shingles", alike)
+    units, linked = in_units(rows, "key", "class", bucket_rows, met, "shingles", jaccard_distance, round(1 - under / over, 12))
     links = units.select("key", "unit", "class", "shingles").repartition("key", "unit").sortWithinPartitions("key", "unit", "class").mapInArrow(_verified(over, under), "a binary, b binary")
     return connected_components(links if linked is None else links.union(linked)).withColumnRenamed("node", "class")
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -181,11 +182,12 @@ class ShardTable:
 
         Runs are cut along the cumulated bytes of each tier; a run must have ``fan_in`` shards.
         """
-        small = shards.where("tier > 0").withColumn("slot", F.pmod(F.xxhash64("path"), F.lit(16)))
+        small = shards.where("tier > 0")
+        totals = small.groupBy("tier").agg(F.sum("bytes").alias("total"))  # a row a tier
+        small = small.join(F.broadcast(totals), "tier").withColumn("slot", F.pmod(F.xxhash64("path"), F.lit(16)))
         dealt = Window.partitionBy("tier", "slot").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-        total = F.sum("bytes").over(Window.partitionBy("tier"))
         # Slots spread a large tier over tasks; a tier that makes up one file or less stays together.
-        slot = F.when(total > 64 * self.target, F.col("slot")).otherwise(F.lit(-1))
+        slot = F.when(F.col("total") > 64 * self.target, F.col("slot")).otherwise(F.lit(-1))
         small = small.withColumn("slot", slot).withColumn("before", F.coalesce(F.sum("bytes").over(dealt), F.lit(0)))
         run = small.withColumn("run", F.floor(F.col("before") / self.target))
         n = F.count("*").over(Window.partitionBy("tier", "slot", "run"))
@@ -251,13 +253,21 @@ class ShardTable:
         return self.last()
 
     def vacuum(self, keep: int = 1, grace_seconds: float = GRACE_SECONDS) -> None:
-        """Delete data files that none of the last ``keep`` versions names and that are older than the grace time."""
+        """Delete versions before the last ``keep``, and what those left don't name, if older than the grace time: data files, manifests, pending lists."""
         kept = None
         for v in self.versions()[-keep:]:
             paths = self.manifest(v).select("path")
             kept = paths if kept is None else kept.union(paths)
         if kept is None:
             return
+        for v in self.versions()[:-keep]:
+            self._drop_old(f"versions/{v:012d}", grace_seconds)
+        named = {self._version(v)[0].rpartition("/")[2] for v in self.versions()[-keep:]}
+        for kind in ("manifests", "pending"):
+            fs, where = self._fs(f"{self.folder}/{kind}")
+            for entry in fs.listStatus(where) if fs.exists(where) else ():
+                if entry.getPath().getName() not in named:
+                    self._drop_old(f"{kind}/{entry.getPath().getName()}", grace_seconds)
         fs, where = self._fs(f"{self.folder}/data")
         if not fs.exists(where):
             return
@@ -280,6 +290,11 @@ class ShardTable:
 
         gone.mapInArrow(delete, "n long").agg(F.sum("n")).collect()
 
+    def _drop_old(self, name: str, grace_seconds: float) -> None:
+        fs, where = self._fs(f"{self.folder}/{name}")
+        if time.time() - fs.getFileStatus(where).getModificationTime() / 1000 >= grace_seconds:
+            fs.delete(where, True)
+
     # Reading
 
     def read(self, version: int | None = None, columns: list[str] | None = None) -> DataFrame:

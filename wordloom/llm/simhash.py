@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,7 +163,7 @@ def links(classes: DataFrame, max_bits: int = 3, blocks: int | None = None, buck
     keys = [F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for t, m in enumerate(masks(max_bits, blocks))]
     rows = classes.select(F.explode(F.array(*keys)).alias("key"), near.alias("near"), "fp")
     rows = rows.withColumn("bits", F.col("fp"))
-    units, linked = in_units(rows, "key", "fp", bucket_rows, payload="bits", alike=lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= max_bits)
+    units, linked = in_units(rows, "key", "fp", bucket_rows, payload="bits", distance=lambda x, y: F.bit_count(x.bitwiseXOR(y)), reach=max_bits)
     met = units.select("key", "unit", "near", "fp").repartition("key", "unit").sortWithinPartitions("key", "unit", "near").mapInArrow(_linker(max_bits), "a long, b long")
     return met if linked is None else met.union(linked)
 
@@ -249,13 +249,20 @@ def _signed_texts(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     return marked.mapInArrow(sign, "doc_id long, mark long, class binary, fp binary, near int, bands array<long>")
 
 
+def _words_apart(x: Column, y: Column) -> Column:
+    """Bits in which two fingerprints differ, given as their 64-bit words."""
+    return sum((F.bit_count(F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))) for k in range(WIDE)), F.lit(0))
+
+
 def wide_links(classes: DataFrame, max_bits: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Links between distinct wide fingerprints (fp, near, bands) that share a band and differ in ``max_bits`` at most."""
     keyed = classes.select(F.explode("bands").alias("key"), "near", "fp")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")  # most bands are one text's alone
     rows = cut(keyed.join(shared, "key"))
-    units = in_units(rows, "key", "fp", bucket_rows)[0].select("key", "unit", "near", "fp")
-    return units.repartition("key", "unit").sortWithinPartitions("key", "unit", "near").mapInArrow(_linker(max_bits, WIDE), "a binary, b binary")
+    words = F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda k: F.conv(F.hex(F.substring("fp", k * 8 + 1, 8)), 16, -10).cast("long"))
+    units, linked = in_units(rows.withColumn("words", words), "key", "fp", bucket_rows, payload="words", distance=_words_apart, reach=max_bits)
+    met = units.select("key", "unit", "near", "fp").repartition("key", "unit").sortWithinPartitions("key", "unit", "near").mapInArrow(_linker(max_bits, WIDE), "a binary, b binary")
+    return met if linked is None else met.union(linked)
 
 
 def _shingle_sets(texts: DataFrame) -> DataFrame:

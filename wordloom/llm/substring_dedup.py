@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from .buckets import in_units, whole_groups
 from .common import cut, tidy, unused
 from .components import connected_components
+from .merkle import ranked
 
 MIN_WORDS = 1
 WINDOW = 20
@@ -242,13 +243,31 @@ def _several(rows: DataFrame, key: str) -> DataFrame:
     return cut(seen.where("at <> last").select(key, "at", "n"))
 
 
-def _doc() -> Column:
-    return F.coalesce("doc_id", F.lit(NO_ID)).alias("doc")
+def told_apart(scan: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``scan`` with ``doc``, by which documents are told apart and ordered, and what the numbers stand for (row, doc_id, doc), if they are no doc_ids.
+
+    Where no two rows share a doc_id, or have none, it is the doc_id (NO_ID for none). Otherwise
+    rows are numbered in the order of doc_id (none last) and row; rows alike in both are one.
+    """
+    given = F.coalesce("doc_id", F.lit(NO_ID))
+    if scan.groupBy(given.alias("doc")).agg(F.min("row").alias("least"), F.max("row").alias("last")).where("least <> last").isEmpty():
+        return scan.withColumn("doc", given), None
+    rows = scan.select(F.lit("").alias("tree"), given.alias("given"), "row", "doc_id").distinct()
+    names = cut(ranked(rows, "given", "row").select("row", "doc_id", F.col("rank").alias("doc")))
+    return scan.join(names.select("row", "doc"), "row"), names
+
+
+def _doc_ids(rows: DataFrame, names: DataFrame | None, column: str) -> DataFrame:
+    """``rows`` with the doc_ids that the numbers in ``column`` stand for."""
+    if names is None:
+        return rows.withColumn(column, F.nullif(F.col(column), F.lit(NO_ID)))
+    own = names.select(F.col("doc").alias("_number"), F.col("doc_id").alias("_id"))
+    return rows.join(own, F.col(column) == F.col("_number")).withColumn(column, F.col("_id")).drop("_number", "_id")
 
 
 def seeds_of(scan: DataFrame) -> DataFrame:
     """The chosen windows that two documents have: row, doc, top, key, first, gap, run, own (no document before has it)."""
-    chosen = scan.where(F.size("keys") > 0).select("row", _doc(), "top", F.inline(F.arrays_zip("keys", "firsts", "gaps", "runs"))).toDF("row", "doc", "top", "key", "first", "gap", "run")
+    chosen = scan.where(F.size("keys") > 0).select("row", "doc", "top", F.inline(F.arrays_zip("keys", "firsts", "gaps", "runs"))).toDF("row", "doc", "top", "key", "first", "gap", "run")
     return cut(chosen.join(_several(chosen.select("key", "doc"), "key"), "key").select("row", "doc", "top", "key", "first", "gap", "run", (F.col("at") == F.col("doc")).alias("own")))
 
 
@@ -355,7 +374,7 @@ def near_windows(h: np.ndarray, first: np.ndarray, sides: list[np.ndarray], size
 AGAIN_DDL = "row long, doc long, classes array<binary>, sets array<array<long>>, keys array<long>, firsts array<int>, lasts array<int>"
 
 
-def read_again(docs: DataFrame, numbers: DataFrame, spots: DataFrame) -> DataFrame:
+def read_again(docs: DataFrame, numbers: DataFrame, spots: DataFrame, names: DataFrame | None) -> DataFrame:
     """Of the rows that have any: the shingles of the paragraphs ``numbers`` and the windows about ``spots``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,11 +401,14 @@ def read_again(docs: DataFrame, numbers: DataFrame, spots: DataFrame) -> DataFra
             yield pa.record_batch(columns, names=[x.split()[0] for x in AGAIN_DDL.split(", ")])
 
     wanted = numbers.join(spots, "row", "full")
-    met = named_rows(docs).select("row", _doc(), "text").join(wanted, "row")
+    own = named_rows(docs).select("row", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
+    if names is not None:
+        own = own.drop("doc").join(names.select("row", "doc"), "row")
+    met = own.join(wanted, "row")
     return cut(met.select("row", "doc", "text", "numbers", "spots").mapInArrow(read, AGAIN_DDL))
 
 
-def passages_of(scan: DataFrame, known: DataFrame, again: DataFrame, size: int = WINDOW) -> DataFrame:
+def passages_of(scan: DataFrame, known: DataFrame, again: DataFrame, names: DataFrame | None, size: int = WINDOW) -> DataFrame:
     """The passages of ``repeated_passages``, from the tables of one run."""
     windows = again.where(F.size("keys") > 0).select("row", "doc", F.inline(F.arrays_zip("keys", "firsts", "lasts"))).toDF("row", "doc", "key", "first", "last")
     looked = windows.join(_several(windows.select("key", "doc"), "key"), "key").select("row", "doc", "first", "last", "at", "n")
@@ -400,7 +422,8 @@ def passages_of(scan: DataFrame, known: DataFrame, again: DataFrame, size: int =
     joined = apart.withColumn("passage", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     n_words = (F.max("last") - F.min("first") + size).cast("long").alias("n_words")
     told = joined.groupBy("row", "doc", "removed", "passage").agg(F.min("first").cast("long").alias("first_word"), n_words, F.min("at").alias("cluster_id"), F.max("n").alias("cluster_size"))
-    return told.select(F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "row", "first_word", "n_words", "cluster_id", "cluster_size", "removed")
+    told = told.select(F.col("doc").alias("doc_id"), "row", "first_word", "n_words", "cluster_id", "cluster_size", "removed")
+    return _doc_ids(_doc_ids(told, names, "doc_id"), names, "cluster_id")
 
 
 def _groups(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
@@ -448,6 +471,12 @@ def _verify(similarity: float):
     return verify
 
 
+def jaccard_distance(x: Column, y: Column) -> Column:
+    """Of two sets without repeats, rounded so that a similarity that is just met counts as met."""
+    shared = F.size(F.array_intersect(x, y))
+    return F.round(1 - shared / (F.size(x) + F.size(y) - shared), 12)
+
+
 def verified_links(rows: DataFrame, similarity: float, buckets: DataFrame | None = None) -> DataFrame:
     """Links (a, b) between the classes of each bucket whose shingle sets are similar enough.
 
@@ -455,11 +484,7 @@ def verified_links(rows: DataFrame, similarity: float, buckets: DataFrame | None
     has the same keys, as often, where that is cheaper to count.
     """
 
-    def alike(x: Column, y: Column) -> Column:
-        shared = F.size(F.array_intersect(x, y))
-        return shared >= similarity * (F.size(x) + F.size(y) - shared)
-
-    units, linked = in_units(rows, "key", "class", BUCKET_ROWS, buckets, "shingles", alike)
+    units, linked = in_units(rows, "key", "class", BUCKET_ROWS, buckets, "shingles", jaccard_distance, round(1 - similarity, 12))
     met = units.select("key", "unit", "class", "shingles").repartition("key", "unit").sortWithinPartitions("key", "unit", "class").mapInArrow(_verify(similarity), "a binary, b binary")
     return met if linked is None else met.union(linked)
 
@@ -502,13 +527,13 @@ def lines_of(scan: DataFrame, found: DataFrame) -> DataFrame:
 def _found(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """(lines, passages) of ``docs``, each with the row that it stands in."""
     bands, rows = tune_bands(similarity)
-    scan = cut(scanned(docs, bands, rows))
+    scan, names = told_apart(cut(scanned(docs, bands, rows)))
     classes, buckets = bucketed(scan, bands)
     numbers = classes.join(buckets, "class", "left_semi").groupBy("row").agg(F.collect_set("number").alias("numbers"))
     seeds = seeds_of(scan)
     known = known_runs(seeds)
-    again = read_again(docs, numbers, wanted_windows(seeds, known))
-    return lines_of(scan, clusters(classes, buckets, again, similarity)), passages_of(scan, known, again)
+    again = read_again(docs, numbers, wanted_windows(seeds, known), names)
+    return lines_of(scan, clusters(classes, buckets, again, similarity)), passages_of(scan, known, again, names)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -517,14 +542,14 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     A passage is a run of words each window of which other documents have. It is removed where a
     document before has each of its windows (in the order of doc_id, null last); cluster_id is
     the first of those documents, cluster_size the most often that a window, or a run between
-    two seeds, stands anywhere. Rows that share a doc_id, or have none, are not told apart as
-    documents; ``row`` is a hash of doc_id and text that tells them apart as texts.
+    two seeds, stands anywhere. Rows that share a doc_id, or have none, are documents of their own,
+    ordered by ``row``, a hash of doc_id and text; rows alike in both are one document.
     """
-    scan = cut(scanned(docs.select("doc_id", "text"), 0, 0))
+    scan, names = told_apart(cut(scanned(docs.select("doc_id", "text"), 0, 0)))
     seeds = seeds_of(scan)
     known = known_runs(seeds)
     none = docs.sparkSession.createDataFrame([], "row long, numbers array<int>")
-    return passages_of(scan, known, read_again(docs, none, wanted_windows(seeds, known)))
+    return passages_of(scan, known, read_again(docs, none, wanted_windows(seeds, known), names), names)
 
 
 def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
