@@ -9,6 +9,7 @@ from ..functions import text as tx
 from ..functions import udfs
 from ..functions.hashing import draw
 from ..operators import audit as au
+from ..operators import grid
 from ..operators import targets as ta
 from ..operators.selection import hash_order
 from .registry import load, query
@@ -26,6 +27,22 @@ def active_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return au.islands(load(spark, sf_dir, "events").select("user_id", hour), ["user_id"], "x", 24, 12)
 
 
+@query("""
+WITH RECURSIVE p AS (SELECT DISTINCT user_id, date_diff('day', TIMESTAMP '2024-01-01', ts) AS y, date_part('hour', ts) AS x FROM events),
+b AS (SELECT *, lag(x) OVER (PARTITION BY user_id, y ORDER BY x) AS before FROM p),
+n AS (SELECT *, sum(CASE WHEN before IS NULL OR x - before > 3 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, y ORDER BY x) AS run FROM b),
+r AS MATERIALIZED (SELECT user_id, y, run, min(x) AS s, max(x) + 1 AS e FROM n GROUP BY ALL),
+l AS MATERIALIZED (SELECT a.user_id, a.y AS y, a.run AS run, b.y AS y2, b.run AS run2 FROM r a JOIN r b ON a.user_id = b.user_id AND abs(a.y - b.y) = 1 AND b.e >= a.s AND b.s <= a.e),
+c AS (SELECT user_id, y, run, y AS y0, run AS run0 FROM r UNION SELECT c.user_id, l.y2, l.run2, c.y0, c.run0 FROM c JOIN l ON l.user_id = c.user_id AND l.y = c.y AND l.run = c.run),
+m AS (SELECT user_id, y, run, min(y0 * 1000 + run0) AS component FROM c GROUP BY ALL)
+SELECT user_id, min(s)::BIGINT AS "left", max(e)::BIGINT AS "right", min(y)::BIGINT AS top, max(y)::BIGINT AS bottom, count(*)::BIGINT AS n_runs FROM m JOIN r USING (user_id, y, run) GROUP BY user_id, component HAVING max(e) - min(s) >= 4 AND max(y) - min(y) <= 6""")
+def activity_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of days and hours in which a user's runs of activity hang together from day to day."""
+    ts = F.col("ts").cast("timestamp")
+    points = load(spark, sf_dir, "events").select("user_id", F.datediff(ts, F.lit("2024-01-01")).cast("long").alias("y"), F.hour(ts).cast("long").alias("x"))
+    return grid.boxes(points, ["user_id"], 2, 1, 1, 0, 4, 6)
+
+
 @query()
 def surface_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each item's second word stands in the item with its white space and quotes disturbed, in that text's own offsets.

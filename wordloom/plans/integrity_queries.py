@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import json_text as js
 from ..functions.hashing import canonical, sha256, table_digest
 from ..operators import rules as ru
+from ..sources import file_tree as files
+from ..sources.storage import fresh_folder
 from .registry import load, query
 
 PROPS = {
@@ -122,3 +125,46 @@ def visible_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested parts as rows with their number from 1."""
     parts = F.filter(F.split("text", r"\. "), lambda x: x != "")
     return load(spark, sf_dir, "benchmark").select("item_id", F.posexplode(parts).alias("i", "sentence")).select("item_id", (F.col("i") + 1).cast("long").alias("number"), "sentence")
+
+
+_RECORD = """'{"id": ' || o_orderkey || ', "answer_key": "' || L || '", "parts": [{"answers": "A", "correct_answer": "' || M || '", "Answer_Key": "A"}, ["A", {"deep": [[{"answer_label": "' || L || '"}]]}]], "intended_answer": null, "generator_answer": 3, "note": "the \\\\"answer_key\\\\":\\\\"A\\\\" said: A"}'"""
+_L, _M = "chr((65 + o_orderkey % 5)::INT)", "chr((65 + o_custkey % 4)::INT)"
+_NEW_L, _NEW_M = "CASE WHEN o_orderkey % 5 < 4 THEN chr((65 + (o_orderkey % 5 + o_custkey % 4 + 1) % 4)::INT) ELSE 'E' END", "chr((65 + (2 * (o_custkey % 4) + 1) % 4)::INT)"
+
+
+@query(f"""
+SELECT o_orderkey, '{{"answer_key":"' || L || '","generator_answer":3,"id":' || o_orderkey || ',"intended_answer":null,"note":"the \\"answer_key\\":\\"A\\" said: A","parts":[{{"Answer_Key":"A","answers":"A","correct_answer":"' || M || '"}},["A",{{"deep":[[{{"answer_label":"' || L || '"}}]]}}]]}}' AS record
+FROM (SELECT *, {_NEW_L} AS L, {_NEW_M} AS M FROM orders)""")
+def relabelled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Option labels of nested records after a permutation, moved under the keys that name one and nowhere else."""
+    letters = [F.expr(x.replace("::INT", "")).alias(name) for x, name in ((_L, "L"), (_M, "M"))]
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", *letters)
+    new = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.chr(F.lit(65) + (i + F.col("o_custkey") % 4 + 1) % 4))
+    mapping = F.map_from_arrays(F.array(*map(F.lit, "ABCD")), new)
+    return orders.select("o_orderkey", js.relabelled(F.expr(_RECORD), mapping).alias("record"))
+
+
+def _part_files(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Nodes of a tree of files of lines: a folder for each brand and in it one for each type."""
+    folder = fresh_folder(spark, "parts")
+    line = F.concat_ws("|", "p_partkey", "p_name", "p_size")
+    rows.select("p_brand", "p_type", line.alias("value")).repartition("p_brand", "p_type").sortWithinPartitions("p_brand", "p_type", "value").write.partitionBy("p_brand", "p_type").text(folder)
+    named = files.leaves(spark, folder)
+    # Which task wrote a file is no part of what is frozen.
+    return files.tree(named.withColumn("path", F.regexp_replace("path", r"part-\d+[^/]*$", "lines.txt")))
+
+
+@query("""
+WITH f AS (SELECT p_brand, p_type, p_partkey || '|' || p_name || '|' || p_size AS v FROM part WHERE p_size < 50 OR p_brand <> 'Brand#3'),
+n AS (SELECT p_brand, p_type, p_partkey || '|' || p_name || '|' || CASE WHEN p_retailprice > 995 THEN p_size + 1 ELSE p_size END AS v FROM part WHERE p_brand <> 'Brand#5' OR p_type <> 'PROMO'),
+a AS (SELECT p_brand, p_type, string_agg(v, chr(10) ORDER BY v) AS v FROM f GROUP BY ALL), b AS (SELECT p_brand, p_type, string_agg(v, chr(10) ORDER BY v) AS v FROM n GROUP BY ALL),
+d AS (SELECT coalesce(a.p_brand, b.p_brand) AS brand, coalesce(a.p_type, b.p_type) AS type, CASE WHEN b.v IS NULL THEN 'missing' WHEN a.v IS NULL THEN 'added' ELSE 'changed' END AS drift FROM a FULL JOIN b ON a.p_brand = b.p_brand AND a.p_type = b.p_type WHERE a.v IS DISTINCT FROM b.v),
+w AS (SELECT brand, CASE WHEN brand NOT IN (SELECT p_brand FROM b) THEN 'missing' WHEN brand NOT IN (SELECT p_brand FROM a) THEN 'added' ELSE 'changed' END AS drift FROM d GROUP BY brand)
+SELECT '' AS path, 'folder' AS kind, 'changed' AS drift WHERE EXISTS (SELECT 1 FROM d) UNION ALL SELECT 'p_brand=' || replace(brand, '#', '%23'), 'folder', drift FROM w
+UNION ALL SELECT 'p_brand=' || replace(brand, '#', '%23') || '/p_type=' || type, 'folder', drift FROM d UNION ALL SELECT 'p_brand=' || replace(brand, '#', '%23') || '/p_type=' || type || '/lines.txt', 'file', drift FROM d""")
+def file_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real files frozen as a tree of digests, and what has drifted in a later writing of them."""
+    parts = load(spark, sf_dir, "part")
+    frozen = _part_files(spark, parts.where("p_size < 50 OR p_brand <> 'Brand#3'"))
+    later = parts.where("p_brand <> 'Brand#5' OR p_type <> 'PROMO'").withColumn("p_size", F.when(F.col("p_retailprice") > 995, F.col("p_size") + 1).otherwise(F.col("p_size")))
+    return files.drift(frozen, _part_files(spark, later))
