@@ -8,8 +8,8 @@ gives the start, which must leave room for the window before the document's end;
 words of the document are compared with the window's.
 
 DataFrame functions only. The corpus is read three times, whatever the size of the benchmark: for
-the counts of the shingles, for the places, and for the result. Tables of up to BROADCAST_ROWS
-prefixes are broadcast; larger ones are joined by a shuffle of hashes and positions alone, and the
+the counts of the shingles, for the places, and for the result. Prefixes of few rows and bytes are
+broadcast; more of them are joined by a shuffle of hashes and positions alone, and the
 few documents with a candidate are read again to be compared. A row is known by its columns and a
 hash of its text, so that nothing hangs on the order or the parts in which rows are read.
 """
@@ -19,14 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, unused
+from .common import BROADCAST_BYTES, ascii_lower, cut, row_bytes, small, unused
 
 #: Fixed value: what separates words, once A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 SHINGLE = 3
-#: Windows have at most ten words and prefixes few columns, about 200 bytes a row.
+#: Tables are broadcast up to so many rows, if they are small in bytes as well.
 BROADCAST_ROWS = 200_000
 
 
@@ -62,8 +62,13 @@ def all_shingles(column: str, sizes: list[int]) -> Column:
 
 
 def _small(rows: DataFrame) -> DataFrame:
-    """``rows``, to be broadcast if they are few."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+    """``rows`` (a written table), to be broadcast if they are few and small."""
+    return small(rows, BROADCAST_ROWS)
+
+
+def _fits(rows: DataFrame) -> bool:
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(row_bytes(rows)), F.lit(0))).first()
+    return n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
 def shingle_sizes(found: DataFrame, shingle: int) -> list[int]:
@@ -102,7 +107,7 @@ def occurrences(docs: DataFrame, prefix: DataFrame, sizes: list[int]) -> DataFra
     room = (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.size("w"))
     same = F.slice("w", F.greatest(F.col("start") + 1, F.lit(1)), F.col("size")) == F.col("window")
     start = (F.col("pos") - F.col("at")).alias("start")
-    if prefix.count() <= BROADCAST_ROWS:
+    if _fits(prefix):
         each = split.select(*ids, "w", F.inline(all_shingles("w", sizes)))
         met = each.join(F.broadcast(prefix), "h").select(*ids, "w", start, "size", "window", "item_id")
     else:
@@ -126,11 +131,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     met = _judged(rows, benchmark, window)
-    n = met.count()
     found = met.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "mark")], "n_hit", "items")
     own = rows.select("doc_id", "mark", n_words(F.col("text")).alias("n_words"))
     alike = own["doc_id"].eqNullSafe(found["_doc_id"]) & (own["mark"] == found["_mark"])
-    told = own.join(F.broadcast(found) if n <= BROADCAST_ROWS else found, alike, "left")
+    told = own.join(_small(found), alike, "left")
     items = F.coalesce("items", F.array().cast("array<string>")).alias("items")
     return told.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), items, F.col("n_hit").isNotNull().alias("contaminated"))
 
