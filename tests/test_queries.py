@@ -24,3 +24,23 @@ def test_balanced_positions_use_several_tasks(spark, data):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     shares = [sum(r["position"] == p for r in rows) for p in range(4)]
     assert len({r["task"] for r in rows}) > 1 and max(shares) - min(shares) <= 1
+
+
+@pytest.mark.parametrize(
+    ("name", "column", "rules"),
+    [
+        ("identity_errors", "errors", ("item_missing", "stage_item_mismatch", "section_mismatch")),
+        ("verified_selections", "errors", ("not_a_partition", "order_changed", "wrong_number")),
+        ("file_drift", "drift", ("changed", "missing", "added")),
+    ],
+)
+def test_every_rule_is_met(name, column, rules, spark, data):
+    met = {x for r in catalogue.queries()[name](spark, data).collect() for x in r[column].split(",")}
+    assert met >= set(rules)
+
+
+def test_both_sides_of_id_sets(spark):
+    from wordloom.operators import raters
+
+    a, b = (spark.createDataFrame([(x,) for x in ids], "k long") for ids in ((1, 2, 2, 3), (3, 4, 4)))
+    assert {(r.k, r.side) for r in raters.id_sets(a, b, "k").collect()} == {(1, "missing"), (2, "missing"), (4, "unexpected")}

@@ -174,16 +174,19 @@ def expected_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH l AS (SELECT l_orderkey, l_linenumber AS id, l_returnflag <> 'R' AS ok, sha256(concat_ws('|', 'choose', l_orderkey::VARCHAR, l_linenumber::VARCHAR)) AS h FROM lineitem),
 c AS (SELECT l_orderkey, list(id ORDER BY h, id) AS ids, coalesce(list(id ORDER BY h, id) FILTER (ok), []) AS fit FROM l GROUP BY l_orderkey),
 s AS (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN list_reverse(fit[1:3]) ELSE fit[1:3] END AS chosen FROM c),
-r AS (SELECT *, list_filter(ids, lambda x: NOT list_contains(chosen, x)) AS rest FROM s)
+k AS (SELECT *, list_filter(ids, lambda x: NOT list_contains(chosen, x)) AS other FROM s),
+r AS (SELECT *, CASE l_orderkey % 7 WHEN 0 THEN other[2:] WHEN 1 THEN list_concat(other, other[1:1]) WHEN 2 THEN list_append(other, 99) ELSE other END AS rest FROM k)
 SELECT l_orderkey, array_to_string(list_filter([CASE WHEN list_sort(list_concat(chosen, rest)) <> list_sort(ids) THEN 'not_a_partition' END, CASE WHEN list_filter(ids, lambda x: list_contains(chosen, x)) <> chosen THEN 'order_changed' END, CASE WHEN len(chosen) <> 3 THEN 'wrong_number' END, CASE WHEN fit[1:3] <> chosen THEN 'not_the_first_eligible' END], lambda x: x IS NOT NULL), ',') AS errors,
   array_to_string(list_transform(chosen, lambda x: x::VARCHAR), ',') AS options FROM r""")
 def verified_selections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored choices of three lines of each order, verified against the candidates; some are stored in another order."""
+    """Stored choices of three lines of each order, verified against the candidates; some are stored in another order, some have lost, doubled or gained a rejected one."""
     lines = load(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("id"), (F.col("l_returnflag") != "R").alias("eligible"), hash_order("choose", "l_orderkey", "l_linenumber").alias("h"))
     each = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("h", "id", "eligible"))).alias("c"))  # an order has seven lines at most
     each = each.withColumn("fit", F.slice(F.transform(F.filter("c", lambda x: x["eligible"]), lambda x: x["id"]), 1, 3))
     each = each.withColumn("chosen", F.when(F.col("l_orderkey") % 3 == 0, F.reverse("fit")).otherwise(F.col("fit")))
     rest = F.filter(F.transform("c", lambda x: x["id"]), lambda i: ~F.array_contains("chosen", i))
+    damage = F.col("l_orderkey") % 7
+    rest = F.when(damage == 0, F.slice(rest, 2, 99)).when(damage == 1, F.concat(rest, F.slice(rest, 1, 1))).when(damage == 2, F.array_append(rest, F.lit(99))).otherwise(rest)
     errors = au.selection_errors(F.col("c"), F.col("chosen"), rest, 3)
     return each.select("l_orderkey", F.array_join(errors, ",").alias("errors"), F.array_join(F.col("chosen").cast("array<string>"), ",").alias("options"))
 

@@ -11,7 +11,7 @@ from ..operators import geometry as ge
 from ..operators.selection import hash_order, top_by
 from .registry import load, query
 
-_WORDS = r"(regexp_extract_all(text, '[\p{L}\p{N}]+(?:[''’\-][\p{L}\p{N}]+)*'))[1:24] AS w"
+_WORDS = r"regexp_extract_all(text, '[\p{L}\p{N}]+(?:[''’\-][\p{L}\p{N}]+)*') AS w"
 
 
 def _draw_sql(total: int, *parts: str) -> str:
@@ -19,21 +19,21 @@ def _draw_sql(total: int, *parts: str) -> str:
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 24 words of each item."""
-    return load(spark, sf_dir, "benchmark").select("item_id", F.slice(tx.lexical_tokens(F.col("text")), 1, 24).alias("w"))
+    """The words of each item."""
+    return load(spark, sf_dir, "benchmark").select("item_id", tx.lexical_tokens(F.col("text")).alias("w"))
 
 
 def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four spans of one to three words, each in a quarter of its own, some beyond the end."""
-    spans = []
+    spans, quarter = [], F.floor((F.size("w") + 7) / 4)
     for i, label in enumerate(ge.LABELS):
-        start = (draw(7, F.lit(label), "item_id") + 6 * i).cast("int")
+        start = (draw(1_000_003, F.lit(label), "item_id") % quarter + quarter * i).cast("int")
         spans.append(ge.span(F.col("w"), start, (draw(3, F.lit("size"), F.lit(label), "item_id") + 1).cast("int")))
     return sentences(spark, sf_dir).select("item_id", "w", F.array(*spans).alias("spans"))
 
 
 _MARKED = f"""b AS (SELECT item_id, {_WORDS} FROM benchmark),
-s AS (SELECT item_id, len(w) AS n, i, {_draw_sql(7, "label", "item_id::VARCHAR")} + 6 * i AS s, {_draw_sql(3, "'size'", "label", "item_id::VARCHAR")} + 1 AS size FROM b, (VALUES (0, 'A'), (1, 'B'), (2, 'C'), (3, 'D')) l(i, label)),
+s AS (SELECT item_id, len(w) AS n, i, {_draw_sql(1_000_003, "label", "item_id::VARCHAR")} % ((len(w) + 7) // 4) + ((len(w) + 7) // 4) * i AS s, {_draw_sql(3, "'size'", "label", "item_id::VARCHAR")} + 1 AS size FROM b, (VALUES (0, 'A'), (1, 'B'), (2, 'C'), (3, 'D')) l(i, label)),
 p AS (SELECT item_id, n, i, CASE WHEN s < n THEN s END AS s, CASE WHEN s < n THEN least(s + size, n) END AS e FROM s)"""
 
 

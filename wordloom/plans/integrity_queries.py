@@ -155,7 +155,7 @@ def _part_files(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 
 @query("""
-WITH f AS (SELECT p_brand, p_type, p_partkey || '|' || p_name || '|' || p_size AS v FROM part WHERE p_size < 50 OR p_brand <> 'Brand#3'),
+WITH f AS (SELECT p_brand, p_type, p_partkey || '|' || p_name || '|' || p_size AS v FROM part WHERE p_type <> 'LARGE' OR p_brand <> 'Brand#3'),
 n AS (SELECT p_brand, p_type, p_partkey || '|' || p_name || '|' || CASE WHEN p_retailprice > 995 THEN p_size + 1 ELSE p_size END AS v FROM part WHERE p_brand <> 'Brand#5' OR p_type <> 'PROMO'),
 a AS (SELECT p_brand, p_type, string_agg(v, chr(10) ORDER BY v) AS v FROM f GROUP BY ALL), b AS (SELECT p_brand, p_type, string_agg(v, chr(10) ORDER BY v) AS v FROM n GROUP BY ALL),
 d AS (SELECT coalesce(a.p_brand, b.p_brand) AS brand, coalesce(a.p_type, b.p_type) AS type, CASE WHEN b.v IS NULL THEN 'missing' WHEN a.v IS NULL THEN 'added' ELSE 'changed' END AS drift FROM a FULL JOIN b ON a.p_brand = b.p_brand AND a.p_type = b.p_type WHERE a.v IS DISTINCT FROM b.v),
@@ -165,6 +165,6 @@ UNION ALL SELECT 'p_brand=' || replace(brand, '#', '%23') || '/p_type=' || type,
 def file_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Real files frozen as a tree of digests, and what has drifted in a later writing of them."""
     parts = load(spark, sf_dir, "part")
-    frozen = _part_files(spark, parts.where("p_size < 50 OR p_brand <> 'Brand#3'"))
+    frozen = _part_files(spark, parts.where("p_type <> 'LARGE' OR p_brand <> 'Brand#3'"))
     later = parts.where("p_brand <> 'Brand#5' OR p_type <> 'PROMO'").withColumn("p_size", F.when(F.col("p_retailprice") > 995, F.col("p_size") + 1).otherwise(F.col("p_size")))
     return files.drift(frozen, _part_files(spark, later))

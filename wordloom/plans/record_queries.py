@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.hashing import canonical, sha256
 from ..operators.selection import hash_order, top_by
+from ..sources import file_tree as files
 from ..sources.records import markdown
+from ..sources.storage import fresh_folder
 from .registry import load, query
 from .run_queries import errors, errors_sql
 
@@ -151,17 +153,19 @@ def generation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("user_id", "rounds", F.sha2(F.array_join(F.transform("h", lambda x: x["kind"]), ","), 256).alias("history"), "last")
 
 
-_IDENTITY = errors_sql(("item_missing", "p_partkey IS NULL"), ("stage_item_mismatch", "p_partkey IS NOT NULL AND p_partkey <> l_partkey"), ("section_mismatch", "p_size IS NOT NULL AND p_size % 3 <> l_suppkey % 3"))
+_IDENTITY = errors_sql(("item_missing", "named IS NULL"), ("stage_item_mismatch", "named // 100000 <> l_partkey"), ("section_mismatch", "named % 100000 % 3 <> l_suppkey % 3"))
 
 
-@query(f"""SELECT l_orderkey, l_linenumber, l_partkey, {_IDENTITY} AS errors FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""")
+@query(f"""
+WITH f AS (SELECT l_orderkey AS k, max(l_partkey * 100000 + l_suppkey) AS named FROM lineitem WHERE l_linenumber = 1 GROUP BY 1)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_IDENTITY} AS errors FROM lineitem LEFT JOIN f ON k = l_orderkey""")
 def identity_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A later stage's record against the item it names: there at all, the same item, the same section."""
+    """Every line of an order against its first one, as a later stage's record against the item it names: there at all, the same item, the same section."""
     lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    met = lines.join(load(spark, sf_dir, "part").select("p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey"), "left")
-    key = F.col("p_partkey")
-    rules = [("item_missing", key.isNull()), ("stage_item_mismatch", key.isNotNull() & (key != F.col("l_partkey"))), ("section_mismatch", F.col("p_size").isNotNull() & (F.col("p_size") % 3 != F.col("l_suppkey") % 3))]
-    return met.select("l_orderkey", "l_linenumber", "l_partkey", errors(*rules).alias("errors"))
+    first = lines.where("l_linenumber = 1").groupBy(F.col("l_orderkey").alias("k")).agg(F.max(F.struct("l_partkey", "l_suppkey")).alias("named"))
+    met = lines.join(first, F.col("l_orderkey") == F.col("k"), "left")
+    rules = [("item_missing", F.col("named").isNull()), ("stage_item_mismatch", F.col("named.l_partkey") != F.col("l_partkey")), ("section_mismatch", F.col("named.l_suppkey") % 3 != F.col("l_suppkey") % 3)]
+    return met.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", errors(*rules).alias("errors"))
 
 
 _FINAL = errors_sql(("payload_without_acceptance", "s <> 'F' AND payload IS NOT NULL"), ("acceptance_without_payload", "s = 'F' AND payload IS NULL"), ("history_ends_elsewhere", "last IS NOT NULL AND s <> 'P' AND last <> s"), ("mirror_differs", "mirror <> s"))
@@ -257,14 +261,23 @@ def ranked_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("item_id", F.col("s").alias("start"), "k", F.col("rank").cast("long").alias("place"))
 
 
-@query("""
-WITH f AS (SELECT lang, source, count(*) AS n, sha256(concat_ws('|', count(*)::VARCHAR, min(doc_id)::VARCHAR, max(doc_id)::VARCHAR)) AS h FROM documents GROUP BY ALL)
-SELECT lang AS "group", count(*)::BIGINT AS files, sha256(string_agg(source || '=' || h, ';' ORDER BY source)) AS set_hash FROM f GROUP BY lang""")
+def _entry_sql(name: str, kind: str, digest: str) -> str:
+    return f"('0x' || substring(sha256(concat_ws('|', {name}, '{kind}', {digest})), 1, 15))::BIGINT"
+
+
+@query(f"""
+WITH f AS (SELECT lang, doc_id // 250 AS b, sha256(string_agg(doc_id || ':' || n_chars || chr(10), '' ORDER BY doc_id, n_chars)) AS h FROM documents GROUP BY ALL),
+d AS (SELECT lang, b, sha256('1|' || {_entry_sql("'lines.txt'", "file", "h")}) AS h FROM f)
+SELECT 'lang=' || lang AS "group", count(*)::BIGINT AS folders, sha256(concat_ws('|', count(*)::VARCHAR, sum({_entry_sql("'b=' || b", "folder", "h")})::VARCHAR)) AS digest FROM d GROUP BY lang""")
 def version_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups of files with their hashes, nested, and a hash of each group; a group has one entry for each source."""
-    files = load(spark, sf_dir, "documents").groupBy("lang", "source").agg(sha256(F.count("*").cast("string"), F.min("doc_id").cast("string"), F.max("doc_id").cast("string")).alias("h"))
-    nested = files.groupBy(F.col("lang").alias("group")).agg(F.array_sort(F.collect_list(F.struct("source", "h"))).alias("v"))
-    return nested.select("group", F.size("v").cast("long").alias("files"), F.sha2(F.array_join(F.transform("v", lambda x: F.concat_ws("=", x["source"], x["h"])), ";"), 256).alias("set_hash"))
+    """Files written and read back, hashed where they lie, folded into a digest of each group: a folder for each language and in it one for each 250 ids."""
+    folder = fresh_folder(spark, "versions")
+    lines = load(spark, sf_dir, "documents").select("lang", F.expr("doc_id div 250").alias("b"), "doc_id", "n_chars")
+    ordered = lines.repartition("lang", "b").sortWithinPartitions("lang", "b", "doc_id", "n_chars")
+    ordered.select("lang", "b", F.concat_ws(":", "doc_id", "n_chars").alias("value")).write.partitionBy("lang", "b").text(folder)
+    nodes = files.tree(files.leaves(spark, folder).withColumn("path", F.regexp_replace("path", r"part-\d+[^/]*$", "lines.txt")))
+    inside = nodes.where("depth = 2").groupBy(F.col("parent").alias("group")).agg(F.count("*").alias("folders"))
+    return nodes.where("depth = 1").select(F.col("path").alias("group"), "digest").join(inside, "group").select("group", "folders", "digest")
 
 
 _RUN = errors_sql(("run_mismatch", "a.run <> b.run"), ("not_in_bundle", "b.k IS NULL"), ("wrong_kind", "a.kind <> b.kind"))

@@ -251,13 +251,21 @@ def weight_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("priority", "status", "n", F.round(F.col("n") / F.col("t"), 6).alias("joint"), F.round(F.col("n") / F.col("m"), 6).alias("conditional"))
 
 
-@query("""
-SELECT event_type AS stage, count(*)::BIGINT AS exact, (SELECT count(*) FROM events b WHERE ends_with(b.event_type, right(a.event_type, 2)))::BIGINT AS by_suffix FROM events a GROUP BY event_type""")
+_STAGES = ("click", "error", "purchase", "signup", "view", "reviewer")
+_NAME = "CASE WHEN value < 30 THEN event_type WHEN value < 60 THEN 'pilot_' || event_type WHEN value < 90 THEN 'live_pilot_' || event_type ELSE event_type || '_x' END"
+
+
+@query(f"""
+WITH n AS (SELECT {_NAME} AS name FROM events), s AS (SELECT unnest([{", ".join(f"'{x}'" for x in _STAGES)}]) AS stage)
+SELECT stage, (SELECT count(*) FROM n WHERE name = stage)::BIGINT AS exact, (SELECT count(*) FROM n WHERE string_split(name, '_')[-1] = stage)::BIGINT AS by_suffix FROM s""")
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of a stage by its exact name, and by the end of its name, which other names may share."""
-    counts = load(spark, sf_dir, "events").groupBy(F.col("event_type").alias("stage")).agg(F.count("*").alias("exact"))
-    ends = counts.groupBy(F.expr("right(stage, 2)").alias("tail")).agg(F.sum("exact").alias("by_suffix"))
-    return counts.withColumn("tail", F.expr("right(stage, 2)")).join(ends, "tail").select("stage", "exact", "by_suffix")
+    """Counts of each known stage by its exact name, and by what stands after the last underscore; stages that nothing names have zeros."""
+    names = load(spark, sf_dir, "events").groupBy(F.expr(_NAME).alias("name")).agg(F.count("*").alias("n"))
+    suffix = F.substring_index("name", "_", -1)
+    told = names.select(F.explode(F.array(F.struct(F.col("name").alias("stage"), F.col("n").alias("exact"), F.lit(0).alias("by_suffix")), F.struct(suffix.alias("stage"), F.lit(0).alias("exact"), F.col("n").alias("by_suffix")))).alias("x"))
+    sums = told.groupBy("x.stage").agg(F.sum("x.exact").alias("exact"), F.sum("x.by_suffix").alias("by_suffix"))
+    known = spark.createDataFrame([(x,) for x in _STAGES], "stage string")
+    return F.broadcast(known).join(sums, "stage", "left").select("stage", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("exact", "by_suffix")])
 
 
 @query("""

@@ -109,12 +109,14 @@ def bundle_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.crossJoin(F.broadcast(faults))
 
 
-@query("""
-WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem WHERE l_linenumber <= 3),
-u AS (SELECT l_orderkey, l_linenumber, max(l_quantity) AS q, max(l_extendedprice) AS p FROM l GROUP BY ALL)
-SELECT l_orderkey, max(q) FILTER (l_linenumber = 1) AS "1_quantity", max(p) FILTER (l_linenumber = 1) AS "1_price", max(q) FILTER (l_linenumber = 2) AS "2_quantity", max(p) FILTER (l_linenumber = 2) AS "2_price",
-  max(q) FILTER (l_linenumber = 3) AS "3_quantity", max(p) FILTER (l_linenumber = 3) AS "3_price" FROM u GROUP BY l_orderkey""")
+_LINES = range(1, 8)
+_LINE_COLUMNS = ", ".join(f'max(q) FILTER (l_linenumber = {n}) AS "{n}_quantity", max(p) FILTER (l_linenumber = {n}) AS "{n}_price"' for n in _LINES)
+
+
+@query(f"""
+WITH u AS (SELECT l_orderkey, l_linenumber, max(l_quantity) AS q, max(l_extendedprice) AS p FROM lineitem GROUP BY ALL)
+SELECT l_orderkey, {_LINE_COLUMNS} FROM u GROUP BY l_orderkey""")
 def flattened_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Child rows as columns of their parent, as a flat file has them."""
-    lines = load(spark, sf_dir, "lineitem").where("l_linenumber <= 3").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"))
-    return rec.spread(lines, "l_orderkey", "l_linenumber", [1, 2, 3], "quantity", "price")
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"))
+    return rec.spread(lines, "l_orderkey", "l_linenumber", [*_LINES], "quantity", "price")
