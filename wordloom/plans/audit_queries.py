@@ -9,6 +9,7 @@ from ..functions import text as tx
 from ..functions import udfs
 from ..functions.hashing import draw
 from ..operators import audit as au
+from ..operators import edits as ed
 from ..operators import grid
 from ..operators import targets as ta
 from ..operators.selection import hash_order
@@ -101,6 +102,34 @@ def edit_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("conv_id", "turn", "errors", "a.kind", F.col("a.size").cast("long").alias("size"), "a.status")
 
 
+def mutated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn's words, a copy that is changed as the turn's number tells, and what is declared of the change."""
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", tx.blank_words(F.col("text")).alias("w")).where(F.size("w") > 6)
+    w, m, how = F.col("w"), F.floor(F.size("w") / 2).cast("int"), F.col("turn") % 7
+    cut, new = lambda first, stop=None: F.slice(w, first + 1, (F.size(w) if stop is None else stop) - first), F.array(F.lit("@@"))
+    zero = F.lit(0)
+    v = F.when(how == 0, F.concat(cut(zero, m), new, cut(m + 1))).when(how == 1, F.concat(cut(zero, m), new, cut(m))).when(how == 2, F.concat(cut(zero, m), cut(m + 1)))
+    v = v.when(how == 3, F.concat(cut(zero, m - 1), cut(m + 1), cut(m - 1, m + 1))).when(how == 4, F.concat(new, cut(F.lit(1), F.size(w) - 1), new)).when(how == 5, w).otherwise(F.concat(cut(zero, m), new, new, cut(m + 2)))
+    kind = F.when(how.isin(0, 4, 6), "substitution").when(how == 1, "insertion").when(how == 2, "deletion").otherwise("move")
+    source = F.when(how.isin(0, 2), cut(m, m + 1)).when(how == 3, cut(m - 1, m + 1)).when(how == 6, cut(m, m + 2))
+    target = F.when(how.isin(0, 1), new).when(how == 3, cut(m - 1, m + 1)).when(how == 6, new)
+    start = F.when(how == 3, F.size(w) - 2).otherwise(m)
+    end = F.when(how == 3, F.size(w)).otherwise(m + 1)
+    return turns.select("conv_id", "turn", "w", v.alias("v"), F.struct(kind.alias("kind"), source.alias("source"), target.alias("target"), start.alias("start"), end.alias("end")).alias("declared"))
+
+
+@query()
+def mutation_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn against a changed copy: the operations between them, and what the declaration gets wrong on either side.
+
+    The longest chain of matches is beyond SQL; tested against dynamic programming.
+    """
+    told = mutated(spark, sf_dir).withColumn("script", ed.edit_script(F.col("w"), F.col("v")))
+    shown = F.array_join(F.transform("script", lambda o: F.concat_ws(":", o["kind"], *[o[x].cast("string") for x in ("i1", "i2", "j1", "j2")])), ",")
+    wrong = ed.mutation_errors(F.col("w"), F.col("v"), F.col("script"), F.col("declared"))
+    return told.select("conv_id", "turn", shown.alias("script"), F.array_join(wrong, ",").alias("errors"))
+
+
 def _listed(words) -> str:
     return ", ".join(f"'{w}'" for w in words)
 

@@ -96,6 +96,20 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.read_csv(spark, folder, "s_acctbal double, s_name string, s_nationkey int, s_suppkey long")
 
 
+@query("""
+SELECT event_id::VARCHAR AS event_id, CASE WHEN value > 50 THEN event_type END AS kind, CASE WHEN value <= 50 THEN 'a "quoted", ' || event_type END AS note, CASE WHEN event_type = 'error' THEN 'line' || chr(10) || user_id END AS "user line", CASE WHEN event_type = 'view' THEN '' END AS "Ärger" FROM events""")
+def csv_of_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of different keys as one CSV file whose header is the union of their keys, and back."""
+    path = f"{fresh_folder(spark, 'csv')}/records.csv"
+    value, kind = F.col("value"), F.col("event_type")
+    pairs = {"event_id": F.col("event_id").cast("string"), "kind": F.when(value > 50, kind), "note": F.when(value <= 50, F.concat(F.lit('a "quoted", '), kind)), "user line": F.when(kind == "error", F.concat(F.lit("line\n"), F.col("user_id").cast("string"))), "Ärger": F.when(kind == "view", "")}
+    entries = F.map_filter(F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), v)]), lambda k, v: v.isNotNull())
+    records = load(spark, sf_dir, "events").select("event_id", entries.alias("entries"))
+    header = rec.write_csv_records(records, "entries", ["event_id"], path)
+    back = spark.read.schema(", ".join(f"`{k}` string" for k in header)).option("header", "true").option("enforceSchema", "false").option("multiLine", "true").option("escape", '"').option("emptyValue", "").option("nullValue", "\u0000").option("mode", "FAILFAST").csv(path)
+    return back.select(*pairs)
+
+
 @query("SELECT 'customer' AS bundle, count(*)::BIGINT AS n_rows, 0::BIGINT AS n_faults FROM customer UNION ALL SELECT 'nation', count(*)::BIGINT, 0 FROM nation")
 def bundle_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables published whole under a manifest, the manifest verified, and their rows counted."""

@@ -79,6 +79,67 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", "true").option("escape", '"').option("mode", "FAILFAST").csv(path)
 
 
+#: So many different keys at most make the header of a file of records.
+MOST_KEYS = 10_000
+
+
+def header_of(records: DataFrame, entries: str) -> list[str]:
+    """The keys that any record's map has, sorted; one pass, of which only the keys come back."""
+    keys = records.select(F.explode(F.map_keys(entries)).alias("key")).distinct()
+    found = sorted(r["key"] for r in keys.limit(MOST_KEYS + 1).collect())
+    if len(found) > MOST_KEYS:
+        raise ValueError(f"the records have more than {MOST_KEYS} different keys")
+    return found
+
+
+def write_csv_records(records: DataFrame, entries: str, order: list[str], path: str) -> list[str]:
+    """Maps of different keys as one CSV file of that name; gives its header.
+
+    The header is the sorted union of all keys; what a record lacks is empty, and an empty text is
+    quoted. The file is UTF-8 with a byte-order mark and has the records in the given order. Spark
+    writes the lines in parts, in parallel, and one task puts the parts one after the other.
+    """
+    from .state_store import Files
+
+    spark, header = records.sparkSession, header_of(records, entries)
+    options = {"escape": '"', "emptyValue": '""', "nullValue": "", "quoteAll": "false", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    names = [f"c{i}" for i in range(len(header))]
+    cells = F.struct(*[F.try_element_at(entries, F.lit(k)).alias(n) for k, n in zip(header, names)]) if header else F.struct(F.lit(None).cast("string").alias("c"))
+    # Line breaks in cells would part a line of text; they are kept apart until the parts are joined.
+    lines = records.orderBy(*order).select(F.translate(F.to_csv(cells, options), "\n\r", "\ue000\ue001").alias("value"))
+    parts = f"{path}.parts"
+    lines.write.mode("overwrite").text(parts)
+    first = spark.range(1).select(*[F.lit(k).alias(n) for k, n in zip(header, names)]) if header else None
+    top = first.select(F.to_csv(F.struct(*names), options)).first()[0] if header else ""
+    files = Files(spark)
+    found = [f"{parts}/{name}" for name, _ in files.names(parts) if name.startswith("part-")]
+
+    def joined(batches):
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs as afs
+
+        for batch in batches:
+            fs, where = afs.FileSystem.from_uri(path)
+            fresh = f"{where}.{uuid.uuid4().hex}"
+            with fs.open_output_stream(fresh) as out:
+                out.write(f"\ufeff{top}\n".encode())
+                for part in found:
+                    with fs.open_input_stream(afs.FileSystem.from_uri(part)[1]) as lines:
+                        rest = b""
+                        while block := lines.read(1 << 20):
+                            # A character must not be cut in two before it is put back.
+                            whole, _, rest = (rest + block).rpartition(b"\n")
+                            out.write((whole + b"\n" if whole else b"").replace("\ue000".encode(), b"\n").replace("\ue001".encode(), b"\r"))
+            fs.move(fresh, where)
+            yield pa.record_batch([batch.column(0)], names=["id"])
+
+    spark.range(1, numPartitions=1).mapInArrow(joined, "id long").collect()
+    files.delete(parts)
+    return header
+
+
 def markdown(rows: DataFrame, title: str, limit: int = 200) -> str:
     """A report's table as Markdown; for small results, so more than ``limit`` rows is an error."""
     got = rows.limit(limit + 1).collect()
