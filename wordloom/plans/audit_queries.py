@@ -11,6 +11,7 @@ from ..functions.hashing import draw
 from ..operators import audit as au
 from ..operators import edits as ed
 from ..operators import grid
+from ..operators import revalidation as rv
 from ..operators import targets as ta
 from ..operators.selection import hash_order
 from .registry import load, query
@@ -245,3 +246,36 @@ def invocation_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = load(spark, sf_dir, "events").select("event_id", "event_type", F.expr(_CLASS).alias("c"), F.expr(_EXIT.replace("::INT", "")).cast("int").alias("x"), F.expr(_DETAIL).alias("d"))
     source = au.failure_source(F.col("c"), F.col("x"), F.col("d"), F.col("event_type"))
     return calls.select("event_id", F.col("c").alias("classification"), source.alias("source"), F.concat(F.col("c"), F.lit(": "), F.col("d")).alias("failure"))
+
+
+_RULES = (("l_discount > 0.05", "'[line ' || l_linenumber || '] discount ' || round(l_discount * 100)::INT || ' is above 5'"), ("l_tax = 0", "'[line ' || l_linenumber || '] no tax'"), ("l_quantity > 45", "'[line ' || l_linenumber || '] [stock] quantity ' || l_quantity::INT || ' is too high'"))
+_PLAIN = r"regexp_replace(regexp_replace(e, '^(\[[^\]]*\]\s*)+', ''), '\d+(\.\d+)?', '#', 'g')"
+_RECONCILED = f"""
+l AS (SELECT *, list_filter([{", ".join(f"CASE WHEN {broken} THEN {message} END" for broken, message in _RULES)}], lambda x: x IS NOT NULL) AS errors FROM lineitem WHERE l_linestatus = 'F'),
+a AS (SELECT l_orderkey AS k, count(*) AS n_logs, max_by(errors, (l_linenumber * 1000000 + l_partkey) * 10000 + l_suppkey) AS errors FROM l GROUP BY 1),
+b AS (SELECT o_orderkey AS k, count(*) AS n_outcomes, min(CASE o_orderstatus WHEN 'O' THEN 'ACCEPTED' WHEN 'F' THEN 'FAILED' ELSE 'PENDING' END) AS decision FROM orders WHERE o_totalprice > 20000 GROUP BY 1),
+c AS (SELECT l_orderkey AS k, count(*) AS n_formal FROM lineitem WHERE l_linestatus = 'O' AND l_returnflag = 'N' GROUP BY 1),
+r AS (SELECT coalesce(a.k, b.k, c.k) AS k, coalesce(n_logs, 0) AS n_logs, coalesce(n_outcomes, 0) AS n_outcomes, coalesce(n_formal, 0) AS n_formal, decision, list_sort(list_distinct(list_transform(coalesce(errors, []), lambda e: {_PLAIN}))) AS signature FROM a FULL JOIN b ON a.k = b.k FULL JOIN c ON c.k = coalesce(a.k, b.k)),
+t AS (SELECT *, array_to_string(signature, '; ') AS shown, CASE WHEN n_outcomes = 0 THEN 'no_outcome' WHEN n_logs = 0 THEN 'no_log' ELSE 'complete' END AS presence,
+  CASE WHEN decision = 'ACCEPTED' AND n_formal = 0 THEN 'accepted_not_published' WHEN decision IS DISTINCT FROM 'ACCEPTED' AND n_formal > 0 THEN 'published_without_acceptance' WHEN n_formal > 1 THEN 'published_twice' ELSE 'consistent' END AS publication,
+  CASE WHEN n_logs = 0 THEN 'open' WHEN decision = 'FAILED' THEN CASE WHEN len(signature) > 0 THEN 'reproduced' ELSE 'not_reproduced' END WHEN decision = 'ACCEPTED' THEN CASE WHEN len(signature) > 0 THEN 'missed' ELSE 'clean' END ELSE 'open' END AS replay FROM r)"""
+
+
+def recorded_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as logs, orders as outcomes, other lines as what was published."""
+    lines, orders = load(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "k"), load(spark, sf_dir, "orders")
+    decision = F.expr("CASE o_orderstatus WHEN 'O' THEN 'ACCEPTED' WHEN 'F' THEN 'FAILED' ELSE 'PENDING' END").alias("decision")
+    rules = [(F.expr(broken), F.expr(message.replace("::INT", "").replace("round(l_discount * 100)", "cast(round(l_discount * 100) AS INT)").replace("l_quantity ||", "cast(l_quantity AS INT) ||"))) for broken, message in _RULES]
+    return rv.reconciled(lines.where("l_linestatus = 'F'"), orders.where("o_totalprice > 20000").select(F.col("o_orderkey").alias("k"), decision), lines.where("l_linestatus = 'O' AND l_returnflag = 'N'"), "k", ["l_linenumber", "l_partkey", "l_suppkey"], rules)
+
+
+@query(f"WITH {_RECONCILED} SELECT k, n_logs::BIGINT AS n_logs, n_outcomes::BIGINT AS n_outcomes, n_formal::BIGINT AS n_formal, decision, shown AS signature, presence, publication, replay FROM t")
+def run_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs, outcomes and publications of every item, reconciled, and the rules evaluated anew on its last log."""
+    return recorded_runs(spark, sf_dir).select("k", "n_logs", "n_outcomes", "n_formal", "decision", F.array_join("signature", "; ").alias("signature"), "presence", "publication", "replay")
+
+
+@query(f"WITH {_RECONCILED} SELECT presence, publication, replay, count(*)::BIGINT AS items, count(*) FILTER (shown <> '')::BIGINT AS with_errors, count(DISTINCT nullif(shown, ''))::BIGINT AS signatures FROM t GROUP BY ALL")
+def signature_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many items of each class there are, and how many kinds of errors these have."""
+    return rv.signature_classes(recorded_runs(spark, sf_dir))
