@@ -439,6 +439,26 @@ def test_pii_extra_kinds_and_redaction(spark):
     assert out[5] == ("mail <EMAIL> or <IP>!", 21, "p") and out[6] == (None, 0, "p") and out[7] == ("plain", 5, "p")
 
 
+def test_context_decides_as_whole_words(spark):
+    texts = {
+        1: ("Born 1984-02-29 in a town", "birth:5:15", "50"),
+        2: ("stubborn 1984-02-29", "", ""),
+        3: ("dob: 1984-13-01, 1984-12-31", "birth:17:27", "50"),
+        4: ("released 2001-05-06", "", ""),
+        5: ("née en 1999-01-01", "birth:7:17", "50"),
+        6: ("passport C01234567", "passport:9:18", "50"),
+        7: ("passports C01234567 c01234567", "", ""),
+        8: ("Reisepass: C01234567X", "", ""),
+        9: ("ssn 000-12-3456 666-12-3456 912-12-3456 123-00-3456 123-12-0000 123-12-3456", "ssn:64:75", "50"),
+        10: ("dossn 123-12-3456", "", ""),
+        11: ("hotel 10.0.0.1 ship", "ip:6:14", "60"),
+        12: ("the ip 10.0.0.1", "ip:7:15", "80"),
+        13: ("born" + " " * 60 + "1984-02-28", "", ""),
+    }
+    got = {r["doc_id"]: (r["spans"], r["scores"]) for r in pii.report(docs_of(spark, [(d, t) for d, (t, _, _) in texts.items()])).collect()}
+    assert got == {d: (spans, scores) for d, (_, spans, scores) in texts.items()}
+
+
 # 6 Decontamination
 
 

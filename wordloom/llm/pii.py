@@ -3,7 +3,8 @@
 Patterns propose spans; validators confirm them (Luhn for cards, mod-97 for IBANs, value ranges
 and digit counts); words near a span raise its score. Spans of the base kinds (email, ip, card,
 phone) stand once they are valid. The other kinds need a score of at least THRESHOLD: an IBAN
-gets it from its checksum, a social security number only with a word like "ssn" nearby.
+gets it from its checksum; a social security number, a date of birth and a passport number only
+with a word like "ssn", "born" or "passport" nearby, as a whole word.
 
 DataFrame functions only: the gaps between matches come from ``split``, the matches themselves
 from ``regexp_extract_all``, and their lengths add up to positions in code points. The patterns
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import unused
 
 BASE = ("email", "ip", "card", "phone")
-EXTRA = ("iban", "ssn")
+EXTRA = ("iban", "ssn", "birth", "passport")
 THRESHOLD = 0.5
 NEAR = 40
 CONTEXT = {
@@ -32,9 +33,11 @@ CONTEXT = {
     "phone": ("phone", "call", "tel", "mobile", "fax"),
     "iban": ("iban", "account", "bank", "konto", "compte"),
     "ssn": ("ssn", "social security", "social-security"),
+    "birth": ("born", "birth", "birthday", "birthdate", "dob", "geboren", "geburtsdatum", "né", "née", "naissance", "nacido", "nacida", "nacimiento"),
+    "passport": ("passport", "reisepass", "passeport", "pasaporte"),
 }
 #: Score before context; a context word adds CONTEXT_SCORE.
-SCORE = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.7, "ssn": 0.3}
+SCORE = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.7, "ssn": 0.3, "birth": 0.3, "passport": 0.3}
 CONTEXT_SCORE = 0.2
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -45,10 +48,13 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?+[0-9]){12,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+(?![A-Za-z0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    # Areas 000, 666 and 9xx, group 00 and serial 0000 are never given out.
+    "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
+    "birth": r"(?<![0-9-])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])",
+    "passport": r"(?<![A-Za-z0-9])[A-Z][0-9]{8}(?![A-Za-z0-9])",
 }
 #: A text without this character has no match, which is far cheaper to see.
-NEEDS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
+NEEDS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-", "birth": "-"}
 
 #: Matches in a chunk of a running sum, and code points in a block of a text.
 CHUNK = 256
@@ -154,15 +160,17 @@ def _is(kind: str):
     return lambda span: span["kind"] == kind
 
 
+def _context(kind: str) -> str:
+    """A pattern, in a form that other engines read too, for any context word of a kind as a whole word of a lower-cased text."""
+    return f"(^|[^a-z0-9])({'|'.join(CONTEXT[kind])})($|[^a-z0-9])"
+
+
 def _scored(kind: str, blocks_: Column, spans: Column) -> Column:
     def one(s):
         before = part_of(blocks_, F.greatest(s["start"] - NEAR, F.lit(0)), s["start"])
         after = part_of(blocks_, s["end"], s["end"] + NEAR)
         around = F.lower(F.concat(before, F.lit(" "), after))
-        near = F.lit(False)
-        for word in CONTEXT[kind]:
-            near = near | around.contains(word)
-        score = F.lit(SCORE[kind]) + F.when(near, CONTEXT_SCORE).otherwise(0.0)
+        score = F.lit(SCORE[kind]) + F.when(around.rlike(_context(kind)), CONTEXT_SCORE).otherwise(0.0)
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score.alias("score"))
 
     return F.transform(spans, one)
@@ -197,11 +205,12 @@ def _listed(spans: Column) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Counts of the base kinds, digest of the base spans, and all spans, for each row."""
+    """Counts of the base kinds, digest of the base spans, all spans and their scores (in hundredths), for each row."""
     found = find_pii(docs.select("doc_id", "text")).select("doc_id", "pii")
     counts = [F.size(F.filter("pii", _is(k))).cast("long").alias(f"n_{k}") for k in BASE]
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE))
-    return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("pii")).alias("spans"))
+    scores = F.array_join(F.transform("pii", lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",").alias("scores")
+    return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("pii")).alias("spans"), scores)
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -238,6 +247,8 @@ def oracle() -> str:
         "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
         "iban": r"[A-Za-z0-9]+",
         "ssn": r"[0-9-]+",
+        "birth": r"[0-9-]+",
+        "passport": r"[A-Za-z0-9]+",
     }
     digits = "regexp_replace(m, '[^0-9]', '', 'g')"
     luhn_sum = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN i % 2 = 0 THEN CASE WHEN reverse({digits})[i]::INT > 4 THEN reverse({digits})[i]::INT * 2 - 9 ELSE reverse({digits})[i]::INT * 2 END ELSE reverse({digits})[i]::INT END))"
@@ -250,25 +261,27 @@ def oracle() -> str:
         "card": f"CASE WHEN length({digits}) BETWEEN 13 AND 19 THEN {luhn_sum} % 10 = 0 ELSE false END",
         "phone": f"length({digits}) BETWEEN 9 AND 15",
         "iban": f"CASE WHEN regexp_full_match(m, '[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}') THEN {rest} = 1 ELSE false END",
-        "ssn": "regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')",
+        "ssn": "regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AND substring(m, 1, 3) NOT IN ('000', '666') AND substring(m, 1, 1) <> '9' AND substring(m, 5, 2) <> '00' AND substring(m, 8) <> '0000'",
+        "birth": "regexp_full_match(m, '(19|20)[0-9]{2}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])')",
+        "passport": "regexp_full_match(m, '[A-Z][0-9]{8}')",
     }
     parts = []
     for n, kind in enumerate((*BASE, *EXTRA)):
-        near = " OR ".join(f"contains(ctx, '{w}')" for w in CONTEXT[kind])
-        enough = f"AND ({SCORE[kind]} + CASE WHEN {near} THEN {CONTEXT_SCORE} ELSE 0 END) >= {THRESHOLD}" if kind in EXTRA else ""
+        score = f"{round(SCORE[kind] * 100)} + CASE WHEN regexp_matches(ctx, '{_context(kind)}') THEN {round(CONTEXT_SCORE * 100)} ELSE 0 END"
+        enough = f"AND {score} >= {round(THRESHOLD * 100)}" if kind in EXTRA else ""
         parts.append(f"""
-SELECT r, {n} AS k, '{kind}' AS kind, s, e FROM (
+SELECT r, {n} AS k, '{kind}' AS kind, s, e, {score} AS score FROM (
   SELECT r, m, s, s + length(m) AS e,
          lower(substring(text, greatest(s - {NEAR}, 0) + 1, least(s, {NEAR})) || ' ' || substring(text, s + length(m) + 1, {NEAR})) AS ctx
   FROM (SELECT r, text, ms[i] AS m, (list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s
         FROM (SELECT r, text, ms, gs, unnest(range(1, len(ms) + 1)) AS i
               FROM (SELECT r, text, regexp_extract_all(text, '{plain[kind]}') AS ms, string_split_regex(text, '{plain[kind]}') AS gs FROM d)))
-) WHERE {valid[kind]} {enough}""")
+) WHERE ({valid[kind]}) {enough}""")
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 f AS ({' UNION ALL '.join(parts)}),
 g AS (SELECT r, {', '.join(f"count(*) FILTER (kind = '{k}')::BIGINT AS n_{k}" for k in BASE)},
         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) FILTER (k < {len(BASE)}) AS base,
-        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) AS spans FROM f GROUP BY r)
-SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) AS spans, string_agg(score, ',' ORDER BY k, s) AS scores FROM f GROUP BY r)
+SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
 FROM d LEFT JOIN g USING (r)"""
