@@ -449,7 +449,7 @@ def test_context_decides_as_whole_words(spark):
         6: ("passport C01234567", "passport:9:18", "50"),
         7: ("passports C01234567 c01234567", "", ""),
         8: ("Reisepass: C01234567X", "", ""),
-        9: ("ssn 000-12-3456 666-12-3456 912-12-3456 123-00-3456 123-12-0000 123-12-3456", "ssn:64:75", "50"),
+        9: ("ssn 000-12-3456 666-12-3456 912-12-3456 123-00-3456 123-12-0000 123-12-3456 ssn", "ssn:64:75", "50"),
         10: ("dossn 123-12-3456", "", ""),
         11: ("hotel 10.0.0.1 ship", "ip:6:14", "60"),
         12: ("the ip 10.0.0.1", "ip:7:15", "80"),
