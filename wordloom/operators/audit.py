@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import draw
-from .contracts import has_expression
+from ..functions.tables import first_of, looked_up, sum_of
+from .contracts import LETTERS, has_expression
 
 #: Words that hardly end a span, conjunctions that hardly start one, words that open
 #: a clause, and verbs that make one.
@@ -18,6 +19,20 @@ CLAUSE_MARKERS = ("although", "because", "if", "since", "that", "though", "unles
 CLAUSE_VERBS = ("is", "are", "was", "were", "be", "been", "has", "have", "had", "does", "do", "did")
 
 
+# What a span of words is worth, and what adds to it or takes from it.
+SPAN_WORTH = 1.0
+SPAN_PARTS = {"one word": 0.35, "two words": 0.5, "conjunction first": -0.35, "boundary word last": -0.4}
+# The fields of a review by what the case answers: a letter, AMBIGUOUS or anything else.
+EXPECTED = {
+    "grammar_validity": {"letter": "PASS", "ambiguous": "AMBIGUOUS", "other": "FAIL"},
+    "detected_errors": {"letter": 1, "ambiguous": 0, "other": 0},
+    "one_error_only": {"letter": "PASS", "ambiguous": "AMBIGUOUS", "other": "AMBIGUOUS"},
+    "target_metadata": {"letter": "PASS", "ambiguous": "FAIL", "other": "FAIL"},
+}
+# Sources of failures, the first that applies.
+FAILURE_SOURCES = {"no exit, timed out": "subprocess_timeout", "no exit": "subprocess_error", "CONTRACT_VALIDATION_ERROR": "contract_validation", "SCHEMA_COMPATIBILITY_ERROR": "transport_schema"}
+
+
 def islands(rows: DataFrame, line: Sequence[str], at: str, max_gap: int, least: int) -> DataFrame:
     """Runs of points on a line: start, end (exclusive) and n of each run of ``least`` or more.
 
@@ -55,10 +70,8 @@ def mutation_audit(edits: Column, declared_kind: Column, declared_size: Column)
 
 def lexical_quality(words: Column) -> Column:
     """Score of a span of lower-cased words: short ones gain, those that start or end badly lose."""
-    first, last, n = F.get(words, F.lit(0)), F.element_at(words, -1), F.size(words)
-    score = F.lit(1.0) + F.when(n == 1, 0.35).when(n == 2, 0.5).otherwise(0.0)
-    score = score - F.when(first.isin(*CONJUNCTIONS), 0.35).otherwise(0.0) - F.when(last.isin(*BOUNDARY_WORDS), 0.4).otherwise(0.0)
-    return F.round(score, 4)
+    holds = {"one word": F.size(words) == 1, "two words": F.size(words) == 2, "conjunction first": F.get(words, F.lit(0)).isin(*CONJUNCTIONS), "boundary word last": F.element_at(words, -1).isin(*BOUNDARY_WORDS)}
+    return F.round(SPAN_WORTH + sum_of(SPAN_PARTS, holds), 4)
 
 
 def clause_like(words: Column) -> Column:
@@ -120,14 +133,11 @@ def adapted_counts(counts: Column, caps: Sequence[int], weights: Sequence[int],
 
 def expected_review(case_answer: Column, verdict: Column, given: Column) -> dict[str, Column]:
     """The review that a case leads one to expect, field by field."""
-    letter = case_answer.isin("A", "B", "C", "D")
-    validity = F.when(letter, "PASS").when(case_answer == "AMBIGUOUS", "AMBIGUOUS").otherwise("FAIL")
-    marks = [F.when(letter & (case_answer == x), "ERROR").otherwise("ACCEPTABLE") for x in "ABCD"]
-    return {
-        "verdict": verdict, "critical_failure": verdict == "REJECT", "answer_match": case_answer == given, "grammar_validity": validity,
-        "detected_errors": F.when(letter, 1).otherwise(0), "detected_position": F.when(letter, case_answer).otherwise("NONE"),
-        "one_error_only": F.when(letter, "PASS").otherwise("AMBIGUOUS"), "target_metadata": F.when(letter, "PASS").otherwise("FAIL"), "assessments": F.concat_ws(",", *marks),
-    }
+    kind = F.when(case_answer.isin(*LETTERS), "letter").when(case_answer == "AMBIGUOUS", "ambiguous").otherwise("other")
+    told = {field: looked_up(by_kind, kind) for field, by_kind in EXPECTED.items()}
+    marks = [F.when(case_answer == x, "ERROR").otherwise("ACCEPTABLE") for x in LETTERS]
+    position = F.when(kind == "letter", case_answer).otherwise("NONE")
+    return told | {"verdict": verdict, "critical_failure": verdict == "REJECT", "answer_match": case_answer == given, "detected_position": position, "assessments": F.concat_ws(",", *marks)}
 
 
 def selection_errors(candidates: Column, chosen: Column, rejected: Column, n: int) -> Column:
@@ -145,12 +155,7 @@ def selection_errors(candidates: Column, chosen: Column, rejected: Column, n: in
 
 
 def failure_source(classification: Column, exit_code: Column, detail: Column, provider: Column) -> Column:
-    """Where a failure came from; null without one."""
-    timeout = F.lower(F.coalesce(detail, F.lit(""))).rlike("timeout|timed out")
-    return (
-        F.when(classification.isNull(), F.lit(None))
-        .when(exit_code.isNull(), F.when(timeout, "subprocess_timeout").otherwise("subprocess_error"))
-        .when(classification == "CONTRACT_VALIDATION_ERROR", "contract_validation")
-        .when(classification == "SCHEMA_COMPATIBILITY_ERROR", "transport_schema")
-        .otherwise(provider)
-    )
+    """Where a failure came from; null without one, the provider's own word where no row of the table applies."""
+    late = F.lower(F.coalesce(detail, F.lit(""))).rlike("timeout|timed out")
+    holds = {name: classification == name for name in FAILURE_SOURCES} | {"no exit, timed out": exit_code.isNull() & late, "no exit": exit_code.isNull()}
+    return F.when(classification.isNotNull(), first_of(FAILURE_SOURCES, holds, provider))

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.tables import first_of, sum_of
 from .audit import CLAUSE_MARKERS, CONJUNCTIONS
 
 # Words by class.
@@ -79,22 +80,6 @@ def classified(sentences: DataFrame, key: str, words: str, listed: DataFrame) ->
     return sentences.join(grouped, key, "left").withColumn("classes", F.coalesce("classes", F.array().cast("array<array<string>>")))
 
 
-def first_of(rules: list[tuple[float, Column]], otherwise: float) -> Column:
-    """The value of the first condition that holds."""
-    out: Column | None = None
-    for value, holds in rules:
-        out = F.when(holds, value) if out is None else out.when(holds, value)
-    return out.otherwise(otherwise)
-
-
-def sum_of(rules: list[tuple[float, Column]]) -> Column:
-    """The values of all conditions that hold, added up."""
-    out = F.lit(0.0)
-    for value, holds in rules:
-        out = out + F.when(holds, value).otherwise(0.0)
-    return out
-
-
 def score(classes: Column, start: Column, end: Column) -> Column:
     """The coherence of the span of words from ``start`` to ``end`` (exclusive), given the classes of all words of its sentence."""
     span = F.slice(classes, start + 1, end - start)
@@ -128,6 +113,5 @@ def score(classes: Column, start: Column, end: Column) -> Column:
         "auxiliary cut from verb": is_(last, "auxiliary") & is_(after, "verb"),
         "verb preposition": is_(first, "verb") & is_(last, "preposition") & after.isNotNull(),
     }
-    table = lambda values, holds: [(v, holds[name]) for name, v in values.items()]
-    several = F.greatest(F.lit(0.0), F.round(first_of(table(SHAPES, shapes), TOGETHER) - sum_of(table(CUTS, cuts)), 4))
-    return F.when(end - start == 1, first_of(table(SINGLE, single), ALONE)).when(end > start, several)
+    several = F.greatest(F.lit(0.0), F.round(first_of(SHAPES, shapes, TOGETHER) - sum_of(CUTS, cuts), 4))
+    return F.when(end - start == 1, first_of(SINGLE, single, ALONE)).when(end > start, several)

@@ -29,6 +29,15 @@ def envelope_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.load_keyed(spark, folder, _ITEM, "p_partkey").select("p_partkey", "p_brand", "p_size")
 
 
+@query("SELECT s_suppkey + 1 AS id, s_name AS name, s_nationkey AS nation FROM supplier")
+def numbered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record a file, read under a declared schema; their numbers must be exactly those from 1 on."""
+    folder, suppliers = fresh_folder(spark, "numbered"), load(spark, sf_dir, "supplier")
+    rows = suppliers.select((F.col("s_suppkey") + 1).alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
+    rows.select(F.to_json(F.struct("*")).alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    return rec.expect_ids(rec.read_json(spark, folder, "id long, name string, nation int"), "id", suppliers.count())
+
+
 @query("""
 WITH r AS (SELECT o_custkey, o_orderkey, o_orderpriority, (o_orderkey % 3 + 1) AS round FROM orders),
 b AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY round DESC, o_orderkey DESC) AS i FROM r)

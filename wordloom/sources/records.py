@@ -6,12 +6,29 @@ does not parse is an error unless a reader says otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.integrity import require_unique
 
 
+class UnreadableRecord(ValueError):
+    """A file that should hold one record and doesn't."""
+
+
+def read_document(spark: SparkSession, path: str, schema: str) -> Row:
+    """The one record of a file; UnreadableRecord if the file is missing, broken, empty or has several."""
+    try:
+        rows = read_json(spark, path, schema).take(2)
+    except (PySparkException, Py4JJavaError) as error:
+        raise UnreadableRecord(f"{path}: {str(error).splitlines()[0]}") from error
+    if len(rows) != 1:
+        raise UnreadableRecord(f"{path} has {len(rows) or 'no'} records")
+    return rows[0]
+
+
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One record a file; a file that breaks the schema fails the read."""
     return spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
@@ -158,7 +175,3 @@ def spread(rows: DataFrame, key: str, label: str, labels: list[str], *measures:
             wide = wide.withColumnRenamed(x, f"{x}_{measures[0]}")
     return wide
 
-
-def without_internal(entries: Column) -> Column:
-    """A map without keys that start with an underscore and without nulls."""
-    return F.map_filter(entries, lambda k, v: ~k.startswith("_") & v.isNotNull())
