@@ -44,3 +44,10 @@ def test_both_sides_of_id_sets(spark):
 
     a, b = (spark.createDataFrame([(x,) for x in ids], "k long") for ids in ((1, 2, 2, 3), (3, 4, 4)))
     assert {(r.k, r.side) for r in raters.id_sets(a, b, "k").collect()} == {(1, "missing"), (2, "missing"), (4, "unexpected")}
+
+
+def test_phrases_that_are_too_many_to_broadcast(same_rows, monkeypatch):
+    from wordloom.plans import text_queries
+
+    monkeypatch.setattr(text_queries, "MOST_PHRASES", 0)
+    same_rows(catalogue.queries()["phrase_occurrences"], catalogue.oracle_sql()["phrase_occurrences"])

@@ -119,3 +119,26 @@ def test_publish_resumes(spark, tmp_path, monkeypatch):
     assert integrity.verify(spark, run).collect() == [] and spark.read.json(f"{run}/data/b").count() == 20
     with pytest.raises(ValueError, match="complete"):
         integrity.publish(tables, "", run)
+
+
+def test_verified_union_refuses(spark, tmp_path):
+    folder, columns = f"file://{tmp_path}", {"k": F.col("id"), "t": F.col("t")}
+    table = lambda *ids: spark.createDataFrame([(i, "x") for i in ids], "id long, t string")
+    run = lambda *ids: integrity.publish({"items": table(*ids)}, folder)
+    union = lambda **runs: integrity.verified_union(spark, {n: (r, "items", "id long, t string", columns) for n, r in runs.items()}, "k")
+    good = run(1, 2)
+    assert sorted(map(tuple, union(b=run(2, 3), a=good).collect())) == [("a", 1, "x"), ("a", 2, "x"), ("b", 2, "x"), ("b", 3, "x")]
+    for ids in ((1, 1), (1, None)):
+        with pytest.raises(integrity.UnverifiedRun, match="repeated"):
+            union(a=good, b=run(*ids))
+    with pytest.raises(integrity.UnverifiedRun, match="no items"):
+        union(a=good, b=run())
+    changed, lacking = run(5), run(6)
+    [part] = [p for p in (tmp_path / changed.rpartition("/")[2] / "data" / "items").iterdir() if p.name.startswith("part-") and p.stat().st_size]
+    part.write_text('{"id":9,"t":"x"}\n')
+    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(integrity.UnverifiedRun, match="b: part.*changed"):
+        union(a=good, b=changed)
+    (tmp_path / lacking.rpartition("/")[2] / "status" / "COMPLETE").unlink()
+    with pytest.raises(integrity.UnverifiedRun, match="COMPLETE missing"):
+        union(a=good, b=lacking)

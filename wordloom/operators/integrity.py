@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -67,3 +67,32 @@ def require_unique(rows: DataFrame, *keys: str) -> DataFrame:
     if bad:
         raise ValueError(f"key {tuple(bad[0])[: len(keys)]} is missing or repeated")
     return rows
+
+
+class UnverifiedRun(ValueError):
+    """A section whose run is incomplete or changed, or whose items are not sound."""
+
+
+def verified_union(spark: SparkSession, sections: dict[str, tuple[str, str, str, dict[str, Column]]], key: str) -> DataFrame:
+    """The items of several sections' published runs as one table, each run verified before a row of it is read.
+
+    ``sections`` gives by name the run, its table, the table's schema and the columns that make an
+    item of it; all sections must make the same columns, ``key`` among them. A run with a fault, a
+    section without items, and a key that is null or stands twice in its section are errors; the
+    same key in two sections is not. The order of the sections has no effect.
+    """
+    whole = None
+    for name in sorted(sections):
+        run, table, schema, columns = sections[name]
+        faults = verify(spark, run).limit(5).collect()
+        if faults:
+            raise UnverifiedRun(f"{name}: {', '.join(f'{r.name} {r.fault}' for r in faults)}")
+        items = spark.read.schema(schema).option("mode", "FAILFAST").json(f"{run}/data/{table}").select(F.lit(name).alias("section"), *[c.alias(n) for n, c in sorted(columns.items())])
+        whole = items if whole is None else whole.unionByName(items)
+    counts = {r["section"]: r["n"] for r in whole.groupBy("section").agg(F.count("*").alias("n")).collect()}  # a row a section
+    if empty := sorted(set(sections) - set(counts)):
+        raise UnverifiedRun(f"{', '.join(empty)}: no items")
+    wrong = whole.groupBy("section", key).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(key).isNull()).take(1)
+    if wrong:
+        raise UnverifiedRun(f"{wrong[0]['section']}: {key} {wrong[0][key]} is missing or repeated")
+    return whole

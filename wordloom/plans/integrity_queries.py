@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json_text as js
 from ..functions.hashing import canonical, sha256, table_digest
+from ..operators import integrity as ig
 from ..operators import rules as ru
 from ..sources import file_tree as files
 from ..sources.storage import fresh_folder
@@ -168,3 +169,21 @@ def file_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     frozen = _part_files(spark, parts.where("p_type <> 'LARGE' OR p_brand <> 'Brand#3'"))
     later = parts.where("p_brand <> 'Brand#5' OR p_type <> 'PROMO'").withColumn("p_size", F.when(F.col("p_retailprice") > 995, F.col("p_size") + 1).otherwise(F.col("p_size")))
     return files.drift(frozen, _part_files(spark, later))
+
+
+@query("""
+SELECT 'orders' AS section, o_orderkey AS item_id, o_orderstatus AS label, round(o_totalprice, 2) AS amount FROM orders UNION ALL SELECT 'parts', p_partkey, p_brand, round(p_retailprice, 2) FROM part
+UNION ALL SELECT 'customers', c_custkey, c_mktsegment, round(c_acctbal, 2) FROM customer""")
+def verified_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sections' runs, published, verified by their manifests and brought to one form."""
+    kinds = {
+        "orders": ("orders", "o_orderkey long, o_orderstatus string, o_totalprice double"),
+        "parts": ("part", "p_partkey long, p_brand string, p_retailprice double"),
+        "customers": ("customer", "c_custkey long, c_mktsegment string, c_acctbal double"),
+    }
+    folder, sections = fresh_folder(spark, "sections"), {}
+    for section, (table, schema) in kinds.items():
+        key, label, amount = (c.split()[0] for c in schema.split(", "))
+        run = ig.publish({"items": load(spark, sf_dir, table).select(key, label, amount)}, folder)
+        sections[section] = (run, "items", schema, {"item_id": F.col(key), "label": F.col(label), "amount": F.round(F.col(amount), 2)})
+    return ig.verified_union(spark, sections, "item_id")

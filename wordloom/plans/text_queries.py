@@ -79,6 +79,10 @@ def content_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.withColumn("d", after).where("d IS NOT NULL").select("conv_id", "turn", tx.jaccard(F.col("c"), F.col("d")).alias("overlap"))
 
 
+#: So many phrases of five words (about 200 bytes each) are broadcast.
+MOST_PHRASES = 200_000
+
+
 @query(r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+(?:[''’\-][\p{L}\p{N}]+)*') AS w FROM documents),
 i AS (SELECT item_id, regexp_extract_all(text, '[\p{L}\p{N}]+(?:[''’\-][\p{L}\p{N}]+)*') AS w FROM benchmark),
@@ -88,17 +92,24 @@ SELECT doc_id, item_id, count(*)::BIGINT AS n FROM r JOIN b USING (phrase) GROUP
 def phrase_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often phrases of five words of each benchmark item stand in each document.
 
-    Windows meet phrases by an equality join on a hash and on the five words, which is all that
-    a window carries; each document's counts are partly summed before they are shuffled.
+    Windows meet phrases by a hash; where one is met, the words themselves are compared. The phrases
+    are counted first: as many as are broadcast meet the windows where these are made, so that no
+    window is shuffled; beyond that, hashes and words are. Each document's counts are partly
+    summed before they are shuffled.
     """
 
     def windows(name: str, key: str) -> DataFrame:
         words = load(spark, sf_dir, name).select(key, tx.lexical_tokens(F.col("text")).alias("w")).where(F.size("w") >= 5)
-        starts = F.sequence(F.lit(1), F.size("w") - 4)
-        each = words.select(key, F.explode(F.transform(starts, lambda i: F.slice("w", i, 5))).alias("phrase"))
-        return each.select(key, F.xxhash64("phrase").alias("key"), "phrase")
-
-    met = windows("documents", "doc_id").join(windows("benchmark", "item_id").distinct(), ["key", "phrase"])
+        hashes = F.transform(F.sequence(F.lit(0), F.size("w") - 5), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(5)]))
+        return words.select(key, "w", F.posexplode(hashes).alias("i", "key"))
+
+    phrase = F.slice("w", F.col("i") + 1, 5)
+    phrases = windows("benchmark", "item_id").select("item_id", "key", phrase.alias("phrase")).distinct()
+    every = windows("documents", "doc_id")
+    if phrases.count() <= MOST_PHRASES:
+        met = every.join(F.broadcast(phrases), "key").where(phrase == F.col("phrase"))
+    else:
+        met = every.select("doc_id", "key", phrase.alias("phrase")).join(phrases, ["key", "phrase"])
     return met.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"))
 
 
