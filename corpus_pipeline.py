@@ -19,7 +19,11 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates.
+
+    Candidates meet in buckets of MinHash bands, as fingerprints alone can't reach a similarity of
+    0.8; wide SimHash fingerprints and pivots thin them, exact shingle similarity decides.
+    """
     return simhash.keep_first(docs)
 
 
