@@ -132,18 +132,21 @@ def write_csv_records(records: DataFrame, entries: str, order: list[str], path:
     found = [f"{parts}/{name}" for name, _ in files.names(parts) if name.startswith("part-")]
 
     def joined(batches):
+        import re
         import uuid
 
         import pyarrow as pa
         from pyarrow import fs as afs
 
+        # Hadoop writes local paths with one slash.
+        at = lambda name: afs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", name))
         for batch in batches:
-            fs, where = afs.FileSystem.from_uri(path)
+            fs, where = at(path)
             fresh = f"{where}.{uuid.uuid4().hex}"
             with fs.open_output_stream(fresh) as out:
                 out.write(f"\ufeff{top}\n".encode())
                 for part in found:
-                    with fs.open_input_stream(afs.FileSystem.from_uri(part)[1]) as lines:
+                    with fs.open_input_stream(at(part)[1]) as lines:
                         rest = b""
                         while block := lines.read(1 << 20):
                             # A character must not be cut in two before it is put back.
