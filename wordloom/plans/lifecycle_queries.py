@@ -89,11 +89,13 @@ def versioned_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = StateStore(spark, fresh_folder(spark, "states"), "o_orderkey long, state string, history array<string>, refused long, version long", "o_orderkey")
     first = load(spark, sf_dir, "orders").select("o_orderkey", F.lit("GENERATED").alias("state"), F.array(F.lit("GENERATED")).alias("history"), F.lit(0).alias("refused"), F.lit(1).alias("version"))
     at = store.save(first, 0)
+    asked = fresh_folder(spark, "asked")
     lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max_by(F.expr(_WANTED), F.expr(f"lpad(cast(l_partkey * 100000L + l_suppkey AS string), 20, '0') || {_WANTED}")).alias("wanted"))
+    lines.where("l_linenumber BETWEEN 1 AND 7").select(F.col("l_orderkey").alias("o_orderkey"), "wanted", F.col("l_linenumber").alias("round")).write.partitionBy("round").parquet(asked)
     refused = {}
     for round_ in range(1, 8):
         rows, seen = store.load()
-        met = rows.join(lines.where(F.col("l_linenumber") == round_).select(F.col("l_orderkey").alias("o_orderkey"), "wanted"), "o_orderkey")
+        met = rows.join(spark.read.schema("o_orderkey long, wanted string, round int").parquet(asked).where(F.col("round") == round_).drop("round").hint("merge"), "o_orderkey")
         legal = F.coalesce(li.allowed(F.col("state"), F.col("wanted")), F.lit(False))
         state = F.when(legal, F.col("wanted")).otherwise(F.col("state")).alias("state")
         history = F.when(legal, F.array_append("history", F.col("wanted"))).otherwise(F.col("history")).alias("history")

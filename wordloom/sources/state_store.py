@@ -17,7 +17,7 @@ import time
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,7 +137,11 @@ class StateStore:
         return json.loads(self.files.read(f"{self.folder}/versions/{version:012d}"))["data"] if version else []
 
     def _merged(self, folders: list[str]) -> DataFrame:
-        """The newest row of each key. The base meets only the keys that have changed."""
+        """The newest row of each key. The base meets only the keys that have changed.
+
+        Joins of this table are merge joins: files of keys are so small for their rows that Spark
+        would broadcast millions of keys, which all pass through the driver.
+        """
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         read = lambda name: self.spark.read.schema(self.schema).parquet(f"{self.folder}/data/{name}")
@@ -148,7 +152,7 @@ class StateStore:
         if changes is None:
             return base
         newest = changes.groupBy(self.key).agg(F.max_by("held.row", "held.n").alias("row"))
-        return base.join(newest.select(self.key), self.key, "left_anti").select(self.schema.names).unionByName(newest.select("row.*"))
+        return base.join(newest.select(self.key).hint("merge"), self.key, "left_anti").select(self.schema.names).unionByName(newest.select("row.*"))
 
     def load(self, version: int | None = None) -> tuple[DataFrame, int]:
         """(rows, version): the last one, or the one that is asked for."""
@@ -163,9 +167,8 @@ class StateStore:
     def broken(self, changes: DataFrame, seen: int) -> DataFrame:
         """The key and the broken rules of each row of ``changes`` that can't be saved on top of version ``seen``."""
         stored = self.load(seen)[0].select(F.col(self.key).alias("_key"), F.col(self.history).alias("_past"))
-        own = changes.select(self.schema.names).withColumn("_n", F.lit(1))
-        repeated = own.groupBy(self.key).agg(F.count("*").alias("_times"))
-        told = own.join(repeated, own[self.key].eqNullSafe(repeated[self.key])).drop(repeated[self.key]).join(stored, F.col(self.key) == F.col("_key"), "left")
+        own = changes.select(self.schema.names).withColumn("_times", F.count("*").over(Window.partitionBy(self.key)))
+        told = own.join(stored.hint("merge"), F.col(self.key) == F.col("_key"), "left")
         past, held = F.col(self.history), F.col("_past")
         rules = {"no_key": F.col(self.key).isNull(), "repeated_key": F.col(self.key).isNotNull() & (F.col("_times") > 1), **self.rules}
         rules["history_rewritten"] = held.isNotNull() & ~F.slice(past, 1, F.greatest(F.size(held), F.lit(1))).eqNullSafe(held)
