@@ -117,3 +117,17 @@ def test_csv_of_no_records(spark, tmp_path):
     none = spark.createDataFrame([], "i int, m map<string,string>")
     assert records.write_csv_records(none, "m", ["i"], f"file://{tmp_path}/records.csv") == []
     assert (tmp_path / "records.csv").read_text("utf-8-sig").strip() == ""
+
+
+def test_long_lists_with_many_matches(spark):
+    """Both ends changed: all matching positions of 3,000 words count, some 90,000 of them, where their square took hours."""
+    r = random.Random(3)
+    a = [r.choice([f"w{i}" for i in range(100)]) for _ in range(3000)]
+    b = ["@@", *a[1:1500], *a[1510:-1], "@@"]
+    assert holds(a, b, scripts(spark, [(a, b)])[0])
+
+
+def test_the_chain_whose_last_point_comes_first():
+    from wordloom.functions.udfs import longest_chain
+
+    assert longest_chain("a b a".split(), "a a b".split()) == [(0, 0), (1, 2)] and longest_chain([None, "x"], ["x", None]) == [(0, 1)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import string
 import unicodedata
+from bisect import bisect_left, bisect_right
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -106,6 +107,63 @@ def token_diff(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([one(a, b) for a, b in zip(left, right)])
 
 
+OPERATION = T.StructType([T.StructField("kind", T.StringType()), *[T.StructField(n, T.IntegerType()) for n in ("i1", "i2", "j1", "j2")]])
+
+
+def longest_chain(a: list, b: list) -> list[tuple[int, int]]:
+    """The points (i, j) of a longest rising chain of equal tokens (null equals null): of several, the one whose last point comes first by (i, j), and so on back.
+
+    Hunt and Szymanski's method: the length of the longest chain that ends in a point is found by
+    bisection among the least j of each length so far. Of each length only points with a j below
+    all before are kept, as one of them is the first that any later point can follow. Time grows
+    with the number of matching positions times its logarithm, memory with the points kept.
+    """
+    places: dict = {}
+    for j, y in enumerate(b):
+        places.setdefault(y, []).append(j)
+    least: list[int] = []
+    kept: list[list[tuple[int, int]]] = []  # by length: j falls from point to point
+    for i, x in enumerate(a):
+        for j in reversed(places.get(x, ())):
+            at = bisect_left(least, j)
+            if at == len(least):
+                least.append(j)
+                kept.append([(i, j)])
+            elif j < least[at]:
+                least[at] = j
+                if kept[at][-1][0] == i:
+                    kept[at].pop()  # of one i the lowest j comes first
+                kept[at].append((i, j))
+    chain: list[tuple[int, int]] = []
+    for points in reversed(kept):
+        chain.append(points[bisect_right(points, -chain[-1][1], key=lambda p: -p[1])] if chain else points[0])
+    return chain[::-1]
+
+
+def operations(a: list, b: list) -> list[tuple[str, int, int, int, int]]:
+    """(kind, i1, i2, j1, j2) of what lies between the points of the longest chain; one block that only moved is one operation."""
+    room = min(len(a), len(b))
+    head = next((i for i in range(room) if a[i] != b[i]), room)
+    tail = next((i for i in range(room - head) if a[-1 - i] != b[-1 - i]), room - head)
+    stop, end = len(a) - tail, len(b) - tail
+    made, at, to = [], head, head
+    for i, j in [(i + head, j + head) for i, j in longest_chain(a[head:stop], b[head:end])] + [(stop, end)]:
+        if at < i or to < j:
+            made.append(("insertion" if at == i else "deletion" if to == j else "substitution", at, i, to, j))
+        at, to = i + 1, j + 1
+    if sorted(o[0] for o in made) == ["deletion", "insertion"]:
+        (_, i1, i2, _, _), (_, _, _, j1, j2) = sorted(made)
+        if a[i1:i2] == b[j1:j2]:
+            return [("move", i1, i2, j1, j2)]
+    return made
+
+
+@F.pandas_udf(T.ArrayType(OPERATION))
+def edit_operations(left: pd.Series, right: pd.Series) -> pd.Series:
+    """``operations`` of two token lists; null if a side is null."""
+    return pd.Series([None if a is None or b is None else [dict(zip(OPERATION.names, o)) for o in operations(list(a), list(b))] for a, b in zip(left, right)])
+
+
 @F.pandas_udf(T.BooleanType())
 def one_block_moved(left: pd.Series, right: pd.Series) -> pd.Series:
     """Whether one contiguous block of tokens was moved and nothing else changed.

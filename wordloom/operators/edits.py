@@ -12,37 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-POINT = "struct<i:int,j:int,length:int,before:int>"
-OPERATION = "struct<kind:string,i1:int,i2:int,j1:int,j2:int>"
-
-
-def _first_apart(a: Column, b: Column) -> Column:
-    """How many tokens two lists have in common at their beginning."""
-    same = F.zip_with(F.slice(a, 1, F.least(F.size(a), F.size(b))), F.slice(b, 1, F.least(F.size(a), F.size(b))), lambda x, y: x.eqNullSafe(y))
-    at = F.array_position(same, F.lit(False)).cast("int")
-    return F.when(at > 0, at - 1).otherwise(F.least(F.size(a), F.size(b)))
-
-
-def _chain(a: Column, b: Column) -> Column:
-    """The points (i, j) of a longest rising chain of equal tokens, in order."""
-    spots = F.flatten(F.transform(a, lambda x, i: F.transform(F.filter(F.transform(b, lambda y, j: F.when(x.eqNullSafe(y), j)), lambda j: j.isNotNull()), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    none = F.lit(None).cast(POINT)
-
-    def extend(held: Column, spot: Column) -> Column:
-        below = F.filter(F.transform(held, lambda p, n: F.struct(p["length"].alias("length"), (-n).alias("n"), p["i"].alias("i"), p["j"].alias("j"))), lambda p: (p["i"] < spot["i"]) & (p["j"] < spot["j"]))
-        best = F.array_max(F.transform(below, lambda p: F.struct(p["length"], p["n"])))
-        return F.array_append(held, F.struct(spot["i"].alias("i"), spot["j"].alias("j"), (F.coalesce(best["length"], F.lit(0)) + 1).alias("length"), (-best["n"]).alias("before")).cast(POINT))
-
-    points = F.aggregate(spots, F.array().cast(f"array<{POINT}>"), extend)
-    last = F.array_max(F.transform(points, lambda p, n: F.struct(p["length"].alias("length"), (-n).alias("n"))))
-
-    def back(held: Column, _: Column) -> Column:
-        point = F.when(held["at"].isNotNull(), F.get(held["points"], held["at"])).otherwise(none)
-        return F.struct(held["points"].alias("points"), point["before"].alias("at"), F.concat(F.array(F.struct(point["i"].alias("i"), point["j"].alias("j"))), held["out"]).alias("out"))
-
-    begin = F.struct(points.alias("points"), (-last["n"]).alias("at"), F.array().cast("array<struct<i:int,j:int>>").alias("out"))
-    steps = F.when(last["length"] > 0, F.sequence(F.lit(1), last["length"])).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, begin, back, lambda held: held["out"])
+from ..functions import udfs
 
 
 def edit_script(a: Column, b: Column) -> Column:
@@ -51,30 +21,9 @@ def edit_script(a: Column, b: Column) -> Column:
     All that lies between two common tokens is one operation. A move has the range that its block
     leaves (i1, i2) and the one that it comes to (j1, j2), and stands instead of a deletion and an
     insertion of the same tokens if these are all there is. Equal lists have none, null ones null.
-    Time and memory grow with the square of the matching positions of the part that changed.
+    Time grows with the matching positions of the part that changed, times their logarithm.
     """
-    head = _first_apart(a, b)
-    room = F.least(F.size(a), F.size(b)) - head
-    tail = F.least(_first_apart(F.reverse(a), F.reverse(b)), room)
-    own, other = (F.slice(x, head + 1, F.greatest(F.size(x) - head - tail, F.lit(0))) for x in (a, b))
-    ends = F.array(F.struct((F.size(a) - head - tail).alias("i"), (F.size(b) - head - tail).alias("j")))
-    chain = F.concat(_chain(own, other), ends)
-
-    def between(held: Column, point: Column) -> Column:
-        i1, j1 = held["i"], held["j"]
-        i2, j2 = point["i"], point["j"]
-        kind = F.when(i1 == i2, "insertion").when(j1 == j2, "deletion").otherwise("substitution")
-        made = F.struct(kind.alias("kind"), (i1 + head).alias("i1"), (i2 + head).alias("i2"), (j1 + head).alias("j1"), (j2 + head).alias("j2")).cast(OPERATION)
-        out = F.when((i1 < i2) | (j1 < j2), F.array_append(held["out"], made)).otherwise(held["out"])
-        return F.struct((i2 + 1).alias("i"), (j2 + 1).alias("j"), out.alias("out"))
-
-    zero = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.array().cast(f"array<{OPERATION}>").alias("out"))
-    made = F.aggregate(chain, zero, between, lambda held: held["out"])
-    gone = F.get(F.filter(made, lambda o: o["kind"] == "deletion"), F.lit(0))
-    come = F.get(F.filter(made, lambda o: o["kind"] == "insertion"), F.lit(0))
-    moved = (F.size(made) == 2) & gone.isNotNull() & come.isNotNull() & (tokens_of(a, gone["i1"], gone["i2"]) == tokens_of(b, come["j1"], come["j2"]))
-    move = F.array(F.struct(F.lit("move").alias("kind"), gone["i1"].alias("i1"), gone["i2"].alias("i2"), come["j1"].alias("j1"), come["j2"].alias("j2")).cast(OPERATION))
-    return F.when(a.isNotNull() & b.isNotNull(), F.when(F.coalesce(moved, F.lit(False)), move).otherwise(made))
+    return udfs.edit_operations(a, b)
 
 
 def tokens_of(tokens: Column, first: Column, stop: Column) -> Column:
