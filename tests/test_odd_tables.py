@@ -28,3 +28,11 @@ def same_on(spark, data, tmp_path):
 
 def test_rows_of_one_doc_id_are_one_document(same_on):
     same_on("paragraph_bands", documents="SELECT doc_id // 3 AS doc_id, text FROM '{data}/documents.parquet'")
+
+
+LINES = "SELECT * REPLACE (l_partkey * 49999 AS l_partkey, l_suppkey * 4999 AS l_suppkey) FROM '{data}/lineitem.parquet'"
+
+
+@pytest.mark.parametrize("name", ["run_reconciliation", "signature_variants"])
+def test_last_log_with_keys_of_large_tables(name, same_on):
+    same_on(name, lineitem=LINES, orders="SELECT * FROM '{data}/orders.parquet'")

@@ -12,7 +12,7 @@ def signature(errors: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(errors, plain)))
 
 
-def reconciled(logs: DataFrame, outcomes: DataFrame, formal: DataFrame, key: str, order: list[str], rules: list[tuple[Column, Column]]) -> DataFrame:
+def reconciled(logs: DataFrame, outcomes: DataFrame, formal: DataFrame, key: str, order: list[Column | str], rules: list[tuple[Column, Column]]) -> DataFrame:
     """Every key of any of the three, with multiplicities, the errors of its last log, and what is wrong.
 
     ``rules`` are (broken, message) over a log's columns, evaluated anew on the last log of a key by
