@@ -36,3 +36,8 @@ LINES = "SELECT * REPLACE (l_partkey * 49999 AS l_partkey, l_suppkey * 4999 AS l
 @pytest.mark.parametrize("name", ["run_reconciliation", "signature_variants"])
 def test_last_log_with_keys_of_large_tables(name, same_on):
     same_on(name, lineitem=LINES, orders="SELECT * FROM '{data}/orders.parquet'")
+
+
+def test_span_quality_tells_the_class(same_on):
+    got = same_on("span_quality", benchmark="SELECT * FROM '{data}/benchmark.parquet'")
+    assert {x for r in got for x in r} >= {"CLEARLY_INCOHERENT", "BORDERLINE", "COHERENT"}
