@@ -110,3 +110,13 @@ def test_offsets_are_those_of_the_text_as_given():
         assert text[places[start][0] : places[start + 3][1]] == "word"
         assert "".join(x for x, _, _ in nfc_pieces(text)) == unicodedata.normalize("NFC", text)
         assert "".join(text[a:b] for _, a, b in nfc_pieces(text)) == text
+
+
+def test_spans_between_offsets(spark):
+    from pyspark.sql import functions as F
+
+    from wordloom.functions import udfs
+
+    rows = spark.createDataFrame([("a b a b", "a", 1, 7), ("a b a b", "a", None, None)], "t string, w string, f int, s int")
+    got = [r.x for r in rows.select("f", udfs.expression_spans_between("t", "w", "f", "s").alias("x")).orderBy(F.col("f").desc_nulls_last()).collect()]
+    assert [tuple(s) for s in got[0]] == [(4, 5)] and got[1] is None

@@ -33,6 +33,7 @@ def nfc(text: pd.Series) -> pd.Series:
 
 
 PLAIN = str.maketrans("‘’“”–—", "''\"\"--")
+EDGES = string.punctuation + " "
 SPAN = T.StructType([T.StructField(n, T.IntegerType()) for n in ("start", "end")])
 
 
@@ -55,6 +56,11 @@ def nfc_pieces(text: str):
 
 def surface_with_offsets(text: str) -> tuple[str, list[tuple[int, int]]]:
     """The surface of a text (NFC, plain quotes and dashes, single blanks, bare edges, casefolded), and where each of its characters stands in the text as given."""
+    plain = re.sub(r"\s", " ", text).translate(PLAIN)
+    if "  " not in plain and len(plain.casefold()) == len(plain) and unicodedata.is_normalized("NFC", text):
+        # Each character stays one, so offsets only shift by what is cut off in front.
+        start, bare = len(plain) - len(plain.lstrip(EDGES)), plain.strip(EDGES)
+        return bare.casefold(), list(zip(range(start, start + len(bare)), range(start + 1, start + len(bare) + 1)))
     parts: list[tuple[str, int, int]] = []
     for form, start, end in nfc_pieces(text):
         for c in form:
@@ -88,6 +94,14 @@ def expression_spans(text: pd.Series, target: pd.Series) -> pd.Series:
     return pd.Series([one(a, b) for a, b in zip(text, target)])
 
 
+@F.pandas_udf(T.ArrayType(SPAN))
+def expression_spans_between(text: pd.Series, target: pd.Series, first: pd.Series, stop: pd.Series) -> pd.Series:
+    """Those ``expression_spans`` that lie between two offsets; null without these, and then the text is not searched."""
+    asked = first.notna() & stop.notna()
+    found = expression_spans.func(text.where(asked, None), target)
+    return pd.Series([None if s is None else [x for x in s if x["start"] >= a and x["end"] <= b] for s, a, b in zip(found, first, stop)], dtype="object")
+
+
 @F.pandas_udf(T.DoubleType())
 def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff/Obershelp ratio; null if a side is null."""
@@ -193,6 +207,42 @@ def display_lines(text: pd.Series) -> pd.Series:
     return text.map(lambda t: [x for p in t.split("\n") for x in (textwrap.wrap(p, 72, break_long_words=False, break_on_hyphens=False) or [""])], na_action="ignore")
 
 
+PARAGRAPH = T.StructType([T.StructField("body", T.StringType()), T.StructField("starts", T.ArrayType(T.IntegerType())), T.StructField("lines", T.ArrayType(T.StringType())), T.StructField("before", T.IntegerType())])
+#: White space as Unicode has it; Python's own class has four more controls.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+PARAGRAPH_GAP = re.compile("\n[ \t\n\x0b\f\r]*\n")
+
+
+def wrapped(body: str, width: int) -> list[int]:
+    """Offsets at which the display lines of a paragraph with single blanks begin; a word longer than a line has its own."""
+    at, begun, starts = 0, 0, [0]
+    for word in body.split(" "):
+        end = at + len(word)
+        if end - begun > width and at != begun:
+            begun = at
+            starts.append(at)
+        at = end + 1
+    return starts
+
+
+@F.pandas_udf(T.ArrayType(PARAGRAPH))
+def display_paragraphs(text: pd.Series, width: pd.Series) -> pd.Series:
+    """The paragraphs of a text (NFC, single blanks), the offsets of their display lines, these lines, and how many come before; null for null."""
+
+    def one(t, width):
+        plain = unicodedata.normalize("NFC", t).replace("\r\n", "\n").replace("\r", "\n")
+        out, before = [], 0
+        for body in (BLANKS.sub(" ", p).strip(" ") for p in PARAGRAPH_GAP.split(plain)):
+            if body:
+                starts = wrapped(body, width)
+                lines = [body[s : e - 1] for s, e in zip(starts, [*starts[1:], len(body) + 1])]
+                out.append({"body": body, "starts": starts, "lines": lines, "before": before})
+                before += len(lines)
+        return out
+
+    return pd.Series([None if t is None else one(t, w) for t, w in zip(text, width)], dtype="object")
+
+
 def _walk(value, path: str = "$"):
     """(path, key, value) of every key at any depth."""
     if isinstance(value, dict):

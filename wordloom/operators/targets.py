@@ -9,7 +9,7 @@ nothing is chosen by order or nearness.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -34,14 +34,8 @@ def line_starts(body: Column, width: int = WIDTH) -> Column:
 
 def paragraphs(passages: DataFrame, key: str, text: str = "text", width: int = WIDTH) -> DataFrame:
     """The paragraphs of passages: key, paragraph (from 1), body (NFC, single blanks), starts and lines, before (lines of paragraphs before it)."""
-    plain = F.regexp_replace(udfs.nfc(F.col(text)), r"\r\n?", "\n")
-    bodies = F.filter(F.transform(F.split(plain, r"\n\s*\n"), lambda p: F.trim(F.regexp_replace(p, r"(?U)\s+", " "))), lambda p: p != "")
-    each = passages.select(key, F.posexplode(bodies).alias("i", "body")).select(key, (F.col("i") + 1).alias("paragraph"), "body")
-    wrapped = each.withColumn("starts", line_starts(F.col("body"), width))
-    stops = F.concat(F.transform(F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0))), lambda s: s - 1), F.array(F.length("body")))
-    lines = F.transform(F.arrays_zip("starts", stops.alias("stops")), lambda x: F.substring(F.col("body"), x["starts"] + 1, x["stops"] - x["starts"]))
-    earlier = Window.partitionBy(key).orderBy("paragraph").rowsBetween(Window.unboundedPreceding, -1)
-    return wrapped.withColumn("lines", lines).withColumn("before", F.coalesce(F.sum(F.size("lines")).over(earlier), F.lit(0)).cast("int"))
+    each = passages.select(key, F.posexplode(udfs.display_paragraphs(F.col(text), F.lit(width))).alias("i", "p"))
+    return each.select(key, (F.col("i") + 1).alias("paragraph"), "p.body", "p.starts", "p.lines", "p.before")
 
 
 def _folded(text: Column) -> Column:
@@ -62,8 +56,8 @@ def anchored_lines(asked: DataFrame, parts: DataFrame, key: str) -> DataFrame:
     # Offsets in the lower-cased paragraph are its own only if lower-casing keeps its length.
     begin = F.when(F.length(body) == F.length("body"), _once(body, anchor))
     met = met.withColumn("_from", begin).withColumn("_to", F.col("_from") + F.length(anchor))
-    spans = F.filter(udfs.expression_spans("body", "target"), lambda s: (s["start"] >= F.col("_from")) & (s["end"] <= F.col("_to")))
-    met = met.withColumn("_spans", F.when(F.col("_from").isNotNull(), spans))
+    # Not a filter by a lambda, which would search the paragraph for its anchor again for each span.
+    met = met.withColumn("_spans", udfs.expression_spans_between("body", "target", "_from", "_to"))
     span = F.get("_spans", F.lit(0))
     number = F.size(F.filter("starts", lambda s: s <= span["start"]))
     inside = span["end"] <= F.element_at("starts", number) + F.length(F.element_at("lines", number))
@@ -82,8 +76,9 @@ def normalized_targets(passages: DataFrame, questions: DataFrame, key: str, text
     parts = paragraphs(passages, key, text, width)
     lines = parts.select(F.col(key).alias("_key"), "before", F.posexplode("lines").alias("i", "shown")).select("_key", (F.col("before") + F.col("i") + 1).alias("number"), "shown")
     asked = questions.where(F.trim("target") != "")
-    met = asked.join(lines, F.col(key) == F.col("_key"))
-    hit = has_expression(F.lower("shown"), _folded(udfs.nfc("target")))
+    wanted = asked.select(key, "question", _folded(udfs.nfc("target")).alias("_wanted"))  # once a question, not once a line
+    met = wanted.join(lines, F.col(key) == F.col("_key"))
+    hit = has_expression(F.lower("shown"), F.col("_wanted"))
     hits = met.groupBy(key, "question").agg(F.array_sort(F.collect_list(F.when(hit, F.col("number")))).alias("matches"))
     told = anchored_lines(asked, parts, key).join(hits, [key, "question"])
     n, stands = F.size("matches"), F.coalesce(F.array_contains("matches", F.col("declared")), F.lit(False))
