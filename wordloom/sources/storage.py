@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,3 +19,11 @@ def fresh_folder(spark: SparkSession, kind: str) -> str:
         sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="wordloom-"))
         named = sc.getCheckpointDir()
     return f"{named.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def opened(uri: str):
+    """(pyarrow file system, path in it) of a URI in the shared folder, for tasks that write or read files of their own."""
+    from pyarrow import fs
+
+    # Hadoop writes local paths with one slash.
+    return fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", uri))
