@@ -50,3 +50,15 @@ def test_children_are_spread_in_one_aggregation(spark):
     wide = records.spread(rows, "k", "n", [1, 2], "v")
     assert {tuple(r) for r in wide.select("k", "1_v", "2_v").collect()} == {(1, 5.0, 7.0), (2, None, None), (3, None, None)}
     assert wide._jdf.queryExecution().sparkPlan().toString().count("Aggregate") == 2  # partial and final; a pivot has four
+
+
+def test_lines_are_dealt_by_their_number(spark, same_on, data, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from wordloom.plans import record_queries
+
+    monkeypatch.setattr(record_queries, "TASK_LINES", 100)
+    told = catalogue.queries()["consensus_outcomes"](spark, data)
+    assert told.select(F.spark_partition_id().alias("task")).distinct().count() > 30
+    lines = "SELECT * REPLACE (CASE WHEN l_linenumber <> 2 THEN l_partkey % 9 END AS l_partkey, CASE WHEN l_linenumber <> 3 THEN l_returnflag END AS l_returnflag) FROM '{data}/lineitem.parquet'"
+    same_on("consensus_outcomes", lineitem=lines, orders="SELECT * FROM '{data}/orders.parquet' UNION ALL SELECT * FROM '{data}/orders.parquet' WHERE o_orderkey % 7 = 0")

@@ -228,14 +228,22 @@ def hash_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recorded.join(stored, "h", "left").select("record_id", F.coalesce("n", F.lit(0)).alias("candidates"), "first_id")
 
 
+#: About so many lines at most are dealt to a task.
+TASK_LINES = 200_000
+
+
 @query("""
 SELECT o_orderkey, bool_and(l_returnflag <> 'R') AS all_accepted, count(*) = count(DISTINCT l_partkey) AS all_unique, count(*)::BIGINT AS n, bool_and(l_returnflag <> 'R') AND count(*) = count(DISTINCT l_partkey) AND count(l_partkey) > 0 AS valid
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def consensus_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether all outcomes of a run are accepted, none twice, and there are any."""
-    lines = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_returnflag")
-    met = load(spark, sf_dir, "orders").select("o_orderkey").join(lines, "o_orderkey").groupBy("o_orderkey")
-    told = met.agg(F.every(F.col("l_returnflag") != "R").alias("all_accepted"), (F.count("*") == F.count_distinct("l_partkey")).alias("all_unique"), F.count("*").alias("n"))
+    """Whether all outcomes of a run are accepted, none twice, and there are any.
+
+    Lines are dealt by their number, so that what a task holds in memory does not grow with them.
+    """
+    lines = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", (F.col("l_returnflag") != "R").alias("accepted"))
+    dealt = lines.repartition(max(-(-lines.count() // TASK_LINES), int(spark.conf.get("spark.sql.shuffle.partitions"))), "o_orderkey")
+    met = load(spark, sf_dir, "orders").select("o_orderkey").join(dealt.hint("merge"), "o_orderkey").groupBy("o_orderkey")
+    told = met.agg(F.every("accepted").alias("all_accepted"), (F.count("*") == F.count_distinct("l_partkey")).alias("all_unique"), F.count("*").alias("n"))
     return told.withColumn("valid", F.col("all_accepted") & F.col("all_unique") & (F.col("n") > 0))
 
 
