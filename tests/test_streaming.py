@@ -59,3 +59,15 @@ def test_rows_later_than_the_watermark_are_left_out(spark, tmp_path):
         rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
     got = streamed(live.steps(spark, f"file://{tmp_path}/in/", _STATE, delay="12 hours", files_at_once=1))
     assert [r[1] for r in sorted(got, key=lambda r: r[4]) if r[0] == 1] == [1, 4, 2]
+
+
+def test_users_share_few_buckets(spark, data, tmp_path, monkeypatch):
+    monkeypatch.setattr(live, "BUCKETS", 3)
+    rows = spark.read.parquet(f"{data}/events.parquet").where("user_id < 40").withColumn("user_id", F.expr("nullif(user_id, 7)"))
+    rows.coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    told = lifecycle.steps(rows.select("user_id", "event_id", "ts", F.expr(_STATE).alias("state")), "user_id", ["ts", "event_id"], "state")
+    plain = lambda r: (r.event_id, r.user_id, r.state, r.before, r.step, bool(r.legal))
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    got = sorted(map(plain, live.steps(spark, f"file://{tmp_path}/in/", _STATE).collect()))
+    assert got == sorted(map(plain, told.collect())) and any(r[1] is None and r[4] > 1 for r in got)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == held

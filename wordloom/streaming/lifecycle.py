@@ -6,6 +6,7 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,12 +54,46 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 STEP = T.StructType([T.StructField(n, t) for n, t in (("user_id", T.LongType()), ("event_id", T.LongType()), ("state", T.StringType()), ("before", T.StringType()), ("step", T.LongType()), ("legal", T.BooleanType()))])
 
 
+#: Users are dealt into so many buckets, whose rows and state are worked on as tables.
+BUCKETS = 4096
+LEGAL = frozenset(f"{before}>{after}" for before, followers in TRANSITIONS.items() for after in followers)
+WHO = ["no_user", "user_id"]
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    sink, table = pa.BufferOutputStream(), pa.Table.from_pandas(rows, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(block: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(block)).read_pandas()
+
+
+def told_steps(last: pd.DataFrame, due: pd.DataFrame, idle: int | None = None) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The steps of ``due`` rows of many users, and the last one of each user, from what ``last`` keeps of each."""
+    both = pd.concat([last.assign(event_id=0, fresh=False), due.assign(step=0, fresh=True)], ignore_index=True)
+    both = both.sort_values([*WHO, "fresh", "at", "event_id", "state"], ignore_index=True)
+    begins = (both[WHO] != both[WHO].shift()).any(axis=1)
+    if idle is not None:
+        begins |= both["at"].diff() > idle
+    run = begins.cumsum()
+    first = both["step"].where(~both["fresh"], 1).groupby(run).transform("first")
+    both["step"] = first + both.groupby(run).cumcount()
+    both["before"] = both["state"].shift().astype(object).where(~begins, None)
+    both["legal"] = begins | (both["before"].fillna("") + ">" + both["state"]).isin(LEGAL)
+    kept = both.drop_duplicates(WHO, keep="last")[[*WHO, "at", "state", "step"]]
+    return both[both["fresh"]], kept
+
+
 class Steps(StatefulProcessor):
-    """Steps of a key in event time: events wait in state until the watermark has passed them.
+    """Steps of each user of a bucket in event time: events wait in state until the watermark has passed them.
 
     So the steps don't depend on how the events are cut into batches, as long as none is later
-    than the watermark allows. With ``idle`` microseconds a key that has been silent for longer
-    begins anew, and what is kept of it goes when the watermark tells so.
+    than the watermark allows. With ``idle`` microseconds a user who has been silent for longer
+    begins anew, and what is kept of them goes when the watermark tells so. State is kept in
+    blocks of many rows, as a call for each row or user costs more than the work itself.
     """
 
     def __init__(self, idle: int | None = None):
@@ -66,8 +101,8 @@ class Steps(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at long, event_id long, state string")
-        self.last = handle.getValueState("last", "at long, state string, step long")
+        self.waiting = handle.getListState("waiting", "block binary")
+        self.last = handle.getValueState("last", "block binary")
         self.timer = handle.getValueState("timer", "at long")
 
     def _wake(self, at: int | None) -> None:
@@ -83,42 +118,40 @@ class Steps(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         least = None
         for frame in rows:
-            given = [(int(a), int(e), s) for a, e, s in zip(frame["at"], frame["event_id"], frame["state"])]
-            self.waiting.appendList(given)
-            here = min(g[0] for g in given)
+            given = frame[[*WHO, "at", "event_id", "state"]].astype({"user_id": "int64", "event_id": "int64", "at": "int64"})
+            self.waiting.appendValue((_packed(given),))
+            here = int(given["at"].min())
             least = here if least is None else min(least, here)
         millis = self.timer.get()[0] if self.timer.exists() else None
-        if millis is None or least < millis * 1000 or self.idle is not None:
-            self._wake(least if self.idle is None or millis is None else min(least, millis * 1000))
-        yield pd.DataFrame({f.name: pd.Series(dtype="object") for f in STEP})
+        if millis is None or least < millis * 1000:
+            self._wake(least)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        due, rest = [], []
-        for row in self.waiting.get():
-            (due if row[0] <= passed else rest).append(tuple(row))
-        last_at, before, step = self.last.get() if self.last.exists() else (None, None, 0)
-        out = []
-        for at, event_id, state in sorted(due):
-            if last_at is not None and self.idle is not None and at - last_at > self.idle:
-                before, step = None, 0
-            step += 1
-            out.append((key[0], event_id, state, before, step, before is None or state in TRANSITIONS.get(before, ())))
-            last_at, before = at, state
-        if rest:
-            self.waiting.put(rest)
+        blocks = [_unpacked(block) for (block,) in self.waiting.get()]
+        none = pd.DataFrame({"no_user": pd.Series(dtype="bool"), "user_id": pd.Series(dtype="int64"), "at": pd.Series(dtype="int64"), "state": pd.Series(dtype="object")})
+        rows = pd.concat(blocks, ignore_index=True) if blocks else none.assign(event_id=pd.Series(dtype="int64"))
+        last = _unpacked(self.last.get()[0]) if self.last.exists() else none.assign(step=pd.Series(dtype="int64"))
+        due, rest = rows[rows["at"] <= passed], rows[rows["at"] > passed]
+        told, kept = told_steps(last, due, self.idle)
+        if len(rest):
+            self.waiting.put([(_packed(rest),)])
         else:
             self.waiting.clear()
         self.timer.clear()
-        silent = last_at + self.idle + 1 if self.idle is not None and last_at is not None else None
-        if silent is not None and silent <= passed:
+        if self.idle is not None:
+            kept = kept[kept["at"] + self.idle + 1 > passed]
+        if len(kept):
+            self.last.update((_packed(kept),))
+        else:
             self.last.clear()
-            silent = None
-        elif out:
-            self.last.update((last_at, before, step))
-        ahead = [x for x in (min((r[0] for r in rest), default=None), silent) if x is not None]
+        ahead = [int(rest["at"].min())] if len(rest) else []
+        if self.idle is not None and len(kept):
+            ahead.append(int(kept["at"].min()) + self.idle + 1)
         self._wake(min(ahead, default=None))
-        yield pd.DataFrame(out, columns=STEP.names)
+        users = told["user_id"].astype("Int64").mask(told["no_user"])
+        yield told.assign(user_id=users)[STEP.names]
 
     def close(self) -> None:
         pass
@@ -134,18 +167,22 @@ def steps(spark: SparkSession, path: str, state_sql: str, delay: str = "1 day",
     closing, schema = f"{folder}/closing", spark.read.parquet(path).schema
     spark.createDataFrame([], schema).write.parquet(closing)
     both = events(spark, path, files_at_once).unionByName(events(spark, f"{closing}/"))
-    rows = both.withWatermark("ts", delay).where(F.col("ts") < F.lit(CLOSING).cast("timestamp")).select("user_id", "ts", F.unix_micros("ts").alias("at"), "event_id", F.expr(state_sql).alias("state"))
-    told = rows.groupBy("user_id").transformWithStateInPandas(Steps(idle), STEP, "Append", "EventTime")
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    held = spark.conf.get(provider)
-    spark.conf.set(provider, ROCKS)
+    rows = both.withWatermark("ts", delay).where(F.col("ts") < F.lit(CLOSING).cast("timestamp")).select(F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)).alias("bucket"), F.isnull("user_id").alias("no_user"), F.coalesce("user_id", F.lit(0)).cast("long").alias("user_id"), "ts", F.unix_micros("ts").alias("at"), "event_id", F.expr(state_sql).alias("state"))
+    told = rows.groupBy("bucket").transformWithStateInPandas(Steps(idle), STEP, "Append", "EventTime")
+    # A task opens a store and a Python worker in each batch, so there are but two a core.
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.shuffle.partitions": str(parts)}
+    held = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         run_once(told, "append", folder)
         last = spark.range(1).select(F.lit(CLOSING).cast("timestamp_ntz").cast(schema["ts"].dataType).alias("ts"))
         last.select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(closing)
         return run_once(told, "append", folder)
     finally:
-        spark.conf.set(provider, held)
+        for k, v in held.items():
+            spark.conf.set(k, v)
 
 
 def audited(spark: SparkSession, path: str, state_sql: str) -> DataFrame:
