@@ -55,7 +55,7 @@ STEP = T.StructType([T.StructField(n, t) for n, t in (("user_id", T.LongType()),
 
 
 #: Users are dealt into so many buckets, whose rows and state are worked on as tables.
-BUCKETS = 4096
+BUCKETS = 1024
 LEGAL = frozenset(f"{before}>{after}" for before, followers in TRANSITIONS.items() for after in followers)
 WHO = ["no_user", "user_id"]
 
