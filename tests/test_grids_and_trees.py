@@ -46,6 +46,66 @@ def test_gaps_slack_and_limits(spark):
     assert grid.boxes(points.limit(0), ["g"], 0, 1, 1, 0, 1, 9).collect() == []
 
 
+def plain_boxes(points, max_gap, least_run, rows_apart, slack):
+    runs = []
+    for y in {y for _, y in points}:
+        xs = sorted({x for x, at in points if at == y})
+        cuts = [i for i in range(1, len(xs)) if xs[i] - xs[i - 1] > max_gap + 1]
+        runs += [(y, xs[i], xs[j - 1] + 1) for i, j in zip([0, *cuts], [*cuts, len(xs)]) if xs[j - 1] + 1 - xs[i] >= least_run]
+    root = {run: run for run in runs}
+
+    def find(run):
+        while root[run] != run:
+            run = root[run]
+        return run
+
+    for a in runs:
+        for b in runs:
+            if 0 < b[0] - a[0] <= rows_apart and b[2] >= a[1] - slack and b[1] <= a[2] + slack:
+                root[find(a)] = find(b)
+    held = {}
+    for run in runs:
+        held.setdefault(find(run), []).append(run)
+    return sorted((min(r[1] for r in h), max(r[2] for r in h), min(r[0] for r in h), max(r[0] for r in h), len(h)) for h in held.values())
+
+
+@pytest.mark.parametrize("limits", [(0, 1, 1, 0), (1, 2, 3, 2), (3, 2, 2, 5), (0, 1, 70, 0), (2, 1, 1, 70)])
+def test_boxes_over_tiles(spark, limits):
+    r = random.Random(sum(limits))
+    spread = {("a", 1): (200, 150, 1500), ("a", 2): (70, 70, 900), ("b", 1): (900, 4, 600), ("b", 2): (3, 400, 500)}
+    grids = {g: {(r.randrange(w) - w // 2, r.randrange(h) - h // 2) for _ in range(n)} for g, (w, h, n) in spread.items()}
+    grids["b", 1] |= {(x, 0) for x in range(-300, 300)}
+    grids["c", 1] = {(10**15 + 63 + i // 2, -(10**9) + (i + 1) // 2) for i in range(140)}
+    rows = [(*g, x, y) for g, cells in grids.items() for x, y in cells]
+    got = grid.boxes(spark.createDataFrame(rows, "g string, h int, x long, y long"), ["g", "h"], *limits, 1, 10**6).collect()
+    for g, cells in grids.items():
+        assert sorted((b.left, b.right, b.top, b.bottom, b.n_runs) for b in got if (b.g, b.h) == g) == plain_boxes(cells, *limits)
+
+
+def test_boxes_join_over_tables_what_crosses_tiles_alone(spark, monkeypatch):
+    joined = []
+    monkeypatch.setattr(grid, "components", lambda nodes, links: joined.append(nodes.count()) or graph.components(nodes, links))
+    within = spark.createDataFrame([(g, x, y) for g in range(20) for y in range(30) for x in (2, 9 + y % 3)], "g long, x long, y long")
+    assert sorted(b.n_runs for b in grid.boxes(within, ["g"], 0, 1, 1, 0, 1, 99).collect() if b.left == 2) == [30] * 20
+    assert joined == [0]
+    down = spark.createDataFrame([(g, 2, y) for g in range(20) for y in range(100)] + [(1, 40, 5)], "g long, x long, y long")
+    assert sorted(tuple(b) for b in grid.boxes(down, ["g"], 0, 1, 1, 0, 1, 99).collect()) == sorted([(g, 2, 3, 0, 99, 100) for g in range(20)] + [(1, 40, 41, 5, 5, 1)])
+    assert joined == [0, 40]
+
+
+def test_activity_boxes_of_odd_events(spark, duck, tmp_path):
+    from wordloom.plans import catalogue
+
+    r = random.Random(15)
+    rows = [(f"2024-{r.randrange(1, 7):02d}-{r.randrange(1, 29):02d} {r.randrange(24):02d}:30:00", r.choice([1, 2, 2, 3, None])) for _ in range(3000)]
+    rows += [(None, 1), (None, None), ("2023-12-31 23:00:00", 4), ("2023-12-31 19:00:00", 4), ("2024-01-01 00:00:00", 4), ("2024-01-01 20:00:00", 4)] + [("2023-11-01 05:00:00", 5)] * 9
+    events = spark.createDataFrame(rows, "ts string, user_id long").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted(tuple(b) for b in catalogue.queries()["activity_boxes"](spark, str(tmp_path)).collect())
+    sql = f"WITH RECURSIVE events AS (SELECT * FROM '{tmp_path}/events.parquet/*.parquet'), " + catalogue.oracle_sql()["activity_boxes"].split("WITH RECURSIVE", 1)[1]
+    assert got == sorted(duck.execute(sql).fetchall()) and len(got) > 20
+
+
 def test_components(spark):
     r = random.Random(3)
     links = [(i, i + 1) for i in range(0, 60)] + [(r.randrange(100, 400), r.randrange(100, 400)) for _ in range(150)] + [(7, 7), (None, 3), (900, 5)]
